@@ -24,6 +24,7 @@ from starforge.plans.pipeline import build
 from starforge.rules import FIXTURE_RULES
 from starforge.schemas import MAX_LENGTHS, TARGETS, UNIQUE_KEYS
 from starforge.session import ensure_checkpoint_dir, scratch_path
+from starforge.sinks import csv_writer
 from starforge.sources.csv import read_csv_table
 from starforge.sources.fixtures import Sources, driver_table, load_fixture_sources
 
@@ -84,7 +85,7 @@ def _csv_roundtrip(view_attr: str, table: str, multiline: bool = False):
     def run(spark, sf):
         df = getattr(sources(spark, sf), view_attr)
         path = scratch_path(spark, f"csv-{table}")
-        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+        csv_writer(df.write.mode("overwrite")).csv(path)
         return for_oracle(read_csv_table(spark, path, table, multiline=multiline))
     return run
 

@@ -20,6 +20,11 @@ from starforge.schemas import TARGETS, conform
 OFFSET = "months_since_first_purchase"
 
 
+def _mean(c) -> F.Column:
+    """Mean as exact SUM / COUNT (rates are DECIMAL), one final rounding."""
+    return F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double"))
+
+
 def cohort_cells(orders: DataFrame, dim_customers: DataFrame, grain: str = "customer_id") -> DataFrame:
     """(cohort_month, offset) -> retained_customers, cohort_size, retention_rate."""
     active = (orders.select(F.col(grain), month_start("order_purchase_timestamp").alias("order_month"))
@@ -53,19 +58,19 @@ def fact_cohort_retention(orders: DataFrame, dim_customers: DataFrame, created_a
 def retention_by_offset(retention: DataFrame, first_n: int = 12) -> DataFrame:
     """Mean retention rate per month offset, the first ``first_n`` offsets."""
     return (retention.groupBy(OFFSET)
-            .agg(F.avg(F.col("retention_rate").cast("double")).alias("avg_retention_rate"))
+            .agg(_mean(F.col("retention_rate")).alias("avg_retention_rate"))
             .orderBy(OFFSET).limit(first_n))
 
 
 def cohort_insights(retention: DataFrame) -> DataFrame:
     """Cohorts, mean size, mean month-1 and month-3 retention."""
     r = retention
-    at = lambda k, c: F.when(F.col(OFFSET) == k, F.col(c).cast("double"))
+    at = lambda k, c: F.when(F.col(OFFSET) == k, F.col(c))
     return r.agg(
         F.count_distinct("cohort_month").alias("total_cohorts"),
-        F.avg(at(0, "cohort_size")).alias("avg_cohort_size"),
-        F.avg(at(1, "retention_rate")).alias("avg_month_1_retention"),
-        F.avg(at(3, "retention_rate")).alias("avg_month_3_retention"))
+        _mean(at(0, "cohort_size")).alias("avg_cohort_size"),
+        _mean(at(1, "retention_rate")).alias("avg_month_1_retention"),
+        _mean(at(3, "retention_rate")).alias("avg_month_3_retention"))
 
 
 def retention_heatmap(retention: DataFrame, max_offset: int = 12) -> DataFrame:

@@ -105,7 +105,8 @@ def customer_metrics(orders: DataFrame, order_items: DataFrame, rules: Rules,
     """
     o = orders.select("order_id", "customer_id", "order_status", "order_purchase_timestamp")
     if grain != "customer_id":
-        person = customers.select("customer_id", grain).dropDuplicates(["customer_id"])
+        # one person per customer_id (the smallest, if the source repeats an id)
+        person = customers.groupBy("customer_id").agg(F.min(grain).alias(grain))
         o = o.join(person, "customer_id", "inner").drop("customer_id")
     o = (o.join(order_revenue(order_items), "order_id", "left")
           .withColumn("order_total", F.coalesce("order_total", F.lit(0).cast("decimal(12,2)"))))
@@ -141,9 +142,10 @@ def enrich_customers(customers: DataFrame, orders: DataFrame, order_items: DataF
     m = customer_metrics(orders, order_items, rules)
     c = customers.join(m, "customer_id", "left")
     none = F.col("total_orders").isNull()
-    c = (c.withColumn("total_orders", F.when(none, F.lit(0)).otherwise(F.col("total_orders")))
-          .withColumn("total_spent", F.when(none, F.lit(0)).otherwise(F.col("total_spent")))
-          .withColumn("lifetime_value", F.when(none, F.lit(0)).otherwise(F.col("lifetime_value"))))
+    c = c.select("*", *[F.when(none, F.lit(0)).otherwise(F.col(k)).alias(f"_sf_{k}")
+                        for k in ("total_orders", "total_spent", "lifetime_value")])
+    for k in ("total_orders", "total_spent", "lifetime_value"):
+        c = c.drop(k).withColumnRenamed(f"_sf_{k}", k)
     c = region_of(c, rules)
     return c.withColumn("customer_segment",
                         customer_segment("total_orders", "lifetime_value", rules))

@@ -17,6 +17,14 @@ from starforge.session import scratch_path
 BOM = "﻿"
 
 
+def csv_writer(w):
+    """CSV options shared by every CSV sink: header, doubled-quote escaping,
+    microsecond time stamps (the default keeps only milliseconds)."""
+    return (w.option("header", True).option("escape", '"')
+            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: tuple = ()) -> str:
     """K1 / K2 / K7: write a table (parquet by default, csv with header)."""
@@ -24,7 +32,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(path)
+        csv_writer(w).csv(path)
     else:
         w.format(fmt).save(path)
     return path
@@ -38,7 +46,7 @@ def write_csv_bom(df: DataFrame, path: str) -> str:
     """
     first = df.columns[0]
     out = df.withColumnRenamed(first, BOM + first)
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    csv_writer(out.write.mode("overwrite")).csv(path)
     return path
 
 
