@@ -97,18 +97,22 @@ def order_revenue(order_items: DataFrame) -> DataFrame:
 
 
 def customer_metrics(orders: DataFrame, order_items: DataFrame, rules: Rules,
-                     grain: str = "customer_id", customers: DataFrame | None = None) -> DataFrame:
+                     grain: str = "customer_id", customers: DataFrame | None = None,
+                     order_totals: DataFrame | None = None) -> DataFrame:
     """J1 + A4 + F8, F12-F14: one row per customer with order metrics.
 
     grain='customer_id' (default) or 'customer_unique_id' (D7: the person;
-    then ``customers`` maps customer_id to the person).
+    then ``customers`` maps customer_id to the person).  ``order_totals``
+    (order_id, order_total) may be passed when the order-level item
+    aggregate is already materialised, so lineitems are aggregated once.
     """
     o = orders.select("order_id", "customer_id", "order_status", "order_purchase_timestamp")
     if grain != "customer_id":
         # one person per customer_id (the smallest, if the source repeats an id)
         person = customers.groupBy("customer_id").agg(F.min(grain).alias(grain))
         o = o.join(person, "customer_id", "inner").drop("customer_id")
-    o = (o.join(order_revenue(order_items), "order_id", "left")
+    totals = order_totals if order_totals is not None else order_revenue(order_items)
+    o = (o.join(totals, "order_id", "left")
           .withColumn("order_total", F.coalesce("order_total", F.lit(0).cast("decimal(12,2)"))))
     m = o.groupBy(grain).agg(
         F.count("order_id").alias("total_orders"),
@@ -137,9 +141,9 @@ def region_of(df: DataFrame, rules: Rules, state: str = "customer_state",
 
 
 def enrich_customers(customers: DataFrame, orders: DataFrame, order_items: DataFrame,
-                     rules: Rules) -> DataFrame:
+                     rules: Rules, order_totals: DataFrame | None = None) -> DataFrame:
     """J2 + P7 + F15 + F16 (no key yet)."""
-    m = customer_metrics(orders, order_items, rules)
+    m = customer_metrics(orders, order_items, rules, order_totals=order_totals)
     c = customers.join(m, "customer_id", "left")
     none = F.col("total_orders").isNull()
     c = c.select("*", *[F.when(none, F.lit(0)).otherwise(F.col(k)).alias(f"_sf_{k}")
@@ -152,8 +156,8 @@ def enrich_customers(customers: DataFrame, orders: DataFrame, order_items: DataF
 
 
 def dim_customers(customers: DataFrame, orders: DataFrame, order_items: DataFrame,
-                  rules: Rules, created_at=None) -> DataFrame:
-    c = enrich_customers(customers, orders, order_items, rules)
+                  rules: Rules, created_at=None, order_totals: DataFrame | None = None) -> DataFrame:
+    c = enrich_customers(customers, orders, order_items, rules, order_totals)
     keyed = dense_key(c, ["customer_id", "customer_unique_id", "customer_city", "customer_state"],
                       "customer_key")
     ts = created_at if created_at is not None else run_timestamp()

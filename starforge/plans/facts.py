@@ -87,10 +87,12 @@ def unique_orders(orders: DataFrame) -> DataFrame:
 
 def order_measures(orders: DataFrame, order_items: DataFrame, payments: DataFrame,
                    reviews: DataFrame, primary_product: str = "first",
-                   primary_payment: str = "first") -> DataFrame:
-    """J3, J4, J5 + P6 + F8-F11: order grain, no surrogate keys yet."""
+                   primary_payment: str = "first", items_agg: DataFrame | None = None) -> DataFrame:
+    """J3, J4, J5 + P6 + F8-F11: order grain, no surrogate keys yet.
+    ``items_agg``: an already materialised ``order_items_agg`` result."""
+    items = items_agg if items_agg is not None else order_items_agg(order_items, primary_product)
     f = (unique_orders(orders)
-         .join(order_items_agg(order_items, primary_product), "order_id", "left")
+         .join(items, "order_id", "left")
          .join(payments_agg(payments, primary_payment), "order_id", "left")
          .join(reviews_agg(reviews), "order_id", "left"))
     delivered, purchased = "order_delivered_customer_date", "order_purchase_timestamp"
@@ -141,9 +143,11 @@ def attach_keys(f: DataFrame, dim_customers: DataFrame, dim_products: DataFrame,
 def fact_orders(orders: DataFrame, order_items: DataFrame, payments: DataFrame,
                 reviews: DataFrame, dim_customers: DataFrame, dim_products: DataFrame,
                 dim_payment_type: DataFrame, rules: Rules, created_at=None,
-                primary_product: str = "first", primary_payment: str = "first") -> DataFrame:
+                primary_product: str = "first", primary_payment: str = "first",
+                items_agg: DataFrame | None = None) -> DataFrame:
     from starforge.plans.dims import run_timestamp
-    f = order_measures(orders, order_items, payments, reviews, primary_product, primary_payment)
+    f = order_measures(orders, order_items, payments, reviews, primary_product, primary_payment,
+                       items_agg)
     f = attach_keys(f, dim_customers, dim_products, dim_payment_type, rules)
     keyed = dense_key(f, ["order_id"], "order_key")
     keyed = keyed.withColumn("created_at", created_at if created_at is not None else run_timestamp())

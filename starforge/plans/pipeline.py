@@ -9,11 +9,13 @@ re-running the lineage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starforge.plans.cohort import fact_cohort_retention
 from starforge.plans.dims import (dim_customers, dim_date, dim_payment_type, dim_products,
                                   run_timestamp)
-from starforge.plans.facts import fact_orders, fact_quarantine
+from starforge.plans.facts import fact_orders, fact_quarantine, order_items_agg
+from starforge.sinks import stage
 from starforge.rules import Rules
 from starforge.sources.fixtures import Sources
 
@@ -27,13 +29,19 @@ def build(spark: SparkSession, src: Sources, rules: Rules, review_policy: str =
     two facts, as in the warehouse's load order."""
     ts = run_timestamp()
     t: dict[str, DataFrame] = {}
+    # The order-level item aggregate (A1, which contains A3's order total) feeds
+    # both dim_customers and fact_orders: aggregate the line items once and
+    # stage the (order-sized) result in the shared checkpoint folder.
+    items = stage(order_items_agg(src.order_items, primary_product), "items_agg")
+    totals = items.select("order_id", F.col("order_total_value").alias("order_total"))
     t["dim_date"] = dim_date(spark, rules, ts)
     t["dim_products"] = dim_products(src.products, rules, ts)
     t["dim_payment_type"] = dim_payment_type(src.payments, rules, ts)
-    t["dim_customers"] = dim_customers(src.customers, src.orders, src.order_items, rules, ts)
+    t["dim_customers"] = dim_customers(src.customers, src.orders, src.order_items, rules, ts,
+                                       order_totals=totals)
     t["fact_orders"] = fact_orders(src.orders, src.order_items, src.payments, src.reviews,
                                    t["dim_customers"], t["dim_products"], t["dim_payment_type"],
-                                   rules, ts, primary_product, primary_payment)
+                                   rules, ts, primary_product, primary_payment, items_agg=items)
     t["fact_cohort_retention"] = fact_cohort_retention(src.orders, t["dim_customers"], ts)
     if review_policy == "fanout":
         t["fact_quarantine"] = fact_quarantine(src.orders, src.reviews)
