@@ -126,14 +126,16 @@ def _metrics_cte(name: str, grain: str, orders_src: str) -> list[str]:
   FROM (SELECT *, {days('last_order_date', 'first_order_date')} AS dd FROM {name}0))"""]
 
 
-def _customers() -> list[str]:
+def _customers(prefix: str = "", orders_src: str = "src_orders",
+               customers_src: str = "src_customers", with_rev: bool = True) -> list[str]:
     L = R.lifespan_days
+    rev = ["rev AS (SELECT order_id, sum(price + freight_value) AS order_total FROM src_order_items"
+           " GROUP BY order_id)"] if with_rev else []
     return [
-        "rev AS (SELECT order_id, sum(price + freight_value) AS order_total FROM src_order_items"
-        " GROUP BY order_id)",
-        *_metrics_cte("cm", "customer_id", "src_orders"),
-        f"rg(k, v) AS (VALUES {_values(first_group_of(R.regions))})",
-        f"""cust AS (
+        *rev,
+        *_metrics_cte(f"{prefix}cm", "customer_id", orders_src),
+        *([f"rg(k, v) AS (VALUES {_values(first_group_of(R.regions))})"] if with_rev else []),
+        f"""{prefix}cust AS (
   SELECT c.*, m.first_order_date, m.last_order_date, m.delivered_orders, m.days_as_customer,
     coalesce(m.total_orders, 0) AS total_orders,
     CASE WHEN m.total_orders IS NULL THEN CAST(0 AS DECIMAL(12,2)) ELSE m.total_spent END AS total_spent,
@@ -143,9 +145,9 @@ def _customers() -> list[str]:
     {rr_dec('m.total_orders * 365', 'm.days_as_customer')} AS purchase_frequency_annual,
     CASE WHEN c.customer_state IS NULL THEN 'Unknown' ELSE coalesce(rg.v, 'Other') END
       AS customer_region
-  FROM src_customers c LEFT JOIN cm m ON c.customer_id = m.customer_id
+  FROM {customers_src} c LEFT JOIN {prefix}cm m ON c.customer_id = m.customer_id
   LEFT JOIN rg ON c.customer_state = rg.k)""",
-        f"""dim_customers AS (
+        f"""{prefix}dim_customers AS (
   SELECT row_number() OVER (ORDER BY customer_id NULLS FIRST, customer_unique_id NULLS FIRST,
            customer_city NULLS FIRST, customer_state NULLS FIRST) AS customer_key,
     customer_id, customer_unique_id, customer_city, customer_state, customer_region,
@@ -153,7 +155,7 @@ def _customers() -> list[str]:
     first_order_date, last_order_date, CAST(total_orders AS INTEGER) AS total_orders,
     CAST(delivered_orders AS INTEGER) AS delivered_orders, total_spent, avg_order_value,
     lifetime_value, days_as_customer, purchase_frequency_annual
-  FROM cust)""",
+  FROM {prefix}cust)""",
     ]
 
 
@@ -598,6 +600,24 @@ def oracle_sql() -> dict[str, str]:
         f" {rr(f'cents * {L}', 'days_as_customer * 100')} AS lifetime_value,"
         " first_order_date, last_order_date, days_as_customer,"
         f" {rr('total_orders * 365', 'days_as_customer')} AS purchase_frequency_annual FROM pm")
+    d8 = [
+        "early AS (SELECT * FROM src_orders"
+        " WHERE order_purchase_timestamp < TIMESTAMP '1999-01-01')",
+        "ecust AS (SELECT * FROM src_customers WHERE customer_id IN"
+        " (SELECT customer_id FROM early))",
+        *_customers("e_", "early", "ecust", with_rev=False)]
+    def attrs(a: str) -> str:
+        return (f"{a}.customer_id, {a}.total_orders, CAST({a}.total_spent AS DOUBLE) AS total_spent,"
+                f" {a}.customer_segment")
+    q["d8_scd1_upsert"] = (
+        warehouse_ctes().rstrip("\n") + ",\n" + ",\n".join(d8) + "\n"
+        f"SELECT c.customer_key, {attrs('i')}"
+        " FROM dim_customers i JOIN e_dim_customers c ON i.customer_id = c.customer_id"
+        f" UNION ALL SELECT c.customer_key, {attrs('c')}"
+        " FROM e_dim_customers c WHERE c.customer_id NOT IN (SELECT customer_id FROM dim_customers)"
+        " UNION ALL SELECT (SELECT coalesce(max(customer_key), 0) FROM e_dim_customers)"
+        f" + row_number() OVER (ORDER BY i.customer_id) AS customer_key, {attrs('i')}"
+        " FROM dim_customers i WHERE i.customer_id NOT IN (SELECT customer_id FROM e_dim_customers)")
     q["d9_incremental_orders"] = fixtures_only(
         "SELECT order_id, customer_id, order_status FROM src_orders WHERE order_id NOT IN"
         " (SELECT order_id FROM src_orders WHERE order_purchase_timestamp < TIMESTAMP '1999-01-01')")

@@ -45,20 +45,29 @@ def multi_row_groups(df: DataFrame, key: str) -> DataFrame:
                  share_pct(F.count_if(F.col("_sf_n") > 1), F.count(F.lit(1))).alias("multi_pct"))
 
 
+def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.withColumn("_sf_one", F.lit(1)).join(
+        F.broadcast(b.withColumn("_sf_one", F.lit(1))), "_sf_one").drop("_sf_one")
+
+
 def numeric_summary(df: DataFrame, col: str, where=None) -> DataFrame:
-    """A10: sum, mean, min, max, median of a numeric column (optional filter)."""
+    """A10: sum, mean, min, max, median of a numeric column (optional filter).
+    The median comes from a distributed sort, not a one-task buffer."""
+    from starforge.operators.quantile import exact_percentiles
     d = df if where is None else df.where(where)
-    v = F.col(col).cast("double")
-    return d.agg(F.sum(col).alias("sum"),
-                 F.try_divide(F.sum(col).cast("double"), F.count(col).cast("double")).alias("mean"),
-                 F.min(col).alias("min"), F.max(col).alias("max"), F.median(v).alias("median"))
+    a = d.agg(F.sum(col).alias("sum"),
+              F.try_divide(F.sum(col).cast("double"), F.count(col).cast("double")).alias("mean"),
+              F.min(col).alias("min"), F.max(col).alias("max"))
+    med = exact_percentiles(d, col, {"median": 0.5})
+    return _one_row_pair(a, med)
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
     """Count, mean, std, min, exact quartiles (linear interpolation), max."""
+    from starforge.operators.quantile import exact_percentiles
     v = F.col(col).cast("double")
-    return df.agg(F.count(v).alias("count"),
-                  F.try_divide(F.sum(v), F.count(v).cast("double")).alias("mean"),
-                  F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
-                  F.percentile(v, 0.25).alias("p25"), F.percentile(v, 0.5).alias("p50"),
-                  F.percentile(v, 0.75).alias("p75"), F.max(v).alias("max"))
+    a = df.agg(F.count(v).alias("count"),
+               F.try_divide(F.sum(v), F.count(v).cast("double")).alias("mean"),
+               F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+    q = exact_percentiles(df, col, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return _one_row_pair(a, q).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")

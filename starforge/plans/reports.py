@@ -130,11 +130,12 @@ def mean_of_sums(total, count) -> F.Column:
 
 
 def clv_stats(dim_customers: DataFrame) -> DataFrame:
-    """Mean / median / max lifetime value."""
-    v = F.col("lifetime_value").cast("double")
-    return dim_customers.agg(mean(F.col("lifetime_value")).alias("avg_clv"),
-                             F.median(v).alias("median_clv"),
-                             F.max("lifetime_value").alias("max_clv"))
+    """Mean / median / max lifetime value (median by a distributed sort)."""
+    from starforge.operators.quantile import exact_percentiles
+    a = dim_customers.agg(mean(F.col("lifetime_value")).alias("avg_clv"),
+                          F.max("lifetime_value").alias("max_clv"))
+    med = exact_percentiles(dim_customers, "lifetime_value", {"median_clv": 0.5})
+    return _one_row_pair(a, med).select("avg_clv", "median_clv", "max_clv")
 
 
 def distribution(df: DataFrame, col: str) -> DataFrame:
@@ -245,8 +246,10 @@ def delivery_class(orders: DataFrame, very_late_days: int = 7) -> DataFrame:
 
 def price_outliers(order_items: DataFrame, q: float = 0.99) -> DataFrame:
     """Flag items priced above the q-quantile; rows are kept.  The
-    quantile is one aggregate, joined back on a constant key (one row)."""
-    cut = order_items.agg(F.percentile(F.col("price").cast("double"), q).alias("_sf_cut"))
+    quantile comes from a distributed sort (one row), attached by a
+    broadcast join on a constant key."""
+    from starforge.operators.quantile import exact_percentiles
+    cut = exact_percentiles(order_items, "price", {"_sf_cut": q})
     j = _one_row_pair(order_items, cut)
     return j.withColumn("is_outlier", F.coalesce(F.col("price").cast("double") > F.col("_sf_cut"),
                                                  F.lit(False))).drop("_sf_cut")

@@ -50,10 +50,10 @@ def test_entry_smoke(spark):
                           "avg_order_value"]
 
 
-def test_every_query_has_oracle_but_upsert():
+def test_every_query_has_oracle():
     from __spark_entry__ import oracle_sql, queries
     missing = set(queries()) - set(oracle_sql())
-    assert missing <= {"d8_scd1_upsert"}
+    assert not missing
     assert not set(oracle_sql()) - set(queries())
 
 
