@@ -5,7 +5,7 @@ and prints one JSON line.  Each measurement is the median of
 $BENCH_REPEATS runs after one warm-up run.
 
 * build: six tables built from the source views and written as Parquet
-  (the reference's transform + load).
+  (transform + load of the warehouse).
 * b1..b12: each report read from the written warehouse and collected.
 """
 

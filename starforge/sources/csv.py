@@ -3,7 +3,7 @@
 Every column is read as text (no inference) and then converted with the
 lenient ``try_*`` casts: an unparsable value becomes NULL and the row is
 kept (S7).  Columns of the declared schema that the file does not have are
-skipped, like the reference's "parse if present".  Quoted fields may hold
+skipped ("parse if present").  Quoted fields may hold
 line breaks and doubled quotes (S6).
 """
 
