@@ -47,7 +47,12 @@ def median_time(fn) -> float:
 def main() -> None:
     spark = get_session(master=f"local[{CPUS}]", shuffle_partitions=max(8, 2 * CPUS),
                         app_name="starforge-bench",
-                        extra={"spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g")})
+                        extra={"spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
+                               # partitions sized to the data: at sf0.1 a whole
+                               # shuffle is a few MB, the 64 MB default would
+                               # put it in one task
+                               "spark.sql.adaptive.advisoryPartitionSizeInBytes":
+                                   os.environ.get("BENCH_ADVISORY_PARTITION", "2m")})
     root = tempfile.mkdtemp(prefix="starforge-bench-")
     runs = {"n": 0}
 

@@ -476,6 +476,9 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST({len(TARGETS[t].fields)} AS BIGINT)"
         f" AS column_count FROM {t}" for t in TARGETS)
     q["s8_s9_warehouse_readback"] = with_wh(counts)
+    q["k2_k4_k5_load"] = with_wh(
+        counts + " UNION ALL SELECT 'fact_orders_quarantine', CAST(0 AS BIGINT),"
+        f" CAST({len(TARGETS['fact_orders'].fields) + 1} AS BIGINT)")
     q["q1_row_counts"] = with_wh(counts)
     q["s11_adhoc_sql"] = with_wh(
         "SELECT order_status, count(*) AS orders, CAST(sum(order_total_value) AS DOUBLE) AS revenue"
@@ -746,4 +749,13 @@ def oracle_sql() -> dict[str, str]:
         "SELECT count(DISTINCT (l_orderkey, l_linenumber)) AS kept_rows,"
         " count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS rejected_rows FROM lineitem"
         " WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL")
+    q["o5_calendar_head_tail"] = with_wh(
+        "SELECT * FROM (SELECT date_key, full_date, 'head' AS part FROM dim_date"
+        " ORDER BY full_date LIMIT 10) UNION ALL SELECT * FROM (SELECT date_key, full_date,"
+        " 'tail' AS part FROM dim_date ORDER BY full_date DESC LIMIT 10)")
+    q["o5_first_cohort"] = with_wh(
+        "SELECT cohort_retention_key, cohort_month, months_since_first_purchase, cohort_size,"
+        " retained_customers, CAST(retention_rate AS DOUBLE) AS retention_rate"
+        " FROM fact_cohort_retention"
+        " WHERE cohort_month = (SELECT min(cohort_month) FROM fact_cohort_retention)")
     return q

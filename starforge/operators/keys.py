@@ -2,15 +2,15 @@
 
 dense_key assigns 1..n in sort order without funnelling rows through one
 task: a distributed range sort, a per-partition position, and a running
-offset over the per-partition counts (one row per partition, so the only
-unpartitioned window runs over a table whose size is bounded by the number
-of partitions, not by the data).
+offset over the per-partition counts (one number per partition, so what
+reaches the driver is bounded by the partition count, not by the data).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starforge.session import scratch_path
 
@@ -25,11 +25,19 @@ def _cols(cols) -> list[Column]:
 def dense_key(df: DataFrame, order_by, key: str = "key", first: bool = True) -> DataFrame:
     """Add ``key`` = 1..n following ``order_by`` (ascending, NULLs first).
 
-    The sorted rows are written once to the shared checkpoint folder with
-    their position, so that the partition counts and the final numbering
-    read the same materialised order (a re-evaluated range sort may sample
-    different bounds).  Ties in ``order_by`` get distinct keys in an
-    arbitrary order; callers order by a unique key.
+    1. The rows are range-sorted across the cluster, tagged with
+       monotonically_increasing_id (partition << 33 | position) and written
+       once to the shared checkpoint folder, so every later step reads the
+       same materialised order (a re-evaluated range sort may sample
+       different bounds).
+    2. Rows per sort partition are counted (one column read); the result has
+       one row per non-empty partition, so it is bounded by the partition
+       count, not by the data, and its running offsets are computed on the
+       driver.
+    3. The offsets go back as a small local table in a broadcast join:
+       key = offset + position + 1.
+    Ties in ``order_by`` get distinct keys in an arbitrary order; callers
+    order by a unique key.
     """
     spark = df.sparkSession
     order_cols = [c.asc_nulls_first() for c in _cols(order_by)]
@@ -39,14 +47,16 @@ def dense_key(df: DataFrame, order_by, key: str = "key", first: bool = True) ->
        .write.mode("overwrite").parquet(path))
     staged = spark.read.parquet(path)
     part = F.shiftright(F.col("_sf_pos"), _POS_BITS)
-    counts = staged.groupBy(part.alias("_sf_part")).agg(F.count(F.lit(1)).alias("_sf_n"))
-    # one row per non-empty sort partition: bounded by the partition count
-    offsets = counts.select(
-        "_sf_part",
-        (F.sum("_sf_n").over(Window.orderBy("_sf_part")
-                              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-         - F.col("_sf_n")).alias("_sf_offset"))
-    keyed = (staged.join(F.broadcast(offsets), part == F.col("_sf_part"), "inner")
+    counts = sorted((r[0], r[1]) for r in
+                    staged.groupBy(part.alias("p")).agg(F.count(F.lit(1))).collect())
+    offsets, running = [], 0
+    for p, n in counts:
+        offsets.append((int(p), running))
+        running += n
+    schema = T.StructType([T.StructField("_sf_part", T.LongType(), False),
+                           T.StructField("_sf_offset", T.LongType(), False)])
+    table = spark.createDataFrame(offsets, schema)
+    keyed = (staged.join(F.broadcast(table), part == F.col("_sf_part"), "inner")
              .withColumn(key, (F.col("_sf_offset") + F.col("_sf_pos").bitwiseAND(F.lit(_POS_MASK))
                                + 1).cast("long"))
              .drop("_sf_part", "_sf_offset", "_sf_pos"))

@@ -100,6 +100,23 @@ def q_warehouse_readback(spark, sf):
     return row_counts(back)
 
 
+def q_load(spark, sf):
+    """K2 + K4 + K5 + K6 + K9: load the built tables into an empty warehouse
+    (dimensions after their key checks, the fact through the valid /
+    quarantine split, the cohort after its unique check), then count."""
+    from starforge.schemas import UNIQUE_KEYS as UK
+    from starforge.sinks import load_cohort, load_dimension, load_fact_orders, row_counts
+    w = warehouse(spark, sf)
+    out = scratch_path(spark, "load")
+    for dim in ("dim_date", "dim_products", "dim_payment_type", "dim_customers"):
+        load_dimension(w[dim], f"{out}/{dim}", list(UK[dim][0]))
+    load_fact_orders(w["fact_orders"], f"{out}/fact_orders", f"{out}/fact_orders_quarantine")
+    load_cohort(w["fact_cohort_retention"], f"{out}/fact_cohort_retention")
+    names = ["dim_date", "dim_products", "dim_payment_type", "dim_customers", "fact_orders",
+             "fact_cohort_retention", "fact_orders_quarantine"]
+    return row_counts({n: spark.read.parquet(f"{out}/{n}") for n in names})
+
+
 def q_adhoc_sql(spark, sf):
     """Ad-hoc SQL with named parameters over the warehouse views."""
     w = warehouse(spark, sf)
@@ -461,6 +478,24 @@ def q_o5(spark, sf):
             .select("product_category_segment", "rank_in_segment", "product_key", "product_id"))
 
 
+def q_o5_calendar_ends(spark, sf):
+    """First and last 10 days of the calendar."""
+    (d,) = _w(spark, sf, "dim_date")
+    first = d.orderBy("full_date").limit(10).select("date_key", "full_date", F.lit("head").alias("part"))
+    last = d.orderBy(F.col("full_date").desc()).limit(10).select("date_key", "full_date",
+                                                                  F.lit("tail").alias("part"))
+    return first.unionByName(last)
+
+
+def q_o5_first_cohort(spark, sf):
+    """All rows of the first cohort (filter on the smallest month,
+    found by an aggregate, attached by a one-row broadcast join)."""
+    (r,) = _w(spark, sf, "fact_cohort_retention")
+    first = r.agg(F.min("cohort_month").alias("_sf_first"))
+    j = reports._one_row_pair(r, first).where(F.col("cohort_month") == F.col("_sf_first"))
+    return for_oracle(j.drop("_sf_first"))
+
+
 def q_w5(spark, sf):
     """W5 / K6 on a raw table: first row per (l_orderkey, l_linenumber) kept,
     the other rows quarantined; returns the rejects per reason."""
@@ -491,6 +526,7 @@ QUERIES = {
     "s6_reviews_csv": _csv_roundtrip("reviews", "reviews", multiline=True),
     "s8_s9_warehouse_readback": q_warehouse_readback,
     "s11_adhoc_sql": q_adhoc_sql,
+    "k2_k4_k5_load": q_load,
     "b1_top_customers": q_b1,
     "b2_monthly_revenue": q_b2,
     "b3_retention_since": q_b3,
@@ -561,6 +597,8 @@ QUERIES = {
     "o2_top_clv": q_o2,
     "o5_first_products_per_segment": q_o5,
     "w5_k6_lineitem_duplicates": q_w5,
+    "o5_calendar_head_tail": q_o5_calendar_ends,
+    "o5_first_cohort": q_o5_first_cohort,
 }
 
 COVERS = {
@@ -575,6 +613,7 @@ COVERS = {
     "s1_orders_csv": "S1 S7", "s2_order_items_csv": "S2 F1", "s3_customers_csv": "S3",
     "s4_products_csv": "S4", "s5_payments_csv": "S5", "s6_reviews_csv": "S6 S7",
     "s8_s9_warehouse_readback": "K1 K7 S8 S9 K9 A15", "s11_adhoc_sql": "S11",
+    "k2_k4_k5_load": "K2 K4 K5 K6 K9 Q11 Q12",
     "q1_row_counts": "Q1 A15 K9", "q2_q5_orphans": "Q2 Q3 Q4 Q5 J14",
     "q10_status_share": "Q10 W1 A8", "q11_q12_unique_keys": "Q11 Q12",
     "q13_not_null": "Q13", "q13_max_lengths": "Q13 F23",
@@ -583,5 +622,6 @@ COVERS = {
     "v6_sentiment": "V6 F24", "b11_retention_by_offset": "B11 A13", "b11_cohort_insights": "B11 A14",
     "b1_top_customers": "B1 J15 O2 O4", "b7_status_top5": "B7 O4", "o2_top_clv": "O2",
     "o5_first_products_per_segment": "O5", "a16_event_nulls": "A16",
+    "o5_calendar_head_tail": "O5", "o5_first_cohort": "O5 P8",
     "w5_k6_lineitem_duplicates": "W5 K6", "b12_fk_null_coverage": "B12 V7 A12",
 }

@@ -5,8 +5,9 @@ Plan shape (all keyed joins are 1:1 because every side is aggregated to the
 order grain first, so no join multiplies rows):
 
     orders --dedupe by order_id-->  (+) items agg (+) payments agg (+) first review
-        -> customer_key / product_key lookups (shuffle joins; AQE may broadcast)
-        -> payment_type_key (count-checked broadcast), date keys (computed)
+        -> customer / product / payment-type key lookups (plain joins; AQE
+           broadcasts a side at run time when its real size is small)
+        -> date keys (computed from the calendar bounds, no join)
         -> dense order_key (range sort)
 
 The aggregations on order_id leave the data hash-partitioned by order_id, so
@@ -135,7 +136,7 @@ def attach_keys(f: DataFrame, dim_customers: DataFrame, dim_products: DataFrame,
     f = key_lookup(f, "primary_product_id", dim_products, "product_id", "product_key",
                    "product_key", broadcast=False)
     f = key_lookup(f, "payment_type", dim_payment_type, "payment_type", "payment_type_key",
-                   "payment_type_key", broadcast=None)
+                   "payment_type_key", broadcast=False)
     return (f.withColumn("order_date_key", calendar_key("order_purchase_timestamp", rules))
              .withColumn("delivery_date_key", calendar_key("order_delivered_customer_date", rules)))
 

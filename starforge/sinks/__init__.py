@@ -59,6 +59,44 @@ def write_with_quarantine(valid: DataFrame, rejects: DataFrame, path: str,
     return path, quarantine_path
 
 
+class ConstraintError(ValueError):
+    pass
+
+
+def assert_unique(df: DataFrame, cols, table: str = "") -> DataFrame:
+    """K5 / Q11: fail the load if a declared unique key repeats (a typed
+    table's UNIQUE constraint would reject the whole batch).  Reads one
+    aggregate row."""
+    from starforge.operators.quality import repeated_keys
+    r = repeated_keys(df, cols).first()
+    if r.duplicate_keys:
+        raise ConstraintError(f"{table}: {r.duplicate_keys} repeated keys on {cols}")
+    return df
+
+
+def load_dimension(df: DataFrame, path: str, key_cols) -> str:
+    """K2: append a dimension keeping its staged surrogate keys, after the
+    primary-key check."""
+    assert_unique(df, key_cols, path)
+    return write_table(df, path, mode="append")
+
+
+def load_fact_orders(fact: DataFrame, path: str, quarantine_path: str) -> tuple[str, str]:
+    """K4 / K6: append the valid rows (first row per order_id, non-NULL id),
+    quarantine the rest with a reason; the valid part is unique by
+    construction, the split keeps every input row."""
+    from starforge.operators.keys import keep_first
+    kept, rejects = keep_first(fact, "order_id", [c for c in fact.columns if c != "order_id"],
+                               "duplicate_order_id")
+    return write_with_quarantine(kept, rejects, path, quarantine_path, mode="append")
+
+
+def load_cohort(retention: DataFrame, path: str) -> str:
+    """K5: append the cohort fact; a repeated (cohort_month, offset) aborts."""
+    assert_unique(retention, ["cohort_month", "months_since_first_purchase"], path)
+    return write_table(retention, path, mode="append")
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count, column_count), one aggregate per
     table stacked with unionByName."""

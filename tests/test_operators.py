@@ -126,3 +126,27 @@ def test_upsert_and_incremental(spark):
     assert (out["c"].k, out["c"].created_at) == (3, t1)
     new = incremental_new_rows(cur, inc.withColumnRenamed("v", "w"), "id").collect()
     assert [r.id for r in new] == ["c"]
+
+
+def test_cohort_load_rejects_repeated_key(spark, tmp_dir):
+    from starforge.sinks import ConstraintError, load_cohort
+    d = dt.date(2018, 1, 1)
+    df = spark.createDataFrame([(d, 0), (d, 0)], "cohort_month date, months_since_first_purchase int")
+    with pytest.raises(ConstraintError):
+        load_cohort(df, os.path.join(tmp_dir, "c"))
+
+
+def test_fact_load_quarantines_duplicates(spark, tmp_dir):
+    from starforge.sinks import load_fact_orders
+    df = spark.createDataFrame([("o1", 1), ("o1", 2), (None, 3)], "order_id string, v int")
+    ok, bad = load_fact_orders(df, os.path.join(tmp_dir, "f"), os.path.join(tmp_dir, "q"))
+    assert sorted(tuple(r) for r in spark.read.parquet(ok).collect()) == [("o1", 1)]
+    rej = sorted((r.v, r.reject_reason) for r in spark.read.parquet(bad).collect())
+    assert rej == [(2, "duplicate_order_id"), (3, "null_key")]
+
+
+def test_text_prefix(spark):
+    from starforge.functions.scalars import text_prefix
+    df = spark.createDataFrame([("x" * 250,), ("short",), (None,)], "t string")
+    got = [r[0] for r in df.select(text_prefix("t")).collect()]
+    assert got == ["x" * 200, "short", None]
