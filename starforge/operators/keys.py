@@ -42,7 +42,11 @@ def dense_key(df: DataFrame, order_by, key: str = "key", first: bool = True) ->
     spark = df.sparkSession
     order_cols = [c.asc_nulls_first() for c in _cols(order_by)]
     path = scratch_path(spark, f"dense_key-{key}")
-    (df.orderBy(*order_cols)
+    # a content hash as the last sort key spreads rows that repeat the
+    # requested key over several range partitions (a repeated key cannot
+    # pile up in one sort task); rows equal in every column stay together
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    (df.orderBy(*order_cols, spread)
        .withColumn("_sf_pos", F.monotonically_increasing_id())
        .write.mode("overwrite").parquet(path))
     staged = spark.read.parquet(path)

@@ -3,43 +3,77 @@ quartiles, B9 median CLV, D2 price cut-off).
 
 ``percentile`` / ``median`` are exact but keep every distinct value of the
 group in one aggregation buffer; over a whole table that group is the table.
-Here the column is range-sorted across the cluster and numbered 1..n
-(``dense_key``); the two neighbours of each requested rank are picked by an
-equality filter on the number and interpolated like Spark's ``percentile``:
-pos = p (n - 1), value = (hi_pos - pos) v[lo] + (pos - lo_pos) v[hi].
+Here:
+
+1. values are counted per distinct value (hash aggregate with map-side
+   partial aggregation, so a value held by a third of the rows collapses
+   before the shuffle);
+2. the distinct values are numbered in order by ``dense_key`` (a range sort
+   of *distinct* values, so no value can overload a sort partition);
+3. the rows before each value are a running sum of counts: per sort
+   partition totals (one number per partition) give the offsets, and a
+   window inside each sort partition gives the rest;
+4. the values at the two ranks around each requested position are picked
+   with a filter and interpolated like Spark's ``percentile``:
+   pos = p (n - 1), value = (hi - pos) v[lo] + (pos - lo) v[hi].
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starforge.operators.keys import dense_key
 
+_BUCKET_ROWS = 1 << 20      # distinct values per running-sum bucket
+
 
-def exact_percentiles(df: DataFrame, col: str, ps: dict[str, float],
-                      where=None) -> DataFrame:
+def exact_percentiles(df: DataFrame, col: str, ps: dict[str, float], where=None) -> DataFrame:
     """One row, one DOUBLE column per name in ``ps`` (NULL on no rows)."""
+    spark = df.sparkSession
     d = df if where is None else df.where(where)
-    vals = d.select(F.col(col).cast("double").alias("_sf_v")).where(F.col("_sf_v").isNotNull())
-    ranked = dense_key(vals, ["_sf_v"], "_sf_rank")
-    n = ranked.agg(F.count(F.lit(1))).first()[0]       # one scalar
+    counts = (d.select(F.col(col).cast("double").alias("_sf_v"))
+              .where(F.col("_sf_v").isNotNull())
+              .groupBy("_sf_v").agg(F.count(F.lit(1)).alias("_sf_n")))
+    ranked = dense_key(counts, ["_sf_v"], "_sf_rank")             # distinct values, 1..d
+    # running count of rows before each value: bucket the ranks, total each
+    # bucket (one number per bucket), then a window inside each bucket
+    bucket = F.floor((F.col("_sf_rank") - 1) / _BUCKET_ROWS).cast("long")
+    totals = sorted((r[0], r[1]) for r in
+                    ranked.groupBy(bucket.alias("b")).agg(F.sum("_sf_n")).collect())
+    n = sum(t for _, t in totals)
     if n == 0:
-        return d.sparkSession.range(1).select(
-            *[F.lit(None).cast("double").alias(name) for name in ps])
+        return spark.range(1).select(*[F.lit(None).cast("double").alias(k) for k in ps])
+    offsets, running = [], 0
+    for b, t in totals:
+        offsets.append((int(b), running))
+        running += t
+    off = spark.createDataFrame(offsets, "_sf_b long, _sf_off long")
+    w = Window.partitionBy("_sf_b").orderBy("_sf_rank").rowsBetween(Window.unboundedPreceding, -1)
+    cum = (ranked.withColumn("_sf_b", bucket)
+           .join(F.broadcast(off), "_sf_b")
+           .withColumn("_sf_before", F.col("_sf_off") + F.coalesce(F.sum("_sf_n").over(w), F.lit(0))))
     wanted, plan = set(), {}
     for name, p in ps.items():
         pos = p * (n - 1)
         lo, hi = math.floor(pos), math.ceil(pos)
         plan[name] = (pos, lo, hi)
-        wanted.update((lo + 1, hi + 1))                 # ranks are 1-based
-    picked = ranked.where(F.col("_sf_rank").isin(sorted(wanted)))
+        wanted.update((lo + 1, hi + 1))                          # 1-based row ranks
+    hit = None
+    for k in sorted(wanted):
+        c = (F.col("_sf_before") < k) & (F.col("_sf_before") + F.col("_sf_n") >= k)
+        hit = c if hit is None else hit | c
+    picked = cum.where(hit).select("_sf_v", "_sf_before", "_sf_n")
+
+    def at(k: int):
+        inside = (F.col("_sf_before") < k) & (F.col("_sf_before") + F.col("_sf_n") >= k)
+        return F.max(F.when(inside, F.col("_sf_v")))
+
     exprs = []
     for name, (pos, lo, hi) in plan.items():
-        v_lo = F.max(F.when(F.col("_sf_rank") == lo + 1, F.col("_sf_v")))
-        v_hi = F.max(F.when(F.col("_sf_rank") == hi + 1, F.col("_sf_v")))
+        v_lo, v_hi = at(lo + 1), at(hi + 1)
         if lo == hi:
             exprs.append(v_lo.alias(name))
         else:

@@ -150,3 +150,16 @@ def test_text_prefix(spark):
     df = spark.createDataFrame([("x" * 250,), ("short",), (None,)], "t string")
     got = [r[0] for r in df.select(text_prefix("t")).collect()]
     assert got == ["x" * 200, "short", None]
+
+
+def test_exact_percentiles_with_hot_value(spark):
+    import numpy as np
+    from starforge.operators.quantile import exact_percentiles
+    vals = [0.0] * 3000 + [float(i % 997) / 7 for i in range(6001)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(6)
+    ps = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99, "p0": 0.0, "p100": 1.0}
+    got = exact_percentiles(df, "x", ps).first().asDict()
+    for name, p in ps.items():
+        assert got[name] == pytest.approx(float(np.percentile(vals, p * 100)), abs=1e-9), name
+    empty = exact_percentiles(df.where("x < 0"), "x", {"m": 0.5}).first()
+    assert empty.m is None
