@@ -111,12 +111,31 @@ def keep_first(df: DataFrame, key, order_by, reason: str = "duplicate_key"):
     rest = (counted.join(won, cond, "left")
             .select(*cols, (F.col("_sf_n") - F.coalesce("_sf_win", F.lit(0))).alias("_sf_left"))
             .where(F.col("_sf_left") > 0))
-    dupes = (rest.withColumn("_sf_copy", F.explode(F.sequence(F.lit(1), F.col("_sf_left").cast("int"))))
-             .select(*cols).withColumn("reject_reason", F.lit(reason)))
+    dupes = (_expand_copies(rest, "_sf_left").select(*cols)
+             .withColumn("reject_reason", F.lit(reason)))
     nulls = df.where(any_null).withColumn("reject_reason", F.lit("null_key"))
     return kept, dupes.unionByName(nulls)
 
 
+COPY_CHUNK = 1 << 20
+
+
+def _expand_copies(df: DataFrame, count_col: str) -> DataFrame:
+    """Turn a row with multiplicity m back into m rows without one task
+    emitting them all: m is cut into chunks of at most COPY_CHUNK, the chunk
+    rows are spread round-robin over the cluster, then each chunk explodes."""
+    m = F.col(count_col).cast("long")
+    chunks = df.withColumn("_sf_chunk", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((m - 1) / COPY_CHUNK).cast("long"))))
+    sized = chunks.withColumn(
+        "_sf_size", F.least(F.lit(COPY_CHUNK).cast("long"), m - F.col("_sf_chunk") * COPY_CHUNK))
+    n = df.sparkSession.sparkContext.defaultParallelism
+    spread = sized.repartition(max(1, n))
+    return (spread.withColumn("_sf_copy", F.explode(F.sequence(F.lit(1).cast("long"),
+                                                              F.col("_sf_size"))))
+            .drop("_sf_chunk", "_sf_size", "_sf_copy"))
+
+
 def duplicate_count(key) -> Column:
     """W5 as an aggregate expression: rows minus distinct values, NULL
     counted as one value (what ``duplicated().sum()`` reports)."""
