@@ -480,6 +480,7 @@ def oracle_sql() -> dict[str, str]:
         counts + " UNION ALL SELECT 'fact_orders_quarantine', CAST(0 AS BIGINT),"
         f" CAST({len(TARGETS['fact_orders'].fields) + 1} AS BIGINT)")
     q["q1_row_counts"] = with_wh(counts)
+    q["k3_bom_csv_export"] = with_wh(counts)
     q["s11_adhoc_sql"] = with_wh(
         "SELECT order_status, count(*) AS orders, CAST(sum(order_total_value) AS DOUBLE) AS revenue"
         " FROM fact_orders WHERE order_total_value >= 100000 GROUP BY order_status")

@@ -117,6 +117,20 @@ def q_load(spark, sf):
     return row_counts({n: spark.read.parquet(f"{out}/{n}") for n in names})
 
 
+def q_bom_export(spark, sf):
+    """K3: export the six tables as CSV files that start with a UTF-8 byte
+    order mark, read them back (the reader drops the mark) and count."""
+    from starforge.sinks import row_counts, write_csv_bom
+    w = warehouse(spark, sf)
+    out = scratch_path(spark, "export")
+    back = {}
+    for name in ("dim_date", "dim_products", "dim_payment_type", "dim_customers",
+                 "fact_orders", "fact_cohort_retention"):
+        path = write_csv_bom(w[name], f"{out}/{name}")
+        back[name] = spark.read.option("header", True).option("escape", '"').csv(path)
+    return row_counts(back)
+
+
 def q_adhoc_sql(spark, sf):
     """Ad-hoc SQL with named parameters over the warehouse views."""
     w = warehouse(spark, sf)
@@ -527,6 +541,7 @@ QUERIES = {
     "s8_s9_warehouse_readback": q_warehouse_readback,
     "s11_adhoc_sql": q_adhoc_sql,
     "k2_k4_k5_load": q_load,
+    "k3_bom_csv_export": q_bom_export,
     "b1_top_customers": q_b1,
     "b2_monthly_revenue": q_b2,
     "b3_retention_since": q_b3,
@@ -602,11 +617,11 @@ QUERIES = {
 }
 
 COVERS = {
-    "dim_date": "S10 F4 F5 F6 F7 P2 P9 K8",
-    "dim_products": "S4 P1 P5 F2 F3 F17 F18 J12 J13 U4 W2",
-    "dim_payment_type": "A6 F19 J12 W2",
-    "dim_customers": "A3 A4 J1 J2 P3 P6 P7 F1 F8 F12 F13 F14 F15 F16 U1 U2 U3 W2 W4",
-    "fact_orders": "A1 A2 J3 J4 J5 J6 J7 J8 J9 P6 F8 F9 F10 F11 F22 W2 W3 K6 K8",
+    "dim_date": "S10 F4 F5 F6 F7 F25 P2 P9 K8",
+    "dim_products": "S4 P1 P5 F2 F3 F17 F18 F25 J12 J13 U4 W2",
+    "dim_payment_type": "A6 F19 F25 J12 W2",
+    "dim_customers": "A3 A4 J1 J2 P3 P6 P7 F1 F8 F12 F13 F14 F15 F16 F25 U1 U2 U3 W2 W4",
+    "fact_orders": "A1 A2 J3 J4 J5 J6 J7 J8 J9 P6 F8 F9 F10 F11 F22 F25 W2 W3 K6 K8",
     "fact_cohort_retention": "A5 J10 J11 F20 F21 W2 W4 O1 U5 P4",
     "a1_order_items_agg": "A1 W3", "a2_payments_agg": "A2 W3",
     "k6_quarantine": "J5 K4 K6 W5",
@@ -614,14 +629,51 @@ COVERS = {
     "s4_products_csv": "S4", "s5_payments_csv": "S5", "s6_reviews_csv": "S6 S7",
     "s8_s9_warehouse_readback": "K1 K7 S8 S9 K9 A15", "s11_adhoc_sql": "S11",
     "k2_k4_k5_load": "K2 K4 K5 K6 K9 Q11 Q12",
+    "k3_bom_csv_export": "K3 K9",
+    "b1_top_customers": "B1 J15 O2 O4",
+    "b2_monthly_revenue": "B2 J15 O4",
+    "b3_retention_since": "B3 P8 O1",
+    "b4_category_segments": "B4 J15 O4",
+    "b5_revenue_metrics": "B5 A10 A12",
+    "b6_delivery_performance": "B6 A12 F27",
+    "b7_status_top5": "B7 O4",
+    "b8_build_metrics": "B8 J5 A12 F27",
+    "b8_review_metrics": "B8 J5 F27",
+    "b9_clv_stats": "B9 A10",
+    "b9_region_distribution": "B9 A8 W1",
+    "b9_segment_distribution": "B9 A8 W1",
+    "b10_calendar_summary": "B10 A12",
+    "b10_days_per_year": "B10 A8",
+    "b11_cohort_insights": "B11 A14",
+    "b11_retention_by_offset": "B11 A13",
+    "b12_fk_null_coverage": "B12 V7 A12",
+    "d1_delivery_class": "D1", "d2_price_outliers": "D2", "d3_delivery_outliers": "D3",
+    "d4_undelivered": "D4", "d5_largest_payment_type": "D5", "d6_most_expensive_product": "D6",
+    "d7_person_grain": "D7", "d8_scd1_upsert": "D8", "d9_incremental_orders": "D9",
+    "d10_kpi_sales": "D10", "d10_kpi_delivery": "D10 F27", "d10_kpi_customers_products": "D10",
+    "d11_retention_heatmap": "D11", "d12_revenue_by_state": "D12", "d12_revenue_by_region": "D12",
     "q1_row_counts": "Q1 A15 K9", "q2_q5_orphans": "Q2 Q3 Q4 Q5 J14",
-    "q10_status_share": "Q10 W1 A8", "q11_q12_unique_keys": "Q11 Q12",
+    "q6_fact_nulls": "Q6 A12 F27", "q7_customer_nulls": "Q7 A12", "q8_consistency": "Q8 A12",
+    "q9_duplicate_orders": "Q9 A9",
+    "q10_status_share": "Q10 W1 A8", "q10_order_metrics": "Q10 A12 F27",
+    "q10_segments": "Q10 A8",
+    "q11_q12_unique_keys": "Q11 Q12",
     "q13_not_null": "Q13", "q13_max_lengths": "Q13 F23",
+    "v1_orders": "V1 W5 A7", "v2_order_items": "V2 P10", "v3_customers": "V3 F23 P10 A7",
+    "v4_products": "V4 P10", "v5_payments": "V5 P10", "v6_reviews": "V6 P10 W5",
+    "v7_unmapped_keys": "V7",
     "v3_top_states": "V3 O3", "v4_top_categories": "V4 O3", "v4_weight_stats": "V4 A10",
-    "v4_volume_stats": "V4 A10", "v5_installments": "V5 A10", "v5_multi_payment_orders": "V5 A9",
-    "v6_sentiment": "V6 F24", "b11_retention_by_offset": "B11 A13", "b11_cohort_insights": "B11 A14",
-    "b1_top_customers": "B1 J15 O2 O4", "b7_status_top5": "B7 O4", "o2_top_clv": "O2",
-    "o5_first_products_per_segment": "O5", "a16_event_nulls": "A16",
+    "v4_volume_stats": "V4 A10", "v5_payment_types": "V5 A8", "v5_installments": "V5 A10",
+    "v5_multi_payment_orders": "V5 A9",
+    "v6_score_distribution": "V6 A8", "v6_sentiment": "V6 F24",
+    "a6_distinct_statuses": "A6", "a7_distinct_counts": "A7", "a8_part_type_counts": "A8 W1",
+    "a9_multi_line_orders": "A9", "a10_totalprice_summary": "A10", "a11_describe_quantity": "A11",
+    "a16_event_nulls": "A16",
+    "o2_top_clv": "O2", "o5_first_products_per_segment": "O5",
     "o5_calendar_head_tail": "O5", "o5_first_cohort": "O5 P8",
-    "w5_k6_lineitem_duplicates": "W5 K6", "b12_fk_null_coverage": "B12 V7 A12",
+    "w5_k6_lineitem_duplicates": "W5 K6",
 }
+
+# SURVEY IDs exercised by unit tests rather than a registered query:
+# F26 (text prefix; the source views carry no review text).
+TESTED_ONLY = {"F26": "tests/test_operators.py::test_text_prefix"}
