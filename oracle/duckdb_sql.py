@@ -625,6 +625,8 @@ def oracle_sql() -> dict[str, str]:
     q["d9_incremental_orders"] = fixtures_only(
         "SELECT order_id, customer_id, order_status FROM src_orders WHERE order_id NOT IN"
         " (SELECT order_id FROM src_orders WHERE order_purchase_timestamp < TIMESTAMP '1999-01-01')")
+    q["d9_incremental_stream"] = fixtures_only(
+        "SELECT order_id, customer_id, order_status FROM src_orders")
     q["d10_kpi_sales"] = with_wh(
         "SELECT CAST(sum(order_total_value) AS DOUBLE) AS total_revenue, count(*) AS completed_orders,"
         f" {mean('order_total_value')} AS avg_order_value,"

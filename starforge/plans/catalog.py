@@ -299,6 +299,25 @@ def q_d9(spark, sf):
         "order_id", "customer_id", "order_status")
 
 
+def q_d9_stream(spark, sf):
+    """D9 as a stream: orders land in two files (before 1999, then all
+    orders again); an availableNow file-source stream appends each batch's
+    unseen order ids to the table.  The result is the loaded table."""
+    from starforge.streaming import incremental_append
+    s = sources(spark, sf)
+    orders = s.orders.select("order_id", "customer_id", "order_status")
+    landing = scratch_path(spark, "landing")
+    table = scratch_path(spark, "orders_table")
+    ckpt = scratch_path(spark, "orders_stream")
+    early = s.orders.where(F.col("order_purchase_timestamp") < F.lit("1999-01-01")
+                           .cast("timestamp_ntz")).select(*orders.columns)
+    early.write.mode("append").parquet(landing)
+    incremental_append(spark, landing, orders.schema, table, "order_id", ckpt).awaitTermination()
+    orders.write.mode("append").parquet(landing)
+    incremental_append(spark, landing, orders.schema, table, "order_id", ckpt).awaitTermination()
+    return spark.read.parquet(table)
+
+
 def q_d8(spark, sf):
     """SCD1 upsert of dim_customers built from orders before 1999 with
     the dimension built from all orders; keys of known customers survive."""
@@ -568,6 +587,7 @@ QUERIES = {
     "d7_person_grain": q_d7,
     "d8_scd1_upsert": q_d8,
     "d9_incremental_orders": q_d9,
+    "d9_incremental_stream": q_d9_stream,
     "d10_kpi_sales": q_d10_sales,
     "d10_kpi_delivery": q_d10_delivery,
     "d10_kpi_customers_products": q_d10_customers,
@@ -650,6 +670,7 @@ COVERS = {
     "d1_delivery_class": "D1", "d2_price_outliers": "D2", "d3_delivery_outliers": "D3",
     "d4_undelivered": "D4", "d5_largest_payment_type": "D5", "d6_most_expensive_product": "D6",
     "d7_person_grain": "D7", "d8_scd1_upsert": "D8", "d9_incremental_orders": "D9",
+    "d9_incremental_stream": "D9",
     "d10_kpi_sales": "D10", "d10_kpi_delivery": "D10 F27", "d10_kpi_customers_products": "D10",
     "d11_retention_heatmap": "D11", "d12_revenue_by_state": "D12", "d12_revenue_by_region": "D12",
     "q1_row_counts": "Q1 A15 K9", "q2_q5_orphans": "Q2 Q3 Q4 Q5 J14",
