@@ -101,7 +101,10 @@ def keep_first(df: DataFrame, key, order_by, reason: str = "duplicate_key"):
     tie = F.struct(*_cols(order_by)).alias("t")
     row = F.struct(*[F.col(c) for c in cols]).alias("r")
     best = counted.groupBy(*keys).agg(F.min(F.struct(tie, row)).alias("_sf_best"))
-    kept = best.select("_sf_best.r.*").select(*cols)
+    # the grouping columns themselves stay, so ``kept`` remains known as
+    # hash-partitioned by the key for a following join
+    kept = best.select(*[F.col(c) if c in keys else F.col(f"_sf_best.r.{c}").alias(c)
+                         for c in cols])
     won = best.select(*[F.col(f"_sf_best.r.{c}").alias(f"_sf_w_{c}") for c in cols],
                       F.lit(1).alias("_sf_win"))
     cond = None

@@ -4,12 +4,14 @@ measures and surrogate keys to the four dimensions.
 Plan shape (all keyed joins are 1:1 because every side is aggregated to the
 order grain first, so no join multiplies rows):
 
-    orders --dedupe by order_id-->  (+) items agg (+) payments agg (+) first review
-        -> customer / product / payment-type key lookups (plain joins; AQE
-           broadcasts a side at run time when its real size is small)
-        -> date keys (computed from the calendar bounds, no join)
+    orders (+customer_key) --dedupe by order_id-->
+        (+) items agg (+product_key) (+) payments agg (+) first review
+        -> payment-type key (tiny side), date keys (computed, no join)
         -> dense order_key (range sort)
 
+The customer and product lookups are plain joins on the narrow inputs; AQE
+broadcasts a side at run time when its real size is small.
+
 The aggregations on order_id leave the data hash-partitioned by order_id, so
 the three order_id joins reuse one partitioning.
 """
@@ -77,13 +79,20 @@ def reviews_agg(reviews: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("review_rows"))
 
 
+KEY_COLUMNS = ("customer_key", "product_key")
+
+
 def unique_orders(orders: DataFrame) -> DataFrame:
-    """Orders with a non-NULL, unique order_id (K6 on the order source)."""
-    cols = [c for c in ORDER_COLUMNS if c in orders.columns]
+    """Orders with a non-NULL, unique order_id (K6 on the order source).
+    A customer_key already looked up on the order rows is carried along."""
+    cols = [c for c in ORDER_COLUMNS + ("customer_key",) if c in orders.columns]
     best = (orders.where(F.col("order_id").isNotNull())
             .groupBy("order_id")
             .agg(F.min(F.struct(*[F.col(c) for c in cols])).alias("_sf_o")))
-    return best.select("_sf_o.*")
+    # keep the grouping column itself (not the struct's copy), so the output
+    # stays known as hash-partitioned by order_id and the joins that follow
+    # do not shuffle the orders again
+    return best.select("order_id", *[F.col(f"_sf_o.{c}").alias(c) for c in cols if c != "order_id"])
 
 
 def order_measures(orders: DataFrame, order_items: DataFrame, payments: DataFrame,
@@ -116,7 +125,8 @@ def order_measures(orders: DataFrame, order_items: DataFrame, payments: DataFram
         .alias("estimated_delivery_days"),
         F.coalesce(delay, F.lit(0)).alias("delivery_delay_days"),
         positive_flag(delay).alias("is_late_delivery"),
-        is_completed().alias("is_completed_order"))
+        is_completed().alias("is_completed_order"),
+        *[c for c in KEY_COLUMNS if c in f.columns])
 
 
 def calendar_key(ts, rules: Rules) -> F.Column:
@@ -130,11 +140,14 @@ def calendar_key(ts, rules: Rules) -> F.Column:
 
 def attach_keys(f: DataFrame, dim_customers: DataFrame, dim_products: DataFrame,
                 dim_payment_type: DataFrame, rules: Rules) -> DataFrame:
-    """Surrogate keys; unmatched business keys give NULL keys (V7)."""
-    f = key_lookup(f, "customer_id", dim_customers, "customer_id", "customer_key", "customer_key",
-                   broadcast=False)
-    f = key_lookup(f, "primary_product_id", dim_products, "product_id", "product_key",
-                   "product_key", broadcast=False)
+    """J6-J9 on an order-grain table: surrogate keys not yet present are
+    looked up; unmatched business keys give NULL keys (V7)."""
+    if "customer_key" not in f.columns:
+        f = key_lookup(f, "customer_id", dim_customers, "customer_id", "customer_key",
+                       "customer_key", broadcast=False)
+    if "product_key" not in f.columns:
+        f = key_lookup(f, "primary_product_id", dim_products, "product_id", "product_key",
+                       "product_key", broadcast=False)
     f = key_lookup(f, "payment_type", dim_payment_type, "payment_type", "payment_type_key",
                    "payment_type_key", broadcast=False)
     return (f.withColumn("order_date_key", calendar_key("order_purchase_timestamp", rules))
@@ -146,9 +159,19 @@ def fact_orders(orders: DataFrame, order_items: DataFrame, payments: DataFrame,
                 dim_payment_type: DataFrame, rules: Rules, created_at=None,
                 primary_product: str = "first", primary_payment: str = "first",
                 items_agg: DataFrame | None = None) -> DataFrame:
+    """The key lookups that need a shuffle run on the narrow inputs, not on
+    the 25-column fact: customer_key on the order rows (before they are
+    de-duplicated on order_id), product_key on the order-level item
+    aggregate.  The fact itself is only shuffled by order_id (joins, all
+    co-partitioned) and range-sorted once for order_key."""
     from starforge.plans.dims import run_timestamp
-    f = order_measures(orders, order_items, payments, reviews, primary_product, primary_payment,
-                       items_agg)
+    o = key_lookup(orders.select(*[c for c in ORDER_COLUMNS if c in orders.columns]),
+                   "customer_id", dim_customers, "customer_id", "customer_key", "customer_key",
+                   broadcast=False)
+    items = items_agg if items_agg is not None else order_items_agg(order_items, primary_product)
+    items = key_lookup(items, "primary_product_id", dim_products, "product_id", "product_key",
+                       "product_key", broadcast=False)
+    f = order_measures(o, order_items, payments, reviews, primary_product, primary_payment, items)
     f = attach_keys(f, dim_customers, dim_products, dim_payment_type, rules)
     keyed = dense_key(f, ["order_id"], "order_key")
     keyed = keyed.withColumn("created_at", created_at if created_at is not None else run_timestamp())
