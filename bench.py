@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from starforge.plans import cohort, facts, reports  # noqa: E402
+from starforge.plans import cohort, reports  # noqa: E402
 from starforge.plans.pipeline import TABLE_ORDER, build, write  # noqa: E402
 from starforge.rules import FIXTURE_RULES  # noqa: E402
 from starforge.session import get_session  # noqa: E402
@@ -75,8 +75,7 @@ def main() -> None:
         "b5": lambda: reports.revenue_metrics(f),
         "b6": lambda: reports.delivery_performance(f),
         "b7": lambda: reports.status_counts(f),
-        "b8": lambda: reports.build_metrics(
-            facts.order_measures(src.orders, src.order_items, src.payments, src.reviews)),
+        "b8": lambda: reports.build_metrics(reports.fanout_weights(f, src.reviews)),
         "b9": lambda: reports.clv_stats(c),
         "b10": lambda: reports.calendar_summary(d),
         "b11": lambda: cohort.cohort_insights(r),

@@ -184,7 +184,9 @@ def _order_grain(spark, sf):
 
 
 def q_b8(spark, sf):
-    return for_oracle(reports.build_metrics(_order_grain(spark, sf)))
+    (f,) = _w(spark, sf, "fact_orders")
+    return for_oracle(reports.build_metrics(
+        reports.fanout_weights(f, sources(spark, sf).reviews)))
 
 
 def q_b8_reviews(spark, sf):

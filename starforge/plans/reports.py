@@ -129,6 +129,14 @@ def build_metrics(order_grain: DataFrame) -> DataFrame:
         .alias("avg_delivery_days_positive"))
 
 
+def fanout_weights(fact: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The fact with ``review_rows``: how many rows the review fan-out
+    would give each order (review rows per order, aggregated map-side)."""
+    n = reviews.groupBy("order_id").agg(F.count(F.lit(1)).alias("review_rows"))
+    return (fact.join(n, "order_id", "left")
+            .withColumn("review_rows", F.coalesce("review_rows", F.lit(0))))
+
+
 def review_fanout_metrics(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     """B8 review part: share of fanned-out rows with a review and their mean
     score, from review rows joined to existing orders (no fan-out built)."""
