@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starforge.llm import simhash
+from starforge.llm import linededup, sharding, simhash
 from starforge.llm.common import documents
 
 
@@ -13,8 +13,20 @@ def op3_simhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_ring_sharding(spark, sf_dir):
+    placed = sharding.shard(documents(spark, sf_dir), shards=8, nodes=64)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "home")
+
+
+def op7_line_dedup(spark, sf_dir):
+    return linededup.line_classes(documents(spark, sf_dir), threshold=0.8)
+
+
 QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_ring_sharding": op4_ring_sharding,
+    "op7_line_dedup": op7_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
