@@ -52,7 +52,8 @@ def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFram
                       likely: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """(node, component) over all verified links between members of a bucket.
 
-    ``members``: (key long, node long[, mark]), one row per bucket and node.
+    ``members``: (key long, node long[, mark]), one row per bucket and node; it is read
+    twice, so it should come from a written table.
     ``verify`` takes distinct pairs (a, b) and returns those that are links.
     ``likely(mark, mark)`` may drop pairs of the second pass before they are
     verified; the first pass needs no such test.
@@ -65,7 +66,6 @@ def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFram
     the result.
     """
     mark = [c for c in members.columns if c == "mark"]
-    members = stage(members, "buckets")
     # node XOR key is a different order of the nodes in each bucket
     full = stage(members.groupBy("key").agg(F.count("*").alias("n"),
                                             F.min(F.expr("node ^ key")).alias("c"))
