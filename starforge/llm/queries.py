@@ -4,8 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starforge.llm import linededup, sharding, simhash
+from starforge.llm import linededup, packing, planes, sharding, simhash
 from starforge.llm.common import documents
+from starforge.session import scratch_path
+
+
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+def op2_bit_plane_ids(spark, sf_dir):
+    path = scratch_path(spark, "planes")
+    planes.write_ids(documents(spark, sf_dir), path, vocabulary("word_bpe_49k.json"), end=2, unit="byte")
+    return planes.read_ids(spark, path)
 
 
 def op3_simhash_near_dedup(spark, sf_dir):
@@ -19,13 +32,19 @@ def op4_ring_sharding(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"), "home")
 
 
+def op5_differencing_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), end=1, window=2048)
+
+
 def op7_line_dedup(spark, sf_dir):
     return linededup.line_classes(documents(spark, sf_dir), threshold=0.8)
 
 
 QUERIES = {
+    "op2_bit_plane_ids": op2_bit_plane_ids,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_ring_sharding": op4_ring_sharding,
+    "op5_differencing_packing": op5_differencing_packing,
     "op7_line_dedup": op7_line_dedup,
 }
 
