@@ -10,12 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starforge.llm.common import checked_small, stage
 
 
+STAR_ROUNDS = 6
+FEW_PAIRS = 8
+
+
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
     return row["n"], row["x"]
@@ -48,56 +52,59 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return stars.union(stars.select(F.col("component").alias("node"), "component").distinct())
 
 
-def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                      likely: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, component) over all verified links between members of a bucket.
 
-    ``members``: (key long, node long[, mark]), one row per bucket and node; it is read
-    twice, so it should come from a written table.
-    ``verify`` takes distinct pairs (a, b) and returns those that are links.
-    ``likely(mark, mark)`` may drop pairs of the second pass before they are
-    verified; the first pass needs no such test.
-
-    Pass 1 verifies every member against one centre of its bucket, which is
-    linear in the bucket; another bucket of the same group has another centre.
-    Pass 2 verifies, in buckets that pass 1 left in several components, each
-    member outside the centre's component against the members of the other
-    components.  Pairs inside one component are never built: they can't change
-    the result.
+    ``members``: (key long, node long), one row per bucket and node; it is read several
+    times, so it should come from a written table.  ``verify`` takes distinct pairs (a, b)
+    and returns those that are links.
+
+    Rounds: in every bucket one member, another one each round and in each bucket, is the
+    centre, and the members of other components are verified against it, which is linear in
+    the bucket.  Pairs inside one component are never built: they can't change the result.
+    The rounds end when what is left to compare (members outside a bucket's largest
+    component, against the members of its other components) is no more than a few pairs per
+    member, or when a round found no link; those pairs are then verified too, so no link
+    between two members of a bucket is lost.
     """
-    mark = [c for c in members.columns if c == "mark"]
-    # node XOR key is a different order of the nodes in each bucket
-    full = stage(members.groupBy("key").agg(F.count("*").alias("n"),
-                                            F.min(F.expr("node ^ key")).alias("c"))
-                 .where("n > 1").select("key", "n", F.expr("c ^ key").alias("centre")), "buckets")
-    shared = stage(members.join(checked_small(full), "key").where("n > 1"), "buckets")
-
-    def ordered(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-    first = stage(ordered(shared.where("node <> centre")
-                          .select(F.col("node").alias("x"), F.col("centre").alias("y"))), "pairs")
-    links = stage(verify(first), "links")
-    found = stage(connected_components(links), "found")
-
-    def located(df: DataFrame, node: str, name: str) -> DataFrame:
-        return (df.join(found.select(F.col("node").alias(node), F.col("component").alias(name)),
-                        node, "left").withColumn(name, F.coalesce(name, node)))
-
-    several = located(located(shared.where("n > 2"), "node", "comp"), "centre", "centre_comp")
-    outside = several.where("comp <> centre_comp")
-    open_keys = stage(outside.select("key").distinct(), "buckets")
-    if not open_keys.head(1):
-        return found
-    several = stage(several.join(checked_small(open_keys), "key", "left_semi")
-                    .select("key", "node", "comp", (F.col("comp") != F.col("centre_comp")).alias("out"),
-                            (F.col("node") == F.col("centre")).alias("is_centre"), *mark), "buckets")
+    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    several = stage(members.join(checked_small(stage(shared, "buckets")), "key"), "buckets")
+    several = several.withColumn("comp", F.col("node"))
+    links = found = None
+
+    def grow(pairs: DataFrame) -> int:
+        nonlocal links, found
+        ordered = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        more = stage(verify(stage(ordered, "pairs")), "links")
+        links = more if links is None else links.union(more)
+        found = stage(connected_components(links), "found")
+        return more.count()
+
+    for step in range(STAR_ROUNDS):
+        salt = F.xxhash64("key", F.lit(step))
+        centre = (several.withColumn("salt", salt).groupBy("key", "salt")
+                  .agg(F.min(F.expr("node ^ salt")).alias("c"))
+                  .select("key", F.expr("c ^ salt").alias("centre")))
+        pairs = several.join(centre, "key")
+        named = several.select(F.col("node").alias("centre"), F.col("comp").alias("centre_comp")).distinct()
+        if step:
+            pairs = pairs.join(named, "centre").where("comp <> centre_comp")
+        new = grow(pairs.where("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y")))
+        placed = (several.select("key", "node").join(found, "node", "left")
+                  .select("key", "node", F.coalesce("component", "node").alias("comp")))
+        sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("c"))
+        state = stage(sizes.groupBy("key").agg(F.sum("c").alias("n"), F.max(F.struct("c", "comp")).alias("top"))
+                      .where("n > top.c and n > 2")
+                      .select("key", "n", F.col("top.c").alias("c"), F.col("top.comp").alias("largest")), "buckets")
+        several = stage(placed.join(checked_small(state.select("key", "largest")), "key"), "buckets")
+        left = state.agg(F.sum(F.expr("(n - c) * n")).alias("pairs"), F.sum("n").alias("rows")).first()
+        if not left["rows"]:
+            return found
+        if not new or left["pairs"] <= FEW_PAIRS * left["rows"]:
+            break
     x, y = several.alias("x"), several.alias("y")
-    differ = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & F.col("x.out") \
-        & ~F.col("y.is_centre") & (~F.col("y.out") | (F.col("x.node") < F.col("y.node")))
-    if likely is not None and mark:
-        differ = differ & likely(F.col("x.mark"), F.col("y.mark"))
-    second = (x.join(y, differ)
-              .select(F.col("x.node").alias("x"), F.col("y.node").alias("y")))
-    more = stage(verify(stage(ordered(second), "pairs")), "links")
-    return connected_components(links.union(more)) if more.head(1) else found
+    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))
+                  & (F.col("x.comp") != F.col("x.largest"))
+                  & ((F.col("y.comp") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node"))))
+    grow(rest.select(F.col("x.node").alias("x"), F.col("y.node").alias("y")))
+    return found

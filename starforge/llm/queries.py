@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starforge.llm import linededup, packing, planes, sharding, simhash
-from starforge.llm.common import documents
+from starforge.llm import backoff, decontaminate, langid, linededup, minhash, packing, planes, sharding, simhash, toxicity
+from starforge.llm.common import crc32_remainder, documents
 from starforge.session import scratch_path
 
 
@@ -15,6 +15,10 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_minhash_fingerprints(spark, sf_dir):
+    return minhash.fingerprints(documents(spark, sf_dir), threshold=0.8)
+
+
 def op2_bit_plane_ids(spark, sf_dir):
     path = scratch_path(spark, "planes")
     planes.write_ids(documents(spark, sf_dir), path, vocabulary("word_bpe_49k.json"), end=2, unit="byte")
@@ -36,16 +40,44 @@ def op5_differencing_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), end=1, window=2048)
 
 
+def op6_toxic_sentences(spark, sf_dir):
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels, crc32_remainder("doc_id", 3) != 1)
+    held = F.coalesce(crc32_remainder("doc_id", 3) == 1, F.lit(False))
+    return toxicity.score(docs, model, decision=0.7).select(
+        "doc_id", held.alias("held_out"), "score", "predicted", "sentence_begin", "sentence_end", "sentence_score")
+
+
 def op7_line_dedup(spark, sf_dir):
     return linededup.line_classes(documents(spark, sf_dir), threshold=0.8)
 
 
+def op8_stupid_backoff(spark, sf_dir):
+    return backoff.scores(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), order=3, backoff=0.4)
+
+
+def op9_qgram_decontamination(spark, sf_dir):
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op10_crf_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = langid.train(docs, crc32_remainder("doc_id", 4) != 2)
+    held = F.coalesce(crc32_remainder("doc_id", 4) == 2, F.lit(False))
+    return langid.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op1_minhash_fingerprints": op1_minhash_fingerprints,
     "op2_bit_plane_ids": op2_bit_plane_ids,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_ring_sharding": op4_ring_sharding,
     "op5_differencing_packing": op5_differencing_packing,
+    "op6_toxic_sentences": op6_toxic_sentences,
     "op7_line_dedup": op7_line_dedup,
+    "op8_stupid_backoff": op8_stupid_backoff,
+    "op9_qgram_decontamination": op9_qgram_decontamination,
+    "op10_crf_language_id": op10_crf_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}

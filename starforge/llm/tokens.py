@@ -45,6 +45,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True         # their strings in a text are ordinary text
         self.model = self.tokenizer.model
+        self.small = self.tokenizer.get_vocab_size() <= 1 << 16       # ids fit 16 bits
         with open(path, encoding="utf-8") as f:
             self.spaced = json.load(f)["pre_tokenizer"]["type"] == "ByteLevel"
         self.words = regex.compile(SPACED if self.spaced else SPACELESS).findall
