@@ -130,16 +130,26 @@ class Index:
         # the bands of 2 k + 1 diagonals, or a little more, in which enough q-grams are shared: a
         # band is two neighbouring slices of k + 1
         wide = np.int64(1) << 32
-        cell = owner * wide + np.floor_divide(at - place, self.steps[owner]) + (wide >> 1)
-        cells, counts = np.unique(np.concatenate([cell, cell - 1]), return_counts=True)
+        slices = owner * wide + np.floor_divide(at - place, self.steps[owner]) + (wide >> 1)
+        cells, counts = np.unique(np.concatenate([slices, slices - 1]), return_counts=True)
+        enough = counts >= self.least[cells // wide]
         best: dict[int, tuple] = {}
-        for cell in cells[counts >= self.least[cells // wide]].tolist():
+        for cell in cells[enough][np.argsort(-counts[enough], kind="stable")].tolist():
             i, b = divmod(cell, int(wide))
             key, item = self.items[i]
+            if i in best and best[i][1] == 0:
+                continue
+            # a q-gram of the item counts once, however often the band repeats it
+            if len(np.unique(place[(slices == cell) | (slices == cell + 1)])) < self.least[i]:
+                continue
             k = self.bounds[i][0]
             first = (b - int(wide >> 1)) * (k + 1) - k
             begin = max(0, first)
             region = raw[begin:first + len(item) + 5 * k + 2]
+            exact = region.find(item)
+            if exact >= 0:
+                best[i] = (key, 0, begin + exact, begin + exact + len(item))
+                continue
             for shift in (0, 2 * k + 1):                          # the alignment keeps 2 k + 1 first places
                 edits, end = aligned(item, region[shift:], k)
                 if edits <= k and (i not in best or edits < best[i][1]):
