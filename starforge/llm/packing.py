@@ -27,27 +27,32 @@ PIECES = """doc_id long, start long, length long, ids_crc32 long, doc_tokens lon
             offset long"""
 
 
-def differencing(sizes: list[int], k: int) -> list[list[int]]:
-    """The items of each of ``k`` windows with near-equal sums (largest differencing method)."""
+def differencing(sizes: list[int], k: int) -> np.ndarray:
+    """The window (0 to k - 1) of each item, with near-equal sums (largest differencing method)."""
     if k == 1:
-        return [list(range(len(sizes)))]
+        return np.zeros(len(sizes), np.int64)
     heap = []
     for i, size in enumerate(sizes):
         sums = np.zeros(k, np.int64)
         sums[0] = size
-        heap.append((-size, i, sums, [[i]] + [[] for _ in range(k - 1)]))
+        heap.append((-size, i, sums, np.array([i]), np.array([0])))     # spread, tie, sums, items, their windows
     heapq.heapify(heap)
     tie = len(sizes)
+    place = np.empty(k, np.int64)
     while len(heap) > 1:
-        _, _, a, left = heapq.heappop(heap)
-        _, _, b, right = heapq.heappop(heap)
+        _, _, a, left, left_at = heapq.heappop(heap)
+        _, _, b, right, right_at = heapq.heappop(heap)
         sums = a + b[::-1]                                   # descending with ascending
         order = np.argsort(-sums, kind="stable")
         sums = sums[order]
-        items = [left[j] + right[k - 1 - j] for j in order.tolist()]
-        heapq.heappush(heap, (int(sums[-1] - sums[0]), tie, sums, items))
+        place[order] = np.arange(k)
+        heapq.heappush(heap, (int(sums[-1] - sums[0]), tie, sums, np.concatenate([left, right]),
+                              np.concatenate([place[left_at], place[k - 1 - right_at]])))
         tie += 1
-    return heap[0][3]
+    _, _, _, items, at = heap[0]
+    result = np.empty(len(sizes), np.int64)
+    result[items] = at
+    return result
 
 
 def windows(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -56,10 +61,11 @@ def windows(sizes: list[int], capacity: int) -> list[list[int]]:
         return []
     k = max(1, -(-sum(sizes) // capacity))
     while True:
-        found = differencing(sizes, k)
-        most = max(sum(sizes[i] for i in w) for w in found)
+        at = differencing(sizes, k)
+        most = int(np.bincount(at, sizes).max())
         if most <= capacity:
-            return [w for w in found if w]
+            order = np.argsort(at, kind="stable")
+            return [w.tolist() for w in np.split(order, np.flatnonzero(np.diff(at[order])) + 1)]
         k = max(k + 1, k * most // capacity)
 
 

@@ -15,7 +15,7 @@ import re
 
 import numpy as np
 
-CACHE = 400_000            # distinct pieces that a worker remembers (about 80 MB)
+CACHE = 1_000_000          # distinct pieces that a worker remembers (about 200 MB)
 PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 OTHER_SPACE = re.compile(r"[^\S \n]")
 # printable ASCII and precomposed Latin letters whose lower case is one character
@@ -58,7 +58,7 @@ class Encoder:
         if found is None:
             spelled = word.encode("utf-8").decode("latin-1").translate(self.letters)
             found = np.array([t.id for t in self.model.tokenize(spelled)], dtype="<u4").tobytes()
-            if len(self.known_words) > CACHE // 2:
+            if len(self.known_words) > CACHE // 4:
                 self.known_words.clear()
             self.known_words[word] = found
         return found
