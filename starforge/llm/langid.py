@@ -24,20 +24,38 @@ BITS = 18
 EPOCHS = 40
 WORD = re.compile(r"[^\W\d_]+")
 LEXICON = 4                # times that the sample holds a word of the lexicon
-WORDS_KEPT = 200_000       # words whose emissions a worker remembers
+WORDS_KEPT = 400_000       # words whose emissions a worker remembers
 CHAIN = 256                # words of a chain: longer lines are cut, each cut a new chain
 TOGETHER = 1024            # chains that run side by side
 UNKNOWN = "und"
 
 
+class _Slots(dict):
+    """Hashed slots of the short letter groups of one kind, remembered."""
+
+    def __init__(self, kind: str):
+        super().__init__()
+        self.kind = kind
+
+    def __missing__(self, group: str) -> int:
+        import xxhash
+
+        slot = self[group] = xxhash.xxh64_intdigest(f"{self.kind} {group}") & ((1 << BITS) - 1)
+        return slot
+
+
+_heads, _tails, _grams = _Slots("a"), _Slots("z"), _Slots("g")
+
+
 def word_features(word: str) -> list[int]:
-    """Hashed affix and n-gram features of a lower-cased word."""
+    """Hashed affix and n-gram features of a lower-cased word, and last its lexicon feature."""
     import xxhash
 
-    forms = {f"a {word[:n]}" for n in (1, 2, 3)} | {f"z {word[-n:]}" for n in (1, 2, 3)}
-    forms |= {f"g {word[i:i + n]}" for n in (2, 3) for i in range(len(word) - n + 1)}
-    return [xxhash.xxh64_intdigest(f) & ((1 << BITS) - 1) for f in forms] + [
-        xxhash.xxh64_intdigest(f"w {word}") & ((1 << BITS) - 1)]
+    n = len(word)
+    groups = {word[i:i + 2] for i in range(n - 1)} | {word[i:i + 3] for i in range(n - 2)}
+    return [*map(_heads.__getitem__, {word[:1], word[:2], word[:3]}),
+            *map(_tails.__getitem__, {word[-1:], word[-2:], word[-3:]}), *map(_grams.__getitem__, groups),
+            xxhash.xxh64_intdigest(f"w {word}") & ((1 << BITS) - 1)]
 
 
 def chains(text: str) -> list[list[str]]:
