@@ -646,13 +646,10 @@ def oracle_sql() -> dict[str, str]:
         " (SELECT count(*) FROM src_order_items) AS items_sold,"
         " (SELECT CAST(count(*) AS DOUBLE) / count(DISTINCT order_id) FROM src_order_items)"
         " AS items_per_order FROM dim_customers")
-    cols = ", ".join(
-        f"max(CASE WHEN months_since_first_purchase = {k} THEN CAST(retention_rate AS DOUBLE) END)"
-        f" AS m{k}" for k in range(13))
     q["d11_retention_heatmap"] = with_wh(
-        f"SELECT cohort_month, cohort_size, {cols} FROM fact_cohort_retention"
-        " WHERE months_since_first_purchase <= 12 GROUP BY cohort_month, cohort_size"
-        " ORDER BY cohort_month")
+        "SELECT cohort_month, cohort_size, months_since_first_purchase AS month_offset,"
+        " CAST(retention_rate AS DOUBLE) AS retention_rate FROM fact_cohort_retention"
+        " ORDER BY cohort_month, month_offset")
     q["d12_revenue_by_state"] = _geo("customer_state")
     q["d12_revenue_by_region"] = _geo("customer_region")
     q["q2_q5_orphans"] = with_wh(" UNION ALL ".join([

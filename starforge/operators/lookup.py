@@ -1,11 +1,10 @@
 """Lookups against small tables.
 
 A lookup is a left join that must not multiply rows, so the lookup side is
-de-duplicated on its key first.  Broadcast is used only where the size is
-known: literal tables built from rules (size = len of the rule list), or a
-table whose row count was checked against ``max_broadcast_rows``.  Anything
-bigger goes through a normal shuffle join, which AQE may still turn into a
-broadcast at run time from real sizes.
+de-duplicated on its key first.  Broadcast is used only for literal tables
+built from rules (size = len of the rule list).  Anything else goes through a
+normal shuffle join, which AQE may still turn into a broadcast at run time
+from real sizes.
 """
 
 from __future__ import annotations
@@ -14,8 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BROADCAST_ROWS = 2_000_000
-
 
 def literal_table(spark: SparkSession, pairs, key: str, value: str) -> DataFrame:
     """A two-column table from (key, value) pairs of a rule list."""
@@ -40,25 +37,14 @@ def literal_lookup(df: DataFrame, column: str, pairs, out: str, default=None) ->
     return joined.withColumn(out, value).drop("_sf_lk", "_sf_lv")
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only if the table is proven small (counted), else as is."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def key_lookup(df: DataFrame, left_on, dim: DataFrame, dim_on: str, dim_value: str,
-               out: str, broadcast: bool | None = None) -> DataFrame:
+               out: str) -> DataFrame:
     """Surrogate-key lookup: ``out`` = dim_value of the dim row whose
-    ``dim_on`` equals ``left_on``; NULL when unmatched.  ``dim_on`` must be
-    unique in ``dim`` (checked by the quality module, Q12).
-
-    broadcast: True = caller proved the size; None = count-check the dim;
-    False = leave the strategy to Catalyst / AQE.
+    ``dim_on`` equals ``left_on``; NULL when unmatched.  A business key that
+    ``dim`` holds several times gives its last (largest) surrogate key, so the
+    lookup never multiplies rows.  Catalyst / AQE choose the join.
     """
-    side = dim.select(F.col(dim_on).alias("_sf_dk"), F.col(dim_value).alias(out))
-    if broadcast is None:
-        side = checked_broadcast(side)
-    elif broadcast:
-        side = F.broadcast(side)
+    side = (dim.groupBy(F.col(dim_on).alias("_sf_dk"))
+            .agg(F.max(dim_value).alias(out)))
     lk = F.col(left_on) if isinstance(left_on, str) else left_on
     return df.join(side, lk == F.col("_sf_dk"), "left").drop("_sf_dk")

@@ -73,15 +73,8 @@ def cohort_insights(retention: DataFrame) -> DataFrame:
         _mean(at(3, "retention_rate")).alias("avg_month_3_retention"))
 
 
-def retention_heatmap(retention: DataFrame, max_offset: int = 12) -> DataFrame:
-    """One row per cohort, one column per month offset 0..max_offset,
-    rows in chronological order.  The offsets are listed, so the pivot does
-    not run a distinct-values job."""
-    offsets = list(range(max_offset + 1))
-    return (retention.where(F.col(OFFSET) <= max_offset)
-            .groupBy("cohort_month", "cohort_size")
-            .pivot(OFFSET, offsets)
-            .agg(F.first(F.col("retention_rate").cast("double")))
-            .select("cohort_month", "cohort_size",
-                    *[F.col(str(k)).alias(f"m{k}") for k in offsets])
-            .orderBy("cohort_month"))
+def retention_heatmap(retention: DataFrame) -> DataFrame:
+    """One row per cell, that is per cohort and month offset from 0 on, with no last offset."""
+    return (retention.select("cohort_month", "cohort_size", F.col(OFFSET).alias("month_offset"),
+                             F.col("retention_rate").cast("double").alias("retention_rate"))
+            .orderBy("cohort_month", "month_offset"))

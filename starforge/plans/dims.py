@@ -20,8 +20,6 @@ from starforge.rules import (DELIVERED, OTHER, UNCATEGORIZED, UNKNOWN_REGION, Ru
 from starforge.schemas import TARGETS, conform
 from starforge.sources.calendar import calendar_days
 
-HOLIDAY_ISIN_MAX = 1000   # longer holiday lists go through a broadcast semi-flag join
-
 
 def run_timestamp() -> F.Column:
     """one load time stamp per run, as TIMESTAMP_NTZ."""
@@ -33,14 +31,9 @@ def date_attributes(days: DataFrame, holidays=()) -> DataFrame:
     """F4-F7, P9 on a ``full_date`` column."""
     d = F.col("full_date")
     hol = [dt.date.fromisoformat(h) for h in holidays]
-    if len(hol) <= HOLIDAY_ISIN_MAX:
-        is_holiday = d.isin(hol) if hol else F.lit(False)
-        out = days.withColumn("is_holiday", is_holiday)
-    else:
-        spark = days.sparkSession
-        flags = spark.createDataFrame([(h,) for h in sorted(set(hol))], "h date")
-        out = (days.join(F.broadcast(flags), d == F.col("h"), "left")
-               .withColumn("is_holiday", F.col("h").isNotNull()).drop("h"))
+    flags = days.sparkSession.createDataFrame([(h,) for h in sorted(set(hol))], "h date")
+    out = (days.join(F.broadcast(flags), d == F.col("h"), "left")     # the rule list
+           .withColumn("is_holiday", F.col("h").isNotNull()).drop("h"))
     return out.select(
         date_key(d).alias("date_key"), d.alias("full_date"),
         F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"),

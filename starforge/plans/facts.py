@@ -144,12 +144,12 @@ def attach_keys(f: DataFrame, dim_customers: DataFrame, dim_products: DataFrame,
     looked up; unmatched business keys give NULL keys (V7)."""
     if "customer_key" not in f.columns:
         f = key_lookup(f, "customer_id", dim_customers, "customer_id", "customer_key",
-                       "customer_key", broadcast=False)
+                       "customer_key")
     if "product_key" not in f.columns:
         f = key_lookup(f, "primary_product_id", dim_products, "product_id", "product_key",
-                       "product_key", broadcast=False)
+                       "product_key")
     f = key_lookup(f, "payment_type", dim_payment_type, "payment_type", "payment_type_key",
-                   "payment_type_key", broadcast=False)
+                   "payment_type_key")
     return (f.withColumn("order_date_key", calendar_key("order_purchase_timestamp", rules))
              .withColumn("delivery_date_key", calendar_key("order_delivered_customer_date", rules)))
 
@@ -166,11 +166,10 @@ def fact_orders(orders: DataFrame, order_items: DataFrame, payments: DataFrame,
     co-partitioned) and range-sorted once for order_key."""
     from starforge.plans.dims import run_timestamp
     o = key_lookup(orders.select(*[c for c in ORDER_COLUMNS if c in orders.columns]),
-                   "customer_id", dim_customers, "customer_id", "customer_key", "customer_key",
-                   broadcast=False)
+                   "customer_id", dim_customers, "customer_id", "customer_key", "customer_key")
     items = items_agg if items_agg is not None else order_items_agg(order_items, primary_product)
     items = key_lookup(items, "primary_product_id", dim_products, "product_id", "product_key",
-                       "product_key", broadcast=False)
+                       "product_key")
     f = order_measures(o, order_items, payments, reviews, primary_product, primary_payment, items)
     f = attach_keys(f, dim_customers, dim_products, dim_payment_type, rules)
     keyed = dense_key(f, ["order_id"], "order_key")

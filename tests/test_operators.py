@@ -163,3 +163,12 @@ def test_exact_percentiles_with_hot_value(spark):
         assert got[name] == pytest.approx(float(np.percentile(vals, p * 100)), abs=1e-9), name
     empty = exact_percentiles(df.where("x < 0"), "x", {"m": 0.5}).first()
     assert empty.m is None
+
+
+def test_key_lookup_keeps_one_row_per_key(spark):
+    """A business key listed twice gives its last surrogate key and no second row."""
+    from starforge.operators.lookup import key_lookup
+    facts = spark.createDataFrame([("o1", "p1"), ("o2", "p2"), ("o3", None)], "order_id string, product_id string")
+    dim = spark.createDataFrame([("p1", 1), ("p1", 4), ("p2", 2)], "product_id string, product_key int")
+    got = key_lookup(facts, "product_id", dim, "product_id", "product_key", "product_key").collect()
+    assert sorted((r.order_id, r.product_key or 0) for r in got) == [("o1", 4), ("o2", 2), ("o3", 0)]
