@@ -5,13 +5,15 @@ longest n-gram that ends with it and was seen in *another* document (its own cou
 off), times ``BACKOFF`` for each order given up; a token seen nowhere else counts as half an
 occurrence.
 
-Documents are dealt into blocks by a hash of their row.  Each block explodes its n-grams and
-counts them before anything is shuffled, so a frequent n-gram is one row per block.  The rows
-(n-gram, block, count) are partitioned by a hash of the n-gram and summed: that is the count
-table.  Joined back to the blocks' rows, it returns to each block the totals of the n-grams
-that other blocks hold too; for all others the block's own count is the total.  There the
-documents' scores are summed up.  The table of single ids has a row per vocabulary entry at
-most and is sent along.
+Every task takes its documents in blocks of about ``BLOCK`` ids and counts a block's n-grams
+before anything is shuffled, so a frequent n-gram is one entry per block.  The count table is
+partitioned by a hash of the n-gram: a block's entries of one part are one row, as arrays
+(sorted differences, compressed), because single rows would take several times the space of
+the texts.  Each part is summed over the blocks and joined to the blocks' own entries: the
+totals of the n-grams that other blocks hold too return to each block; for all others the
+block's own count is the total.  There the documents' scores are summed up.  Both the length
+of a block and the n-grams of a part are bounded whatever the size of the corpus (a document
+is never divided, so a longer one is a block of its own).
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from starforge.llm.common import shuffle_partitions, stage
 ORDER = 3
 BACKOFF = 0.4
 ID_BITS = 20               # ids below 2 ** 20, three of them in a long
+BLOCK = 1 << 21            # ids that a task counts together
+PART = 1 << 23             # bytes of text per part of the count table
 
 
 def grams(ids: np.ndarray, n: int) -> np.ndarray:
@@ -39,6 +43,36 @@ def _counts(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int64), return_counts=True)
 
 
+def _part(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Part of the count table that holds an n-gram."""
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(parts)).astype(np.int64)
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Non-negative longs, byte plane after byte plane, compressed."""
+    import zstandard
+
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.int64)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted n-grams as their differences."""
+    return pack(np.diff(keys, prepend=0))
+
+
+def unpack_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpack(raw))
+
+
 def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """values of the wanted keys (sorted), 0 where there is none."""
     if not len(keys):
@@ -70,7 +104,8 @@ def log_scores(ids: np.ndarray, totals: dict[int, tuple[np.ndarray, np.ndarray]]
     return float(score.sum())
 
 
-def scores(docs: DataFrame, tokenizer: str, order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
+def scores(docs: DataFrame, tokenizer: str, order: int = ORDER, backoff: float = BACKOFF,
+           block_ids: int = BLOCK) -> DataFrame:
     """One row per document: (doc_id, n_tokens, log_score, per_token).
 
     log_score is the sum over all tokens, per_token their mean.  Null, empty and tokenless
@@ -81,63 +116,85 @@ def scores(docs: DataFrame, tokenizer: str, order: int = ORDER, backoff: float =
     import pyarrow as pa
 
     spark = docs.sparkSession
-    blocks = shuffle_partitions(spark)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(shuffle_partitions(spark), -(-size // PART))
 
-    def encode(batches):
+    def entries(block: int, ids: list[np.ndarray]):
+        """The block's rows of the count table, one per part and length of n-gram."""
+        for n in range(1, order + 1):
+            keys, c = _counts([grams(x, n) for x in ids])
+            part = _part(keys, parts)
+            order_of = np.argsort(part, kind="stable")
+            cuts = np.flatnonzero(np.diff(part[order_of], prepend=-1))
+            for at in np.split(order_of, cuts[1:]) if len(keys) else []:
+                yield {"block": block, "part": int(part[at[0]]), "n": n,
+                       "grams": pack_keys(keys[at]), "counts": pack(c[at])}
+
+    def rows(some: list[dict]):
+        return pa.RecordBatch.from_pylist(some, schema=pa.schema(
+            [("block", pa.int64()), ("doc_id", pa.int64()), ("width", pa.int32()), ("ids", pa.binary()),
+             ("part", pa.int64()), ("n", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary())]))
+
+    def count(batches):
         from pyspark import TaskContext
 
         from starforge.llm.tokens import encoder
 
-        coder, row = encoder(tokenizer), TaskContext.get().partitionId() << 40
+        coder, block = encoder(tokenizer), TaskContext.get().partitionId() << 32
+        kind = np.uint16 if coder.small else np.uint32
+        held, length = [], 0
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            raw = [np.frombuffer(coder.ids(t or ""), "<u4").astype(np.uint16 if coder.small else np.uint32).tobytes()
-                   for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(row, row + len(keys)), pa.int64()), pa.array(keys, pa.int64()),
-                 pa.array([2 if coder.small else 4] * len(keys), pa.int32()), pa.array(raw, pa.binary())],
-                names=["row", "doc_id", "width", "ids"])
-            row += len(keys)
-
-    coded = stage(docs.select("doc_id", "text").mapInArrow(encode, "row long, doc_id long, width int, ids binary")
-                  .withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
-                  .repartition(blocks, "block"), "backoff")
-
-    def unpack(width, raw):
-        return np.frombuffer(raw, "<u2" if width == 2 else "<u4")
-
-    def count(group):
+            out = []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = np.frombuffer(coder.ids(text or ""), "<u4").astype(kind)
+                if held and length + len(ids) > block_ids:
+                    out.extend(entries(block, held))
+                    held, length, block = [], 0, block + 1
+                held.append(ids)
+                length += len(ids)
+                out.append({"block": block, "doc_id": key, "width": ids.itemsize, "ids": ids.tobytes()})
+            yield rows(out)
+        if held:
+            yield rows(list(entries(block, held)))
+
+    counted = stage(docs.select("doc_id", "text").mapInArrow(
+        count, "block long, doc_id long, width int, ids binary, part long, n int, grams binary, counts binary"),
+        "backoff")
+    coded = counted.where("part is null").select("block", "doc_id", "width", "ids")
+    n_tokens = coded.agg(F.sum(F.length("ids") / F.col("width"))).first()[0] or 0
+
+    def total(group):
+        """The totals of the n-grams of one part that several blocks hold, a row per block."""
         import pandas as pd
 
-        ids = [unpack(w, r) for w, r in zip(group["width"], group["ids"])]
-        out = []
-        for n in range(1, order + 1):
-            kinds, c = _counts([grams(x, n) for x in ids])
-            out.append(pd.DataFrame({"block": np.int32(group["block"].iloc[0]), "n": np.int32(n),
-                                     "gram": kinds, "c": c.astype(np.int64)}))
-        return pd.concat(out)
-
-    counted = stage(coded.groupBy("block").applyInPandas(count, "block int, n int, gram long, c long"), "backoff")
-    singles = counted.where("n = 1").groupBy("gram").agg(F.sum("c").alias("c")).orderBy("gram").collect()
-    one = (np.array([r["gram"] for r in singles], np.int64), np.array([r["c"] for r in singles], np.int64))
-    sent = spark.sparkContext.broadcast((one, int(one[1].sum())))       # the vocabulary's size bounds it
-    table = (counted.where("n > 1").groupBy("n", "gram").agg(F.sum("c").alias("total"), F.count("*").alias("held"))
-             .where("held > 1").select("n", "gram", "total"))
-    shared = (counted.where("n > 1").join(table, ["n", "gram"]).select("block", "n", "gram", "total"))
+        keys = [unpack_keys(x) for x in group["grams"]]
+        every = np.concatenate(keys)
+        kinds, at, held = np.unique(every, return_inverse=True, return_counts=True)
+        sums = np.bincount(at, np.concatenate([unpack(x) for x in group["counts"]])).astype(np.int64)
+        out, begin = [], 0
+        for block, own in zip(group["block"], keys):
+            mine = at[begin:begin + len(own)]
+            begin += len(own)
+            several = mine[held[mine] > 1]
+            if len(several):
+                out.append((block, group["n"].iloc[0], pack_keys(kinds[several]), pack(sums[several])))
+        return pd.DataFrame(out, columns=["block", "n", "grams", "totals"])
+
+    shared = (counted.where("part is not null").select("block", "part", "n", "grams", "counts")
+              .groupBy("part", "n").applyInPandas(total, "block long, n int, grams binary, totals binary"))
 
     def score(group, totals):
         import pandas as pd
 
-        ids = [unpack(w, r) for w, r in zip(group["width"], group["ids"])]
-        (kinds, c), all_tokens = sent.value
-        known = {1: (kinds, c)}
-        for n in range(2, order + 1):
+        ids = [np.frombuffer(r, "<u2" if w == 2 else "<u4") for w, r in zip(group["width"], group["ids"])]
+        known = {}
+        for n in range(1, order + 1):
             keys, own = _counts([grams(x, n) for x in ids])
             mine = totals[totals["n"] == n]
-            more = np.argsort(mine["gram"].to_numpy(), kind="stable")
-            given = _look(mine["gram"].to_numpy()[more], mine["total"].to_numpy()[more], keys)
-            known[n] = (keys, np.where(given > 0, given, own))
-        logs = [log_scores(x, known, all_tokens, order, backoff) if len(x) else 0.0 for x in ids]
+            for g, t in zip(mine["grams"], mine["totals"]):
+                own[np.searchsorted(keys, unpack_keys(g))] = unpack(t)
+            known[n] = (keys, own)
+        logs = [log_scores(x, known, int(n_tokens), order, backoff) if len(x) else 0.0 for x in ids]
         sizes = [len(x) for x in ids]
         return pd.DataFrame({"doc_id": group["doc_id"].astype("Int64"), "n_tokens": sizes, "log_score": logs,
                              "per_token": [s / max(n, 1) for s, n in zip(logs, sizes)]})

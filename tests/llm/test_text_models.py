@@ -166,6 +166,9 @@ def test_backoff_matches_counting_by_hand(spark):
         want.append((key, len(ids), round(score, 6)))
     got = [(r.doc_id, r.n_tokens, round(r.log_score, 6)) for r in backoff.scores(docs, path).collect()]
     assert sorted(got) == sorted(want)
+    blocks = [(r.doc_id, r.n_tokens, round(r.log_score, 6))         # many blocks, none wider than a document
+              for r in backoff.scores(docs, path, block_ids=500).collect()]
+    assert sorted(blocks) == sorted(want)
     assert backoff.scores(docs.limit(0), path).count() == 0
 
 
