@@ -5,8 +5,8 @@ longest n-gram that ends with it and was seen in *another* document (its own cou
 off), times ``BACKOFF`` for each order given up; a token seen nowhere else counts as half an
 occurrence.
 
-Every task takes its documents in blocks of about ``BLOCK`` ids and counts a block's n-grams
-before anything is shuffled, so a frequent n-gram is one entry per block.  The count table is
+Every task writes its documents in blocks of about ``BLOCK`` ids, and a block's n-grams are
+counted before anything is shuffled, so a frequent n-gram is one entry per block.  The count table is
 partitioned by a hash of the n-gram: a block's entries of one part are one row, as arrays
 (sorted differences, compressed), because single rows would take several times the space of
 the texts.  Each part is summed over the blocks and joined to the blocks' own entries: the
@@ -53,6 +53,8 @@ def pack(values: np.ndarray) -> bytes:
     """Non-negative longs, byte plane after byte plane, compressed."""
     import zstandard
 
+    if not len(values):
+        return b""
     planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
@@ -60,6 +62,8 @@ def pack(values: np.ndarray) -> bytes:
 def unpack(raw: bytes) -> np.ndarray:
     import zstandard
 
+    if not raw:
+        return np.zeros(0, np.int64)
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
     return np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.int64)
 
@@ -130,38 +134,45 @@ def scores(docs: DataFrame, tokenizer: str, order: int = ORDER, backoff: float =
                 yield {"block": block, "part": int(part[at[0]]), "n": n,
                        "grams": pack_keys(keys[at]), "counts": pack(c[at])}
 
-    def rows(some: list[dict]):
-        return pa.RecordBatch.from_pylist(some, schema=pa.schema(
-            [("block", pa.int64()), ("doc_id", pa.int64()), ("width", pa.int32()), ("ids", pa.binary()),
-             ("part", pa.int64()), ("n", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary())]))
+    def write(block: int, keys: list, ids: list[np.ndarray]):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), pa.array([keys], pa.list_(pa.string())),
+             pa.array([[len(x) for x in ids]], pa.list_(pa.int32())),
+             pa.array([pack(np.concatenate(ids))], pa.binary())], names=["block", "doc_ids", "sizes", "ids"])
 
-    def count(batches):
+    def encode(batches):
         from pyspark import TaskContext
 
         from starforge.llm.tokens import encoder
 
         coder, block = encoder(tokenizer), TaskContext.get().partitionId() << 32
-        kind = np.uint16 if coder.small else np.uint32
-        held, length = [], 0
+        keys, ids, length = [], [], 0
         for batch in batches:
-            out = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.frombuffer(coder.ids(text or ""), "<u4").astype(kind)
-                if held and length + len(ids) > block_ids:
-                    out.extend(entries(block, held))
-                    held, length, block = [], 0, block + 1
-                held.append(ids)
-                length += len(ids)
-                out.append({"block": block, "doc_id": key, "width": ids.itemsize, "ids": ids.tobytes()})
-            yield rows(out)
-        if held:
-            yield rows(list(entries(block, held)))
-
-    counted = stage(docs.select("doc_id", "text").mapInArrow(
-        count, "block long, doc_id long, width int, ids binary, part long, n int, grams binary, counts binary"),
-        "backoff")
-    coded = counted.where("part is null").select("block", "doc_id", "width", "ids")
-    n_tokens = coded.agg(F.sum(F.length("ids") / F.col("width"))).first()[0] or 0
+                new = np.frombuffer(coder.ids(text or ""), "<u4")
+                if keys and length + len(new) > block_ids:
+                    yield write(block, keys, ids)
+                    keys, ids, length, block = [], [], 0, block + 1
+                keys.append(None if key is None else str(key))        # a list with nulls would become floats
+                ids.append(new)
+                length += len(new)
+        if keys:
+            yield write(block, keys, ids)
+
+    def texts(sizes, raw: bytes) -> list[np.ndarray]:
+        return np.split(unpack(raw), np.cumsum(sizes)[:-1])
+
+    def count(batches):
+        for batch in batches:
+            for block, sizes, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                for some in entries(block, texts(sizes, raw)):
+                    yield pa.RecordBatch.from_pylist([some], schema=pa.schema(
+                        [("block", pa.int64()), ("part", pa.int64()), ("n", pa.int32()),
+                         ("grams", pa.binary()), ("counts", pa.binary())]))
+
+    coded = stage(docs.select("doc_id", "text").mapInArrow(
+        encode, "block long, doc_ids array<string>, sizes array<int>, ids binary"), "backoff")
+    n_tokens = coded.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
 
     def total(group):
         """The totals of the n-grams of one part that several blocks hold, a row per block."""
@@ -180,13 +191,17 @@ def scores(docs: DataFrame, tokenizer: str, order: int = ORDER, backoff: float =
                 out.append((block, group["n"].iloc[0], pack_keys(kinds[several]), pack(sums[several])))
         return pd.DataFrame(out, columns=["block", "n", "grams", "totals"])
 
-    shared = (counted.where("part is not null").select("block", "part", "n", "grams", "counts")
+    shared = (coded.select("block", "sizes", "ids")
+              .mapInArrow(count, "block long, part long, n int, grams binary, counts binary")
               .groupBy("part", "n").applyInPandas(total, "block long, n int, grams binary, totals binary"))
 
     def score(group, totals):
         import pandas as pd
 
-        ids = [np.frombuffer(r, "<u2" if w == 2 else "<u4") for w, r in zip(group["width"], group["ids"])]
+        if not len(group):
+            return pd.DataFrame(columns=["doc_id", "n_tokens", "log_score", "per_token"])
+        keys_of, raw = group["doc_ids"].iloc[0], group["ids"].iloc[0]
+        ids = texts(group["sizes"].iloc[0], raw)
         known = {}
         for n in range(1, order + 1):
             keys, own = _counts([grams(x, n) for x in ids])
@@ -196,7 +211,7 @@ def scores(docs: DataFrame, tokenizer: str, order: int = ORDER, backoff: float =
             known[n] = (keys, own)
         logs = [log_scores(x, known, int(n_tokens), order, backoff) if len(x) else 0.0 for x in ids]
         sizes = [len(x) for x in ids]
-        return pd.DataFrame({"doc_id": group["doc_id"].astype("Int64"), "n_tokens": sizes, "log_score": logs,
+        return pd.DataFrame({"doc_id": pd.array([None if k is None else int(k) for k in keys_of], "Int64"), "n_tokens": sizes, "log_score": logs,
                              "per_token": [s / max(n, 1) for s, n in zip(logs, sizes)]})
 
     return (coded.groupBy("block").cogroup(shared.groupBy("block"))

@@ -170,6 +170,9 @@ def test_backoff_matches_counting_by_hand(spark):
               for r in backoff.scores(docs, path, block_ids=500).collect()]
     assert sorted(blocks) == sorted(want)
     assert backoff.scores(docs.limit(0), path).count() == 0
+    odd = spark.createDataFrame([(None, "the cat"), (2 ** 60 + 1, ""), (None, None)], "doc_id long, text string")
+    found = sorted(((r.doc_id or 0, r.n_tokens) for r in backoff.scores(odd, path).collect()))
+    assert found == [(0, 0), (0, 2), (2 ** 60 + 1, 0)]
 
 
 def test_fold_of_an_id(spark):
