@@ -52,16 +52,37 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return stars.union(stars.select(F.col("component").alias("node"), "component").distinct())
 
 
-def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def reach(sets: DataFrame) -> DataFrame:
+    """(node, size, most): how many elements a set has, and how many of them any other set has too.
+
+    ``sets``: (node long, size int, elements array), elements hashed to 32 bits; hashes that
+    collide only make ``most`` larger.  Two sets share at most the smaller ``most``.
+    """
+    sets = stage(sets, "sets")
+    alone = (sets.select("node", F.explode(F.array_distinct("elements")).alias("e"))
+             .groupBy("e").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+             .groupBy("node").agg(F.count("*").alias("own")))
+    return stage(sets.select("node", "size").join(alone, "node", "left")
+                 .select("node", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("most")), "reach")
+
+
+def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
+                      elements: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
     """(node, component) over all verified links between members of a bucket.
 
     ``members``: (key long, node long), one row per bucket and node; it is read several
     times, so it should come from a written table.  ``verify`` takes distinct pairs (a, b)
-    and returns those that are links.
+    and returns those that are links, which have a Jaccard similarity of ``threshold`` or
+    more.  ``elements`` takes nodes (node) and returns their sets as ``reach`` reads them.
 
     Rounds: in every bucket one member, another one each round and in each bucket, is the
     centre, and the members of other components are verified against it, which is linear in
     the bucket.  Pairs inside one component are never built: they can't change the result.
+    After the first round the members of buckets that still hold several components are
+    counted by ``reach``: two sets that share at most m elements have at most the similarity
+    m / (sizes - m).  Members that no partner can be similar enough to leave, pairs under
+    the bound are not compared, and members with few elements of their own are the likelier
+    centres.  In a group of copies with different edits that settles nearly all pairs.
     The rounds end when what is left to compare (members outside a bucket's largest
     component, against the members of its other components) is no more than a few pairs per
     member, or when a round found no link; those pairs are then verified too, so no link
@@ -69,8 +90,8 @@ def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFram
     """
     shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     several = stage(members.join(checked_small(stage(shared, "buckets")), "key"), "buckets")
-    several = several.withColumn("comp", F.col("node"))
-    links = found = None
+    several = several.select("key", "node", F.col("node").alias("comp"), F.lit(1).alias("size"), F.lit(1).alias("most"))
+    links = found = bounds = None
 
     def grow(pairs: DataFrame) -> int:
         nonlocal links, found
@@ -80,31 +101,46 @@ def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFram
         found = stage(connected_components(links), "found")
         return more.count()
 
-    for step in range(STAR_ROUNDS):
-        salt = F.xxhash64("key", F.lit(step))
-        centre = (several.withColumn("salt", salt).groupBy("key", "salt")
-                  .agg(F.min(F.expr("node ^ salt")).alias("c"))
-                  .select("key", F.expr("c ^ salt").alias("centre")))
-        pairs = several.join(centre, "key")
-        named = several.select(F.col("node").alias("centre"), F.col("comp").alias("centre_comp")).distinct()
-        if step:
-            pairs = pairs.join(named, "centre").where("comp <> centre_comp")
-        new = grow(pairs.where("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y")))
-        placed = (several.select("key", "node").join(found, "node", "left")
-                  .select("key", "node", F.coalesce("component", "node").alias("comp")))
+    def possible(x: str, y: str):
+        return F.expr(f"least({x}most, {y}most) * {1 + threshold} + 1e-9 >= {threshold} * ({x}size + {y}size)")
+
+    def unsettled(placed: DataFrame):
+        """The members of buckets that hold several components, and the numbers of pairs and rows."""
         sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("c"))
         state = stage(sizes.groupBy("key").agg(F.sum("c").alias("n"), F.max(F.struct("c", "comp")).alias("top"))
-                      .where("n > top.c and n > 2")
+                      .where("n > top.c")
                       .select("key", "n", F.col("top.c").alias("c"), F.col("top.comp").alias("largest")), "buckets")
-        several = stage(placed.join(checked_small(state.select("key", "largest")), "key"), "buckets")
-        left = state.agg(F.sum(F.expr("(n - c) * n")).alias("pairs"), F.sum("n").alias("rows")).first()
+        return (stage(placed.join(checked_small(state.select("key", "largest")), "key"), "buckets"),
+                state.agg(F.sum(F.expr("(n - c) * n")).alias("pairs"), F.sum("n").alias("rows")).first())
+
+    for step in range(STAR_ROUNDS):
+        salt = F.xxhash64("key", F.lit(step))
+        weight = (F.col("size") - F.col("most") + 1) * (1 + F.pmod(F.xxhash64("node", salt), F.lit(16)))
+        centre = (several.groupBy("key").agg(F.min_by("node", F.struct(weight, F.xxhash64("node", salt))).alias("centre")))
+        named = several.select(F.col("node").alias("centre"), F.col("comp").alias("centre_comp"),
+                               F.col("size").alias("centre_size"), F.col("most").alias("centre_most")).distinct()
+        pairs = several.join(centre, "key").where("node <> centre")
+        if step:
+            pairs = pairs.join(named, "centre").where("comp <> centre_comp").where(possible("", "centre_"))
+        new = grow(pairs.select(F.col("node").alias("x"), F.col("centre").alias("y")))
+        placed = (several.select("key", "node", "size", "most").join(found, "node", "left")
+                  .select("key", "node", F.coalesce("component", "node").alias("comp"), "size", "most"))
+        if bounds is None:                  # a bucket of two was settled by the first round
+            placed = placed.join(several.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").select("key"), "key")
+        several, left = unsettled(placed)
+        if left["rows"] and bounds is None:
+            bounds = reach(elements(stage(several.select("node").distinct(), "buckets")))
+            several, left = unsettled(several.select("key", "node", "comp").join(bounds, "node")
+                                      .where(f"most + 1e-9 >= {threshold} * size")
+                                      .select("key", "node", "comp", "size", "most"))
         if not left["rows"]:
             return found
-        if not new or left["pairs"] <= FEW_PAIRS * left["rows"]:
+        if step and (not new or left["pairs"] <= FEW_PAIRS * left["rows"]):
             break
     x, y = several.alias("x"), several.alias("y")
     rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))
                   & (F.col("x.comp") != F.col("x.largest"))
-                  & ((F.col("y.comp") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node"))))
+                  & ((F.col("y.comp") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node")))
+                  & possible("x.", "y."))
     grow(rest.select(F.col("x.node").alias("x"), F.col("y.node").alias("y")))
     return found

@@ -185,6 +185,21 @@ def classes(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())],
                                              names=["doc_id", "s"])
 
+    def short_sets(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [np.unique(shingles(t or "")) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(s) for s in found], pa.int32()),
+                 pa.array([(s >> np.uint64(32)).astype(np.uint32).view(np.int32) for s in found], pa.list_(pa.int32()))],
+                names=["node", "size", "elements"])
+
+    def elements(ids: DataFrame) -> DataFrame:
+        return (docs.select("doc_id", "text")
+                .join(checked_small(ids.withColumnRenamed("node", "doc_id")), "doc_id", "left_semi")
+                .mapInArrow(short_sets, "node long, size int, elements array<int>").dropDuplicates(["node"]))
+
     def alike(batches):
         import pyarrow as pa
 
@@ -204,7 +219,7 @@ def classes(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD) ->
         return (pairs.join(found.toDF("a", "sa"), "a").join(found.toDF("b", "sb"), "b")
                 .select("a", "b", "sa", "sb").mapInArrow(alike, "a long, b long"))
 
-    found = bucket_components(members, verify).withColumnRenamed("node", "first")
+    found = bucket_components(members, verify, elements, threshold).withColumnRenamed("node", "first")
     named = firsts.join(found, "first", "left").where("n > 1 or component is not null").select(
         "fingerprint", F.coalesce("component", "first").alias("class_id"))
     return signed.join(named, "fingerprint").select("doc_id", "class_id")
