@@ -126,14 +126,13 @@ COPY_CHUNK = 1 << 20
 def _expand_copies(df: DataFrame, count_col: str) -> DataFrame:
     """Turn a row with multiplicity m back into m rows without one task
     emitting them all: m is cut into chunks of at most COPY_CHUNK, the chunk
-    rows are spread round-robin over the cluster, then each chunk explodes."""
+    rows are spread over the cluster by a hash of row and chunk, then each explodes."""
     m = F.col(count_col).cast("long")
     chunks = df.withColumn("_sf_chunk", F.explode(F.sequence(
         F.lit(0).cast("long"), F.floor((m - 1) / COPY_CHUNK).cast("long"))))
     sized = chunks.withColumn(
         "_sf_size", F.least(F.lit(COPY_CHUNK).cast("long"), m - F.col("_sf_chunk") * COPY_CHUNK))
-    n = df.sparkSession.sparkContext.defaultParallelism
-    spread = sized.repartition(max(1, n))
+    spread = sized.repartition(*sized.columns)
     return (spread.withColumn("_sf_copy", F.explode(F.sequence(F.lit(1).cast("long"),
                                                               F.col("_sf_size"))))
             .drop("_sf_chunk", "_sf_size", "_sf_copy"))

@@ -337,8 +337,10 @@ def q_d8(spark, sf):
 
 # ---------------------------------------------------------------- quality
 def q_q1(spark, sf):
+    from starforge.plans.pipeline import TABLE_ORDER
     from starforge.sinks import row_counts
-    return row_counts(warehouse(spark, sf))
+    w = warehouse(spark, sf)
+    return row_counts({name: w[name] for name in TABLE_ORDER})
 
 
 def q_q2_q5(spark, sf):

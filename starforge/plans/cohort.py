@@ -26,13 +26,21 @@ def _mean(c) -> F.Column:
 
 
 def cohort_cells(orders: DataFrame, dim_customers: DataFrame, grain: str = "customer_id") -> DataFrame:
-    """(cohort_month, offset) -> retained_customers, cohort_size, retention_rate."""
+    """(cohort_month, offset) -> retained_customers, cohort_size, retention_rate.
+
+    grain='customer_unique_id' counts persons (D7): the orders of all ids of a person are
+    the person's, whose cohort is the month of the first of them.
+    """
+    if grain not in orders.columns:
+        person = dim_customers.groupBy("customer_id").agg(F.min(grain).alias(grain))
+        orders = (orders.groupBy("customer_id", month_start("order_purchase_timestamp").alias("order_purchase_timestamp"))
+                  .agg(F.lit(1).alias("_sf_one")).join(person, "customer_id"))
     active = (orders.select(F.col(grain), month_start("order_purchase_timestamp").alias("order_month"))
               .where(F.col("order_month").isNotNull() & F.col(grain).isNotNull())
               .distinct())
     cohorts = (dim_customers.select(F.col(grain), month_start("first_order_date").alias("cohort_month"))
                .where(F.col("cohort_month").isNotNull())
-               .distinct())
+               .groupBy(grain).agg(F.min("cohort_month").alias("cohort_month")))
     a = (active.join(cohorts, grain, "inner")
          .withColumn(OFFSET, months_between_starts("order_month", "cohort_month")))
     cells = a.groupBy("cohort_month", OFFSET).agg(F.count(F.lit(1)).cast("int")

@@ -42,18 +42,18 @@ def _zero(x) -> F.Column:
 def order_items_agg(order_items: DataFrame, primary: str = "first") -> DataFrame:
     """A1: items -> order.  primary='first' (W3, lowest item tuple) or
     'most_expensive' (D6, highest price, ties by item tuple)."""
+    rank = [F.col(x) for x in ITEM_ORDER]            # holds both ids that are picked
     if primary == "most_expensive":
-        pick = lambda c: F.min_by(F.col(c), F.struct(-F.coalesce(F.col("price"), F.lit(0)),
-                                                     *[F.col(x) for x in ITEM_ORDER]))
-    else:
-        pick = lambda c: first_by(c, ITEM_ORDER)
-    return order_items.groupBy("order_id").agg(
+        rank = [(-F.coalesce(F.col("price"), F.lit(0))).alias("_sf_price"), *rank]
+    agg = order_items.groupBy("order_id").agg(
         F.count("order_item_id").alias("order_item_count"),
         _zero(F.sum("price")).alias("order_subtotal"),
         _zero(F.sum("freight_value")).alias("order_freight_total"),
         _zero(F.sum(item_total())).alias("order_total_value"),
-        pick("product_id").alias("primary_product_id"),
-        pick("seller_id").alias("seller_id"))
+        F.min(F.struct(*rank)).alias("_sf_first"))
+    return agg.select("order_id", "order_item_count", "order_subtotal", "order_freight_total",
+                      "order_total_value", F.col("_sf_first.product_id").alias("primary_product_id"),
+                      F.col("_sf_first.seller_id").alias("seller_id"))
 
 
 def payments_agg(payments: DataFrame, primary: str = "first") -> DataFrame:

@@ -23,10 +23,11 @@ TABLE_ORDER = ("dim_date", "dim_products", "dim_payment_type", "dim_customers",
                "fact_orders", "fact_cohort_retention")
 
 
-def build(spark: SparkSession, src: Sources, rules: Rules, review_policy: str = "first",
+def build(spark: SparkSession, src: Sources, rules: Rules,
           primary_product: str = "first", primary_payment: str = "first") -> dict[str, DataFrame]:
     """Dimensions first (date, products, payment type, customers), then the
-    two facts, as in the warehouse's load order."""
+    two facts, as in the warehouse's load order.  ``fact_quarantine`` holds the
+    order and review rows that ``fact_orders`` leaves out, with their reason."""
     ts = run_timestamp()
     t: dict[str, DataFrame] = {}
     # The order-level item aggregate (A1, which contains A3's order total) feeds
@@ -43,15 +44,16 @@ def build(spark: SparkSession, src: Sources, rules: Rules, review_policy: str =
                                    t["dim_customers"], t["dim_products"], t["dim_payment_type"],
                                    rules, ts, primary_product, primary_payment, items_agg=items)
     t["fact_cohort_retention"] = fact_cohort_retention(src.orders, t["dim_customers"], ts)
-    if review_policy == "fanout":
-        t["fact_quarantine"] = fact_quarantine(src.orders, src.reviews)
+    t["fact_quarantine"] = fact_quarantine(src.orders, src.reviews)
     return t
 
 
 def write(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, str]:
-    """K1/K7: full refresh, one folder per table."""
+    """K1/K7: full refresh, one folder per table; the rejects go to fact_quarantine beside them."""
     from starforge.sinks import write_table
     paths = {}
+    if "fact_quarantine" in tables:
+        write_table(tables["fact_quarantine"], f"{out_dir.rstrip('/')}/fact_quarantine", fmt)
     for name in TABLE_ORDER:
         if name in tables:
             paths[name] = write_table(tables[name], f"{out_dir.rstrip('/')}/{name}", fmt)

@@ -218,13 +218,13 @@ def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def kpi_delivery(fact: DataFrame) -> DataFrame:
     """D10 page 2: completion, late and on-time rates, mean delivery days."""
-    done = completed(fact)
-    a = fact.agg(F.count(F.lit(1)).alias("total_orders"),
-                 F.count_if("is_completed_order").alias("completed_orders"))
-    b = done.agg(F.count_if("is_late_delivery").alias("late"),
-                 F.count(F.lit(1)).alias("delivered"),
-                 mean("delivery_days").alias("avg_delivery_days"))
-    j = _one_row_pair(a, b)
+    done = F.col("is_completed_order")
+    days = F.when(done, F.col("delivery_days"))
+    j = fact.agg(F.count(F.lit(1)).alias("total_orders"),
+                 F.count_if(done).alias("completed_orders"),
+                 F.count_if(done & F.col("is_late_delivery")).alias("late"),
+                 F.count_if(done).alias("delivered"),
+                 F.try_divide(F.sum(days).cast("double"), F.count(days).cast("double")).alias("avg_delivery_days"))
     return j.select(percent("completed_orders", "total_orders").alias("completion_rate"),
                     percent("late", "delivered").alias("late_rate"),
                     (F.lit(100.0) - percent("late", "delivered")).alias("on_time_rate"),

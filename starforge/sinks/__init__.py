@@ -76,24 +76,45 @@ def assert_unique(df: DataFrame, cols, table: str = "") -> DataFrame:
 
 def load_dimension(df: DataFrame, path: str, key_cols) -> str:
     """K2: append a dimension keeping its staged surrogate keys, after the
-    primary-key check."""
+    key check in the batch and against the rows already loaded."""
     assert_unique(df, key_cols, path)
+    _assert_new(df, path, key_cols)
     return write_table(df, path, mode="append")
 
 
+def _assert_new(df: DataFrame, path: str, key_cols) -> None:
+    """A UNIQUE key that is already in the table fails the load, like one repeated in the batch."""
+    if table_exists(df.sparkSession, path):
+        cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
+        loaded = df.sparkSession.read.parquet(path).select(*cols)
+        clash = df.select(*cols).join(loaded, cols, "left_semi").limit(1).count()
+        if clash:
+            raise ConstraintError(f"{path}: rows of the batch repeat loaded keys on {cols}")
+
+
 def load_fact_orders(fact: DataFrame, path: str, quarantine_path: str) -> tuple[str, str]:
-    """K4 / K6: append the valid rows (first row per order_id, non-NULL id),
-    quarantine the rest with a reason; the valid part is unique by
-    construction, the split keeps every input row."""
-    from starforge.operators.keys import keep_first
+    """K4 / K6: append the valid rows (first row per order_id, non-NULL id, not
+    loaded before), quarantine the rest with a reason (null_key,
+    duplicate_order_id, loaded_order_id); every input row is in one of both."""
+    spark = fact.sparkSession
     kept, rejects = keep_first(fact, "order_id", [c for c in fact.columns if c != "order_id"],
                                "duplicate_order_id")
+    if table_exists(spark, path):
+        loaded = spark.read.parquet(path).select("order_id")
+        # what is loaded now must not be read again after the append
+        again = stage(kept.join(loaded, "order_id", "left_semi").select(*fact.columns)
+                      .withColumn("reject_reason", F.lit("loaded_order_id")), "loaded")
+        kept = stage(kept.join(loaded, "order_id", "left_anti").select(*fact.columns), "load")
+        rejects = rejects.unionByName(again)
     return write_with_quarantine(kept, rejects, path, quarantine_path, mode="append")
 
 
 def load_cohort(retention: DataFrame, path: str) -> str:
-    """K5: append the cohort fact; a repeated (cohort_month, offset) aborts."""
-    assert_unique(retention, ["cohort_month", "months_since_first_purchase"], path)
+    """K5: append the cohort fact; a (cohort_month, offset) repeated in the batch
+    or loaded before aborts."""
+    key = ["cohort_month", "months_since_first_purchase"]
+    assert_unique(retention, key, path)
+    _assert_new(retention, path, key)
     return write_table(retention, path, mode="append")
 
 
@@ -143,10 +164,22 @@ def upsert_scd1(current: DataFrame, incoming: DataFrame, business_key: str, surr
 
 def incremental_new_rows(existing: DataFrame, incoming: DataFrame, business_key: str) -> DataFrame:
     """Rows of ``incoming`` whose business key is not yet in ``existing``
-    (left anti join), de-duplicated on the key."""
+    (left anti join), de-duplicated on the key.  The rows left out for a NULL
+    or repeated key are ``incremental_rejects``."""
     first, _ = keep_first(incoming, business_key, incoming.columns)
-    return (first
-            .join(existing.select(business_key).distinct(), business_key, "left_anti"))
+    return first.join(existing.select(business_key), business_key, "left_anti")
+
+
+def incremental_rejects(incoming: DataFrame, business_key: str) -> DataFrame:
+    """Rows of a batch that an upsert or append can't take, with their
+    reject_reason (NULL key, or beyond the first row of its key)."""
+    return keep_first(incoming, business_key, incoming.columns, f"duplicate_{business_key}")[1]
+
+
+def table_exists(spark, path: str) -> bool:
+    """Whether something was written at ``path`` (any file system Spark knows)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
 
 
 def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:

@@ -16,21 +16,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from starforge.operators.keys import keep_first
+from starforge.sinks import table_exists
 
 
-def append_unseen(batch: DataFrame, table_path: str, business_key: str, fmt: str = "parquet"):
+def append_unseen(batch: DataFrame, table_path: str, business_key: str, fmt: str = "parquet",
+                  quarantine_path: str | None = None):
     """One micro-batch: keep the first row per key, drop keys already in the
-    table, append the rest."""
+    table, append the rest.  Rows with a NULL key or beyond the first of their
+    key go to ``quarantine_path`` (by default ``<table_path>_quarantine``) with
+    a reject_reason.  They are written before the table, so a batch that is
+    repeated after a failure may list a reject twice but loses none."""
     spark = batch.sparkSession
-    first, _ = keep_first(batch, business_key, batch.columns)
-    try:
+    first, rejects = keep_first(batch, business_key, batch.columns, f"duplicate_{business_key}")
+    rejects.write.mode("append").format(fmt).save(quarantine_path or f"{table_path.rstrip('/')}_quarantine")
+    if table_exists(spark, table_path):
         existing = spark.read.format(fmt).load(table_path).select(business_key)
-        new = first.join(existing.distinct(), business_key, "left_anti")
-    except Exception as exc:                     # first load: the table does not exist yet
-        if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
-            raise
-        new = first
-    new.write.mode("append").format(fmt).save(table_path)
+        first = first.join(existing, business_key, "left_anti")
+    first.write.mode("append").format(fmt).save(table_path)
 
 
 def incremental_append(spark: SparkSession, landing_dir: str, schema: StructType,
