@@ -241,6 +241,25 @@ def test_lines_of_odd_rows(spark, odd):
     assert linededup.line_classes(odd.limit(0)).count() == 0 and linededup.keep_first_lines(odd.limit(0)).count() == 0
 
 
+def dense_set(line):
+    return {line[i:i + 8] for i in range(max(1, len(line) - 7))}
+
+
+def test_lines_are_compared_at_every_character(spark, texts):
+    unlike = ["user_id=123456", "user_id=987654", "2024-01-15T10:00:00", "2024-01-99T23:59:59",
+              "Andththwhes.", "Andththwhwh.", "中文字符没有空格的一行文字甲乙丙丁", "中文字符没有空格的另外几个词语戊己"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(unlike)], "doc_id long, text string")
+    assert linededup.line_classes(docs).where("kept").count() == len(unlike)
+    assert {r.doc_id: r.text for r in linededup.keep_first_lines(docs).collect()} == dict(enumerate(unlike))
+    keep = sorted(texts)[:400]                    # links are those of dense shingles, in real lines too
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.col("doc_id").isin(keep))
+    by_id = {r.line_id: r.line for r in linededup.lines(docs).collect()}
+    pairs = [(a, b) for c in linededup.line_components(docs).groupBy("component").agg(
+        F.collect_list("node").alias("n")).collect() for a in c.n for b in c.n if a < b]
+    assert pairs and all(any(jaccard(dense_set(by_id[a]), dense_set(by_id[x])) >= 0.8
+                             for x in {p for q in pairs if a in q for p in q} - {a}) for a, _ in pairs)
+
+
 def test_pipeline(spark, texts):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for name, step in corpus_pipeline.STAGES[:-1]:
