@@ -260,6 +260,17 @@ def test_lines_are_compared_at_every_character(spark, texts):
                              for x in {p for q in pairs if a in q for p in q} - {a}) for a, _ in pairs)
 
 
+def test_shifted_lines_without_spaces_are_one_class(spark):
+    rng = np.random.default_rng(5)
+    runs = ["".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 3000, n)) for n in (59, 100, 400)]
+    runs += ["https://example.org/" + "".join(rng.choice(list("abcdef0123456789/"), n)) for n in (60, 300)]
+    rows = [t for run in runs for t in (run, "x" + run, run[:30] + "y" + run[30:])]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.class_doc for r in linededup.line_classes(docs).collect()}
+    # 52 and 53 shingles, 45 in common: the first run and its copy with a character inside are 0.75 alike
+    assert got == {i: i - i % 3 for i in range(len(rows))} | {2: 2}
+
+
 def test_pipeline(spark, texts):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for name, step in corpus_pipeline.STAGES[:-1]:
