@@ -25,6 +25,7 @@ Q = 8                       # longest q-gram; shorter ones only for items too sh
 LEAST_ITEM = 24             # items of fewer bytes are found as exact text only
 INDEX_BYTES = 16 << 20      # benchmark text that goes to every task; larger ones go in slices
 FILTER_BITS = 22
+BEFORE = b"\xff"            # stands before the start of a text; in no UTF-8 text
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -144,16 +145,16 @@ class Index:
                 continue
             k = self.bounds[i][0]
             first = (b - int(wide >> 1)) * (k + 1) - k
-            begin = max(0, first)
-            region = raw[begin:first + len(item) + 5 * k + 2]
+            # a band may begin before the text: bytes that no UTF-8 text has stand there
+            region = BEFORE * max(0, -first) + raw[max(0, first):max(0, first + len(item) + 5 * k + 2)]
             exact = region.find(item)
             if exact >= 0:
-                best[i] = (key, 0, begin + exact, begin + exact + len(item))
+                best[i] = (key, 0, first + exact, first + exact + len(item))
                 continue
-            for shift in (0, 2 * k + 1):                          # the alignment keeps 2 k + 1 first places
-                edits, end = aligned(item, region[shift:], k)
-                if edits <= k and (i not in best or edits < best[i][1]):
-                    best[i] = (key, edits, begin + shift, begin + shift + end)
+            # all diagonals of an alignment lie within the first 2 k + 1 of one band
+            edits, end = aligned(item, region[k:], k)
+            if edits <= k and (i not in best or edits < best[i][1]):
+                best[i] = (key, edits, max(0, first + k), max(0, first + k + end))
         return out + list(best.values())
 
 

@@ -123,6 +123,29 @@ def test_leaks_match_full_alignment(seed):
                 assert slow_edits(it, whole[found[k][2]:found[k][3]]) <= allowed
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_leaks_at_the_edges_of_a_text(seed):
+    rng = np.random.default_rng(seed)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 8))) for _ in range(300)]
+
+    def text(n):
+        return " ".join(rng.choice(words, n))
+    item = decontaminate.normal(text(20))
+    index, k = decontaminate.Index([(1, item)]), decontaminate.budget(len(item))[0]
+    for lost in range(0, k + 1):
+        front, back = item[lost:].lstrip(), item[:len(item) - lost].rstrip()
+        for whole in (front, back, front + b" " + text(9).encode(), text(9).encode() + b" " + back,
+                      item[lost:lost + 1] + item[2 * lost + 1:], b"zz" + front, item[:9] + item[9 + lost:]):
+            edits = slow_edits(item, whole)
+            found = index.find(whole)
+            assert [h[1] for h in found] == ([edits] if edits <= k else []), (lost, whole)
+            assert all(0 <= a <= b <= len(whole) and slow_edits(item, whole[a:b]) <= k for _, _, a, b in found)
+    for offset in range(3 * k):                   # bytes left out after a part that matches, at every place
+        for whole in (b"#" * offset + item[:20] + item[20 + k:], b"#" * offset + item[:-20 - k] + item[-20:]):
+            edits = slow_edits(item, whole)
+            assert [h[1] for h in index.find(whole)] == ([edits] if edits <= k else []), offset
+
+
 def test_leaks_of_odd_rows(spark):
     bench = spark.createDataFrame([(1, "The AND   of the"), (2, None), (3, ""), (4, "of")], "item_id long, text string")
     got = decontaminate.leaks(odd_documents(spark), bench)
