@@ -20,14 +20,14 @@ def _c(x) -> Column:
 
 
 def item_total(price="price", freight="freight_value") -> Column:
-    """price + freight; NULL if either is NULL."""
-    return (_c(price) + _c(freight)).cast(MONEY)
+    """price + freight; NULL if either is NULL (one digit more than its parts)."""
+    return _c(price) + _c(freight)
 
 
 def product_volume(length="product_length_cm", height="product_height_cm",
                    width="product_width_cm") -> Column:
     """length x height x width, rounded to 2 places."""
-    return F.round(_c(length).cast("decimal(20,2)") * _c(height) * _c(width), 2).cast(MONEY)
+    return F.round(_c(length).cast("decimal(20,2)") * _c(height) * _c(width), 2)
 
 
 def positive_flag(x) -> Column:
@@ -40,24 +40,33 @@ def is_completed(status="order_status") -> Column:
     return F.coalesce(_c(status) == DELIVERED, F.lit(False))
 
 
+WHOLE = "decimal(38,0)"
+
+
 def round_ratio(num, den, scale: int = 2) -> Column:
     """num / den rounded half away from zero to ``scale`` places, exactly.
 
-    ``num`` and ``den`` are integer-valued (counts, or money in cents).
+    ``num`` and ``den`` are integer-valued (counts, or money in cents) of up to 30 digits;
+    the arithmetic is DECIMAL, so a large amount doesn't overflow on the way.
     Returns DECIMAL(38, scale); NULL when den is 0 or NULL.
     """
-    n = _c(num).cast("long")
-    d = F.when(_c(den) != 0, _c(den).cast("long"))
+    n = _c(num).cast(WHOLE)
+    d = F.when(_c(den) != 0, _c(den).cast(WHOLE))
     sign = F.when((n < 0) != (d < 0), F.lit(-1)).otherwise(F.lit(1))
     twice = F.lit(2) * F.abs(n) * F.lit(10 ** scale) + F.abs(d)
     units = int_div(twice, F.lit(2) * F.abs(d))
-    return ((sign * units).cast("decimal(38,0)") / F.lit(10 ** scale)).cast(f"decimal(38,{scale})")
+    return ((sign * units).cast(WHOLE) / F.lit(10 ** scale)).cast(f"decimal(38,{scale})")
 
 
 def int_div(a: Column, b: Column) -> Column:
     """Floor division of non-negative integers, exact (no floating point)."""
-    whole = (a - F.pmod(a, b)).cast("decimal(20,0)")
-    return (whole / b.cast("decimal(20,0)")).cast("long")
+    a, b = a.cast(WHOLE), b.cast(WHOLE)
+    return ((a - F.pmod(a, b)) / b).cast(WHOLE)
+
+
+def cents(money) -> Column:
+    """Money as a whole number of cents."""
+    return (_c(money).cast("decimal(38,2)") * 100).cast(WHOLE)
 
 
 def percent(part, whole) -> Column:
@@ -86,10 +95,10 @@ def lifetime_value(total_spent, days_as_customer, rules: Rules) -> Column:
     """aov x annual frequency x (lifespan / 365), rounded to 2 places.
 
     aov = spent / orders and frequency = orders / days x 365, so the product
-    is spent x lifespan / days; computed exactly on cents.
+    is spent x lifespan / days; computed exactly on cents.  The value may be larger than
+    the target column holds: ``conform`` decides.
     """
-    cents = (_c(total_spent).cast("decimal(38,2)") * 100).cast("long")
-    return round_ratio(cents * F.lit(rules.lifespan_days), _c(days_as_customer) * 100, 2).cast(MONEY)
+    return round_ratio(cents(total_spent) * F.lit(rules.lifespan_days), _c(days_as_customer) * 100, 2)
 
 
 def review_sentiment(score="review_score") -> Column:

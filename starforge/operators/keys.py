@@ -22,8 +22,10 @@ def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def dense_key(df: DataFrame, order_by, key: str = "key", first: bool = True) -> DataFrame:
-    """Add ``key`` = 1..n following ``order_by`` (ascending, NULLs first).
+def dense_key(df: DataFrame, order_by, key: str = "key", first: bool = True,
+              after: int = 0) -> DataFrame:
+    """Add ``key`` = after + 1 .. after + n following ``order_by`` (ascending, NULLs first).
+    ``after`` is the largest key already given out (K4).
 
     1. The rows are range-sorted across the cluster, tagged with
        monotonically_increasing_id (partition << 33 | position) and written
@@ -53,7 +55,7 @@ def dense_key(df: DataFrame, order_by, key: str = "key", first: bool = True) ->
     part = F.shiftright(F.col("_sf_pos"), _POS_BITS)
     counts = sorted((r[0], r[1]) for r in
                     staged.groupBy(part.alias("p")).agg(F.count(F.lit(1))).collect())
-    offsets, running = [], 0
+    offsets, running = [], after
     for p, n in counts:
         offsets.append((int(p), running))
         running += n
@@ -80,44 +82,88 @@ def first_by(value, order_by) -> Column:
     return F.min_by(v, F.struct(*_cols(order_by)))
 
 
-def keep_first(df: DataFrame, key, order_by, reason: str = "duplicate_key"):
-    """K6: split rows into (kept, quarantined) on a unique business key.
-
-    Kept: for each non-NULL ``key`` the row with the smallest ``order_by``
-    tuple (then the smallest whole row, so the choice is total).  Winners
-    come out of aggregations with map-side partial aggregation, so a hot key
-    never lands whole in one task.  Quarantined: every other row, exact
-    copies of the winner included, with a ``reject_reason`` column
-    (``null_key`` or ``reason``).  kept + quarantined = input, row for row.
+def number_ids(ids: DataFrame, id_col: str, key: str, after: int = 0) -> DataFrame:
+    """(id_col, key): the distinct non-NULL ids numbered after + 1 .. after + n in id order.
+
+    Only the id column is range-sorted.  A wide table gets its keys by joining this narrow
+    one on the id, for which it is usually partitioned already.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    cols = df.columns
-    any_null = F.lit(False)
+    return dense_key(ids.select(id_col).where(F.col(id_col).isNotNull()).distinct(), [id_col], key,
+                     first=False, after=after)
+
+
+def key_and_conform(df: DataFrame, table: str, order_by, key: str, business_key: str,
+                    stamps: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """W2 + K8 for a dimension: (typed rows keyed 1..n, rejected values), written once.
+
+    Rows that hold a value the target can't (``flag_unfit``) are sorted behind the others,
+    so the others have the keys 1..n without a gap, and both results read one staged table.
+    """
+    from starforge.schemas import TARGETS, conform, flag_unfit, is_unfit, unfit_rows
+    flagged = flag_unfit(df, TARGETS[table])
+    keyed = dense_key(flagged, [is_unfit(), *order_by], key)
+    typed = keyed.where(~is_unfit()).withColumns(stamps)
+    return conform(typed, TARGETS[table]), unfit_rows(keyed, table, business_key)
+
+
+def _any_null(keys) -> Column:
+    null = F.lit(False)
     for k in keys:
-        any_null = any_null | F.col(k).isNull()
-    non_null = df.where(~any_null)
-    # identical rows collapse to one with a multiplicity (hash on all columns)
-    counted = non_null.groupBy(*cols).agg(F.count(F.lit(1)).alias("_sf_n"))
+        null = null | F.col(k).isNull()
+    return null
+
+
+def _best(df: DataFrame, keys, order_by) -> DataFrame:
+    """keys, _sf_best: the smallest row of each key by (order_by, whole row)."""
     tie = F.struct(*_cols(order_by)).alias("t")
-    row = F.struct(*[F.col(c) for c in cols]).alias("r")
-    best = counted.groupBy(*keys).agg(F.min(F.struct(tie, row)).alias("_sf_best"))
-    # the grouping columns themselves stay, so ``kept`` remains known as
+    row = F.struct(*[F.col(c) for c in df.columns if c != "_sf_n"]).alias("r")
+    return df.groupBy(*keys).agg(F.min(F.struct(tie, row)).alias("_sf_best"))
+
+
+def first_rows(df: DataFrame, key, order_by) -> DataFrame:
+    """K6, the rows kept: for each non-NULL ``key`` the row with the smallest ``order_by``
+    tuple (then the smallest whole row, so the choice is total).  One aggregation with
+    map-side partial aggregation, so a hot key never lands whole in one task."""
+    keys = [key] if isinstance(key, str) else list(key)
+    best = _best(df.where(~_any_null(keys)), keys, order_by)
+    # the grouping columns themselves stay, so the result remains known as
     # hash-partitioned by the key for a following join
-    kept = best.select(*[F.col(c) if c in keys else F.col(f"_sf_best.r.{c}").alias(c)
-                         for c in cols])
-    won = best.select(*[F.col(f"_sf_best.r.{c}").alias(f"_sf_w_{c}") for c in cols],
-                      F.lit(1).alias("_sf_win"))
-    cond = None
+    return best.select(*[F.col(c) if c in keys else F.col(f"_sf_best.r.{c}").alias(c)
+                         for c in df.columns])
+
+
+def extra_rows(df: DataFrame, key, order_by, reason: str = "duplicate_key") -> DataFrame:
+    """K6, the rows quarantined: all that ``first_rows`` leaves out, exact copies of the
+    row kept included, with a ``reject_reason`` column (``null_key`` or ``reason``).
+
+    Rows are counted per key first (the key column alone is read); only the rows of keys
+    that repeat are fetched, collapsed to one per distinct row and staged.  A table
+    without repeats costs one narrow count and a semi join with nothing.
+    """
+    from starforge.sinks import stage
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = df.columns
+    null = _any_null(keys)
+    present = df.where(~null)
+    repeated = (present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sf_rows"))
+                .where(F.col("_sf_rows") > 1).select(*keys))
+    rows = stage(present.join(repeated, keys, "left_semi").select(*cols)
+                 .groupBy(*cols).agg(F.count(F.lit(1)).alias("_sf_n")), "repeated")
+    won = F.lit(True)
     for c in cols:
-        eq = F.col(c).eqNullSafe(F.col(f"_sf_w_{c}"))
-        cond = eq if cond is None else cond & eq
-    rest = (counted.join(won, cond, "left")
-            .select(*cols, (F.col("_sf_n") - F.coalesce("_sf_win", F.lit(0))).alias("_sf_left"))
+        won = won & F.col(c).eqNullSafe(F.col(f"_sf_best.r.{c}"))
+    rest = (rows.join(_best(rows, keys, order_by), keys)
+            .select(*cols, (F.col("_sf_n") - won.cast("int")).alias("_sf_left"))
             .where(F.col("_sf_left") > 0))
     dupes = (_expand_copies(rest, "_sf_left").select(*cols)
              .withColumn("reject_reason", F.lit(reason)))
-    nulls = df.where(any_null).withColumn("reject_reason", F.lit("null_key"))
-    return kept, dupes.unionByName(nulls)
+    return dupes.unionByName(df.where(null).withColumn("reject_reason", F.lit("null_key")))
+
+
+def keep_first(df: DataFrame, key, order_by, reason: str = "duplicate_key"):
+    """K6: split rows into (kept, quarantined) on a unique business key, see ``first_rows``
+    and ``extra_rows``; kept + quarantined = input, row for row."""
+    return first_rows(df, key, order_by), extra_rows(df, key, order_by, reason)
 
 
 COPY_CHUNK = 1 << 20

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge.functions.dates import date_key, iso_weekday, whole_days_between
-from starforge.functions.scalars import (customer_segment, item_total, lifetime_value,
+from starforge.functions.scalars import (cents, customer_segment, item_total, lifetime_value,
                                          positive_flag, product_volume, round_ratio)
-from starforge.operators.keys import dense_key
+from starforge.operators.keys import dense_key, key_and_conform
 from starforge.operators.lookup import literal_lookup
 from starforge.rules import (DELIVERED, OTHER, UNCATEGORIZED, UNKNOWN_REGION, Rules,
                              first_group_of)
@@ -63,12 +63,16 @@ def enrich_products(products: DataFrame, rules: Rules) -> DataFrame:
              .withColumn("has_photos", positive_flag("product_photos_qty")))
 
 
+def split_products(products: DataFrame, rules: Rules, created_at=None) -> tuple[DataFrame, DataFrame]:
+    """(dim_products, rejected values)."""
+    ts = created_at if created_at is not None else run_timestamp()
+    return key_and_conform(enrich_products(products, rules), "dim_products",
+                           ["product_id", "product_category_name", "product_photos_qty"], "product_key",
+                           "product_id", {"created_at": ts})
+
+
 def dim_products(products: DataFrame, rules: Rules, created_at=None) -> DataFrame:
-    p = enrich_products(products, rules)
-    keyed = dense_key(p, ["product_id", "product_category_name", "product_photos_qty"],
-                      "product_key")
-    keyed = keyed.withColumn("created_at", created_at if created_at is not None else run_timestamp())
-    return conform(keyed, TARGETS["dim_products"])
+    return split_products(products, rules, created_at)[0]
 
 
 # -------------------------------------------------------- dim_payment_type
@@ -115,10 +119,9 @@ def customer_metrics(orders: DataFrame, order_items: DataFrame, rules: Rules,
         F.count_if(F.col("order_status") == DELIVERED).alias("delivered_orders"))
     raw_days = whole_days_between("last_order_date", "first_order_date")
     m = m.withColumn("days_as_customer", F.when(raw_days.isNotNull(), F.greatest(raw_days, F.lit(1))))
-    cents = (F.col("total_spent") * 100).cast("long")
     return m.select(
         grain, "total_orders", "delivered_orders", "total_spent",
-        round_ratio(cents, F.col("total_orders") * 100, 2).alias("avg_order_value"),
+        round_ratio(cents("total_spent"), F.col("total_orders") * 100, 2).alias("avg_order_value"),
         lifetime_value("total_spent", "days_as_customer", rules).alias("lifetime_value"),
         "first_order_date", "last_order_date", "days_as_customer",
         round_ratio(F.col("total_orders") * 365, "days_as_customer", 2)
@@ -148,11 +151,17 @@ def enrich_customers(customers: DataFrame, orders: DataFrame, order_items: DataF
                         customer_segment("total_orders", "lifetime_value", rules))
 
 
+def split_customers(customers: DataFrame, orders: DataFrame, order_items: DataFrame, rules: Rules,
+                    created_at=None, order_totals: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(dim_customers, rejected values): a customer whose amounts the table can't hold is rejected,
+    and the orders of that customer have no customer_key."""
+    ts = created_at if created_at is not None else run_timestamp()
+    return key_and_conform(enrich_customers(customers, orders, order_items, rules, order_totals),
+                           "dim_customers",
+                           ["customer_id", "customer_unique_id", "customer_city", "customer_state"],
+                           "customer_key", "customer_id", {"created_at": ts, "updated_at": ts})
+
+
 def dim_customers(customers: DataFrame, orders: DataFrame, order_items: DataFrame,
                   rules: Rules, created_at=None, order_totals: DataFrame | None = None) -> DataFrame:
-    c = enrich_customers(customers, orders, order_items, rules, order_totals)
-    keyed = dense_key(c, ["customer_id", "customer_unique_id", "customer_city", "customer_state"],
-                      "customer_key")
-    ts = created_at if created_at is not None else run_timestamp()
-    keyed = keyed.withColumn("created_at", ts).withColumn("updated_at", ts)
-    return conform(keyed, TARGETS["dim_customers"])
+    return split_customers(customers, orders, order_items, rules, created_at, order_totals)[0]

@@ -6,8 +6,8 @@ order grain first, so no join multiplies rows):
 
     orders (+customer_key) --dedupe by order_id-->
         (+) items agg (+product_key) (+) payments agg (+) first review
+        (+) order_key, numbered on the ids alone
         -> payment-type key (tiny side), date keys (computed, no join)
-        -> dense order_key (range sort)
 
 The customer and product lookups are plain joins on the narrow inputs; AQE
 broadcasts a side at run time when its real size is small.
@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from starforge.functions.dates import date_key, whole_days_between
 from starforge.functions.scalars import MONEY, is_completed, item_total, positive_flag
-from starforge.operators.keys import dense_key, first_by, keep_first
+from starforge.operators.keys import extra_rows, first_by, number_ids
 from starforge.operators.lookup import key_lookup
 from starforge.rules import NO_PAYMENT_TYPE, Rules
-from starforge.schemas import TARGETS, conform
+from starforge.schemas import TARGETS, conform, flag_unfit, unfit_rows
 
 ITEM_ORDER = ("order_item_id", "product_id", "seller_id", "price", "freight_value")
 PAYMENT_ORDER = ("payment_sequential", "payment_type", "payment_value", "payment_installments")
@@ -97,13 +97,16 @@ def unique_orders(orders: DataFrame) -> DataFrame:
 
 def order_measures(orders: DataFrame, order_items: DataFrame, payments: DataFrame,
                    reviews: DataFrame, primary_product: str = "first",
-                   primary_payment: str = "first", items_agg: DataFrame | None = None) -> DataFrame:
+                   primary_payment: str = "first", items_agg: DataFrame | None = None,
+                   payments_by_order: DataFrame | None = None) -> DataFrame:
     """J3, J4, J5 + P6 + F8-F11: order grain, no surrogate keys yet.
-    ``items_agg``: an already materialised ``order_items_agg`` result."""
+    ``items_agg`` / ``payments_by_order``: already materialised ``order_items_agg`` and
+    ``payments_agg`` results."""
     items = items_agg if items_agg is not None else order_items_agg(order_items, primary_product)
+    paid = payments_by_order if payments_by_order is not None else payments_agg(payments, primary_payment)
     f = (unique_orders(orders)
          .join(items, "order_id", "left")
-         .join(payments_agg(payments, primary_payment), "order_id", "left")
+         .join(paid, "order_id", "left")
          .join(reviews_agg(reviews), "order_id", "left"))
     delivered, purchased = "order_delivered_customer_date", "order_purchase_timestamp"
     delay = whole_days_between(delivered, "order_estimated_delivery_date")
@@ -154,27 +157,47 @@ def attach_keys(f: DataFrame, dim_customers: DataFrame, dim_products: DataFrame,
              .withColumn("delivery_date_key", calendar_key("order_delivered_customer_date", rules)))
 
 
+def unfit_orders(*aggregates: DataFrame) -> DataFrame:
+    """Rejected values of the order-level aggregates: sums that ``fact_orders`` can't hold.
+    The aggregates are read once more, so they should be staged."""
+    out = None
+    for agg in aggregates:
+        one = unfit_rows(flag_unfit(agg, TARGETS["fact_orders"]), "fact_orders", "order_id")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def fact_orders(orders: DataFrame, order_items: DataFrame, payments: DataFrame,
                 reviews: DataFrame, dim_customers: DataFrame, dim_products: DataFrame,
                 dim_payment_type: DataFrame, rules: Rules, created_at=None,
                 primary_product: str = "first", primary_payment: str = "first",
-                items_agg: DataFrame | None = None) -> DataFrame:
+                items_agg: DataFrame | None = None, payments_by_order: DataFrame | None = None,
+                rejected: DataFrame | None = None, after: int = 0) -> DataFrame:
     """The key lookups that need a shuffle run on the narrow inputs, not on
     the 25-column fact: customer_key on the order rows (before they are
     de-duplicated on order_id), product_key on the order-level item
-    aggregate.  The fact itself is only shuffled by order_id (joins, all
-    co-partitioned) and range-sorted once for order_key."""
+    aggregate.  order_key is numbered on the ids alone (``number_ids``) and joined
+    back, so the fact itself is only shuffled by order_id, with joins that are all
+    co-partitioned, and is never sorted or staged.
+
+    ``rejected``: orders of ``unfit_orders`` are left out and take no key.
+    """
     from starforge.plans.dims import run_timestamp
     o = key_lookup(orders.select(*[c for c in ORDER_COLUMNS if c in orders.columns]),
                    "customer_id", dim_customers, "customer_id", "customer_key", "customer_key")
     items = items_agg if items_agg is not None else order_items_agg(order_items, primary_product)
     items = key_lookup(items, "primary_product_id", dim_products, "product_id", "product_key",
                        "product_key")
-    f = order_measures(o, order_items, payments, reviews, primary_product, primary_payment, items)
-    f = attach_keys(f, dim_customers, dim_products, dim_payment_type, rules)
-    keyed = dense_key(f, ["order_id"], "order_key")
-    keyed = keyed.withColumn("created_at", created_at if created_at is not None else run_timestamp())
-    return conform(keyed, TARGETS["fact_orders"])
+    ids = orders.select("order_id")
+    if rejected is not None:
+        ids = ids.join(rejected.where("table_name = 'fact_orders'")
+                       .select(F.col("business_key").alias("order_id")), "order_id", "left_anti")
+    numbered = number_ids(ids, "order_id", "order_key", after)
+    f = order_measures(o, order_items, payments, reviews, primary_product, primary_payment, items,
+                       payments_by_order)
+    f = attach_keys(f.join(numbered, "order_id"), dim_customers, dim_products, dim_payment_type, rules)
+    f = f.withColumn("created_at", created_at if created_at is not None else run_timestamp())
+    return conform(f, TARGETS["fact_orders"])
 
 
 def fact_quarantine(orders: DataFrame, reviews: DataFrame) -> DataFrame:
@@ -187,11 +210,11 @@ def fact_quarantine(orders: DataFrame, reviews: DataFrame) -> DataFrame:
       beyond the kept first one.
     """
     cols = [c for c in ORDER_COLUMNS if c in orders.columns]
-    _, bad_orders = keep_first(orders.select(*cols), "order_id", cols, "duplicate_order_id")
+    bad_orders = extra_rows(orders.select(*cols), "order_id", cols, "duplicate_order_id")
     r = reviews.select("order_id", "review_id", "review_score", "review_creation_date")
     r = r.join(orders.select("order_id").where(F.col("order_id").isNotNull()).distinct(),
                "order_id", "left_semi")
-    _, extra = keep_first(r, "order_id", REVIEW_ORDER, "duplicate_order_id_review")
+    extra = extra_rows(r, "order_id", REVIEW_ORDER, "duplicate_order_id_review")
     bad = bad_orders.select("order_id", F.lit(None).cast("string").alias("review_id"),
                             F.lit(None).cast("int").alias("review_score"), "reject_reason")
     return bad.unionByName(extra.select("order_id", "review_id", "review_score", "reject_reason"))

@@ -27,6 +27,7 @@ def _schema(spec: str) -> T.StructType:
     return T.StructType(fields)
 
 
+# The warehouse's declared tables, columns and types, in their order.
 TARGETS = {
     "dim_date": _schema(
         "date_key int!, full_date date!, year int!, quarter int!, month int!, month_name string!,"
@@ -129,5 +130,53 @@ def conform(df: DataFrame, schema: T.StructType, only_present: bool = False) ->
     return df.select(*cols)
 
 
+UNFIT = "_sf_unfit"
+REJECTS = "table_name string, business_key string, column_name string, value string, reject_reason string"
+
+
+def flag_unfit(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """K8 without an abort: cast the columns of ``schema`` that ``df`` has with ``try_cast``
+    and list in ``_sf_unfit`` (array of structs column, value, reason) what the declared
+    type can't hold: ``out_of_range`` values and ``missing`` ones of NOT NULL columns.
+    The value itself becomes NULL; other columns pass through.
+    """
+    cols, bad = [], []
+    targets = {f.name: f for f in schema.fields}
+    for c in df.columns:
+        f = targets.get(c)
+        if f is None:
+            cols.append(F.col(c))
+            continue
+        fit = F.col(c).try_cast(f.dataType)
+        cols.append(fit.alias(c))
+        why = F.when(F.col(c).isNotNull() & fit.isNull(), "out_of_range")
+        if not f.nullable:
+            why = why.when(F.col(c).isNull(), "missing")
+        bad.append(F.when(why.isNotNull(), F.struct(F.lit(c).alias("column_name"),
+                                                    F.col(c).cast("string").alias("value"),
+                                                    why.alias("reject_reason"))))
+    return df.select(*cols, F.array_compact(F.array(*bad)).alias(UNFIT))
+
+
+def is_unfit():
+    return F.size(UNFIT) > 0
+
+
+def unfit_rows(flagged: DataFrame, table: str, key: str) -> DataFrame:
+    """One reject per value of ``flag_unfit`` that does not fit (columns of ``REJECTS``)."""
+    return (flagged.where(is_unfit())
+            .select(F.lit(table).alias("table_name"), F.col(key).cast("string").alias("business_key"),
+                    F.explode(UNFIT).alias("u"))
+            .select("table_name", "business_key", "u.column_name", "u.value", "u.reject_reason"))
+
+
+def conform_split(df: DataFrame, schema: T.StructType, table: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """(typed, rejected): rows whose every value fits the declared types, in the target columns,
+    and one reject per value that does not.  ``df`` is evaluated for both: pass a written table."""
+    flagged = flag_unfit(df, schema)
+    typed = flagged.where(~is_unfit())
+    return conform(typed, schema), unfit_rows(flagged, table, key)
+
+
 def table_columns(name: str, without=("created_at", "updated_at")) -> list[str]:
     return [f.name for f in TARGETS[name].fields if f.name not in without]
