@@ -758,4 +758,5 @@ def oracle_sql() -> dict[str, str]:
         " retained_customers, CAST(retention_rate AS DOUBLE) AS retention_rate"
         " FROM fact_cohort_retention"
         " WHERE cohort_month = (SELECT min(cohort_month) FROM fact_cohort_retention)")
-    return q
+    from oracle import duckdb_loads
+    return q | duckdb_loads.oracle_sql()

@@ -103,6 +103,29 @@ def validate(df: DataFrame, table: str, rules=None) -> DataFrame:
                        percent("bad_rows", "_sf_total").alias("bad_pct"))
 
 
+# V4-V6: what the extracts report besides their rules: (metric, column it needs, aggregate)
+def _METRICS() -> dict:
+    return {
+        "products": [("products_with_photos", "product_photos_qty",
+                      F.count_if(F.coalesce(F.col("product_photos_qty") > 0, F.lit(False))))],
+        "payments": [("max_payment_sequential", "payment_sequential", F.max("payment_sequential"))],
+        "reviews": [("reviews_with_title", "review_comment_title", F.count("review_comment_title")),
+                    ("reviews_with_message", "review_comment_message", F.count("review_comment_message")),
+                    ("reviews_with_answer", "review_answer_timestamp", F.count("review_answer_timestamp"))],
+    }
+
+
+def extract_metrics(df: DataFrame, table: str) -> DataFrame:
+    """V4-V6: (table_name, metric, value, total_rows), one row per metric whose column is there, in one pass."""
+    found = [(name, agg) for name, c, agg in _METRICS().get(table, []) if c in df.columns]
+    if not found:
+        return df.sparkSession.createDataFrame([], "table_name string, metric string, value long, total_rows long")
+    a = df.agg(F.count(F.lit(1)).alias("_sf_total"), *[m.cast("long").alias(name) for name, m in found])
+    stack = ", ".join(f"'{name}', `{name}`" for name, _ in found)
+    return (a.selectExpr("_sf_total", f"stack({len(found)}, {stack}) as (metric, value)")
+            .select(F.lit(table).alias("table_name"), "metric", "value", F.col("_sf_total").alias("total_rows")))
+
+
 class ValidationError(ValueError):
     pass
 

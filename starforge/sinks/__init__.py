@@ -13,14 +13,16 @@ from pyspark.sql import functions as F
 
 from starforge.operators.keys import dense_key, keep_first
 from starforge.session import scratch_path
+from starforge.sinks.files import has_data
 
 BOM = "﻿"
 
 
 def csv_writer(w):
-    """CSV options shared by every CSV sink: header, doubled-quote escaping,
-    microsecond time stamps (the default keeps only milliseconds)."""
+    """CSV options shared by every CSV sink: header, doubled-quote escaping, spaces
+    kept, microsecond time stamps (the default keeps only milliseconds)."""
     return (w.option("header", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
 
@@ -84,7 +86,7 @@ def load_dimension(df: DataFrame, path: str, key_cols) -> str:
 
 def _assert_new(df: DataFrame, path: str, key_cols) -> None:
     """A UNIQUE key that is already in the table fails the load, like one repeated in the batch."""
-    if table_exists(df.sparkSession, path):
+    if has_data(df.sparkSession, path):
         cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
         loaded = df.sparkSession.read.parquet(path).select(*cols)
         clash = df.select(*cols).join(loaded, cols, "left_semi").limit(1).count()
@@ -95,11 +97,12 @@ def _assert_new(df: DataFrame, path: str, key_cols) -> None:
 def load_fact_orders(fact: DataFrame, path: str, quarantine_path: str) -> tuple[str, str]:
     """K4 / K6: append the valid rows (first row per order_id, non-NULL id, not
     loaded before), quarantine the rest with a reason (null_key,
-    duplicate_order_id, loaded_order_id); every input row is in one of both."""
+    duplicate_order_id, loaded_order_id); every input row is in one of both.
+    A plain append: ``loads.load_facts`` is the load that can be repeated."""
     spark = fact.sparkSession
     kept, rejects = keep_first(fact, "order_id", [c for c in fact.columns if c != "order_id"],
                                "duplicate_order_id")
-    if table_exists(spark, path):
+    if has_data(spark, path):
         loaded = spark.read.parquet(path).select("order_id")
         # what is loaded now must not be read again after the append
         again = stage(kept.join(loaded, "order_id", "left_semi").select(*fact.columns)
@@ -177,9 +180,8 @@ def incremental_rejects(incoming: DataFrame, business_key: str) -> DataFrame:
 
 
 def table_exists(spark, path: str) -> bool:
-    """Whether something was written at ``path`` (any file system Spark knows)."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+    """Whether a table was written at ``path``; an empty folder is none."""
+    return has_data(spark, path)
 
 
 def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:

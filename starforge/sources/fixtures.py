@@ -10,10 +10,10 @@ text therefore defines the inputs of both engines.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 
+from starforge.sources.tables import Sources
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
 
@@ -57,6 +57,15 @@ SELECT CAST(event_id AS STRING) AS review_id,
 FROM {events}""",
 }
 
+# reviews with their free text (line breaks, quotes, commas): the texts of the documents
+REVIEW_TEXT_SQL = """
+SELECT CAST(doc_id AS STRING) AS review_id, CAST(doc_id AS STRING) AS order_id,
+  CAST(1 + doc_id % 5 AS INT) AS review_score,
+  CASE WHEN doc_id % 3 = 0 THEN NULL ELSE CONCAT('"', source, '", ', lang) END AS review_comment_title,
+  CASE WHEN text = '' THEN NULL ELSE text END AS review_comment_message,
+  CASE WHEN doc_id % 4 = 0 THEN NULL ELSE CAST(doc_id AS STRING) END AS answer_mark
+FROM {documents}"""
+
 # which driver tables each view reads
 FIXTURE_INPUTS = {
     "src_orders": ("orders",),
@@ -68,17 +77,6 @@ FIXTURE_INPUTS = {
 }
 
 
-@dataclass
-class Sources:
-    """The six source tables in the warehouse's source schemas."""
-    orders: DataFrame
-    order_items: DataFrame
-    customers: DataFrame
-    products: DataFrame
-    payments: DataFrame
-    reviews: DataFrame
-
-
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
