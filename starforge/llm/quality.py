@@ -31,7 +31,8 @@ from starforge.llm.common import stage
 SAMPLE = 4000
 LONGEST = 8192
 BITS = 20
-EPOCHS = 4
+UPDATES = 16_000           # rows seen in training, all passes together, and at least
+EPOCHS = 4                 # passes
 DECISION = 0.3
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 TOKENS_KEPT = 400_000      # tokens that a worker remembers
@@ -88,14 +89,19 @@ def vector(text: str, known: Tokens) -> tuple[np.ndarray, np.ndarray]:
     return features, (values / np.sqrt((values * values).sum())).astype(np.float32)
 
 
-def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], epochs: int = EPOCHS, alpha: float = 0.5,
+def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], epochs: int | None = None, alpha: float = 0.5,
          beta: float = 1.0, l1: float = 0.05, l2: float = 0.01) -> tuple[np.ndarray, float]:
     """(weights, bias) after ``epochs`` passes over the rows in an order fixed by their number.
 
-    Without rows, or with one label only, all weights are 0 and the bias says the label (0.5 without rows).
+    Either label has half of the weight, however many rows have it.  By default there are as
+    many passes as ``EPOCHS`` and ``UPDATES`` ask for.  Without rows, or with one label only,
+    all weights are 0 and the bias says the label (0.5 without rows).
     """
     if len(set(labels)) < 2:
         return np.zeros(1 << BITS, np.float32), 4.0 * (2 * labels[0] - 1) if labels else 0.0
+    epochs = max(EPOCHS, -(-UPDATES // len(rows))) if epochs is None else epochs
+    share = np.bincount(labels, minlength=2)
+    weigh = len(labels) / (2 * share)
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)       # the last place is the bias
     order = np.random.default_rng(7)
     full = [(np.append(i, 1 << BITS), np.append(v, 1.0)) for i, v in rows]
@@ -108,7 +114,7 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], epochs: i
         for k in order.permutation(len(full)):
             at, x = full[k]
             w = leader(at)
-            g = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - labels[k]) * x
+            g = weigh[labels[k]] * (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - labels[k]) * x
             more = n[at] + g * g
             z[at] += g - (np.sqrt(more) - np.sqrt(n[at])) / alpha * w
             n[at] = more
