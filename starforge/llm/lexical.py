@@ -237,7 +237,8 @@ def corpus_size(docs: DataFrame) -> tuple[int, int]:
 class _Block:
     """Documents gathered until they make a block."""
 
-    def __init__(self):
+    def __init__(self, most_documents: int, most_cells: int):
+        self.most_documents, self.most_cells = most_documents, most_cells
         self.rows: dict[bytes, int] = {}
         self.ids, self.lengths, self.cells, self.size = [], [], [], 0
 
@@ -253,7 +254,7 @@ class _Block:
         self.size += len(cells)
 
     def full(self) -> bool:
-        return self.size >= BLOCK_CELLS or len(self.ids) >= BLOCK_DOCUMENTS
+        return self.size >= self.most_cells or len(self.ids) >= self.most_documents
 
     def row(self, documents: int, total: int) -> dict:
         """The block as a row of the index."""
@@ -275,10 +276,12 @@ class _Block:
                 "df": _pack(df[frequent].astype("<u4")), "documents": [self.ids[k] for k in order], "bits": bits} | grid
 
 
-def index(docs: DataFrame, documents: int, total: int) -> DataFrame:
+def index(docs: DataFrame, documents: int, total: int, block_documents: int = BLOCK_DOCUMENTS,
+          block_cells: int = BLOCK_CELLS) -> DataFrame:
     """The index of every row of ``docs`` (doc_id, text), one row a block; see ``corpus_size`` for the numbers.
 
-    Null and empty texts, and texts without a term, are in no cell.
+    A block ends with the 256 documents in which it reaches one of the two sizes.  Null and
+    empty texts, and texts without a term, are in no cell.
     """
     import pyarrow as pa
 
@@ -288,14 +291,15 @@ def index(docs: DataFrame, documents: int, total: int) -> DataFrame:
                        ("mask", pa.binary()), ("below", pa.binary()), ("rest", pa.binary())])
 
     def run(batches):
-        block = _Block()
+        block = _Block(block_documents, block_cells)
+        step = min(256, block_documents)
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
+            for at in range(0, len(batch), step):
+                part = batch.slice(at, step)
                 block.add(part.column(0).to_pylist(), part.column(1).to_pylist())
                 if block.full():
                     yield pa.RecordBatch.from_pylist([block.row(documents, total)], schema=kinds)
-                    block = _Block()
+                    block = _Block(block_documents, block_cells)
         if block.size:
             yield pa.RecordBatch.from_pylist([block.row(documents, total)], schema=kinds)
 
@@ -357,7 +361,8 @@ def _search(blocks: DataFrame, items: list[tuple[int | None, set[bytes]]], docum
         run, "item_id long, doc_id long, score long")
 
 
-def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, slice_bytes: int = SLICE_BYTES,
+           block_documents: int = BLOCK_DOCUMENTS) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``top`` documents of every item, highest score first.
 
     Equal scores are ranked by ascending doc_id, null ids last.  Rows of ``items`` (item_id,
@@ -371,7 +376,7 @@ def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, slice_bytes: int =
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if not total or not size:
         return docs.sparkSession.createDataFrame([], "item_id long, rank int, doc_id long, score long")
-    blocks = stage(index(docs, documents, total), "treap")
+    blocks = stage(index(docs, documents, total, block_documents), "treap")
     slices = -(-size // slice_bytes)
     found = None
     for k in range(slices):
