@@ -143,6 +143,73 @@ def _loads(select: str) -> str:
     return base.warehouse_ctes() + LOADS.format(split=SPLIT) + select
 
 
+def _observed() -> str:
+    def rule(table, name, severity, cond):
+        return (f"SELECT '{table}' AS table_name, '{name}' AS rule, '{severity}' AS severity,"
+                f" count(*) FILTER (WHERE {cond}) AS bad_rows, count(*) AS total_rows,"
+                f" {base.pct(f'count(*) FILTER (WHERE {cond})', 'count(*)')} AS bad_pct FROM {table}")
+    fact = [("null_" + c, "info", f"{c} IS NULL") for c in ("customer_key", "product_key", "order_date_key",
+                                                            "payment_type_key", "order_total_value")]
+    fact += [("null_order_id", "raise", "order_id IS NULL"), ("negative_values", "error", "order_total_value < 0"),
+             ("zero_values", "warn", "order_total_value = 0"), ("negative_delivery_days", "warn", "delivery_days < 0")]
+    customers = [("null_customer_id", "raise", "customer_id IS NULL"),
+                 ("null_customer_segment", "warn", "customer_segment IS NULL")]
+    return base.with_wh(" UNION ALL ".join(
+        [rule(t, "row_count", "info", "true") for t in ("dim_products", "dim_customers", "fact_orders")]
+        + [rule("fact_orders", *r) for r in fact] + [rule("dim_customers", *r) for r in customers]))
+
+
+def _observed_sources() -> str:
+    parts = []
+    for table, src, rules in base.VALIDATION.values():
+        for name, severity, expr in [("row_count", "info", "count(*)"), *rules]:
+            if "DISTINCT" not in expr:
+                parts.append(f"SELECT '{table}' AS table_name, '{name}' AS rule, '{severity}' AS severity,"
+                             f" CAST({expr} AS BIGINT) AS bad_rows, count(*) AS total_rows,"
+                             f" {base.pct(expr, 'count(*)')} AS bad_pct FROM {src}")
+    return "WITH " + ",\n".join(changed_sources(DAMAGED)) + "\n" + " UNION ALL ".join(parts)
+
+
+def _customer(n: int, col: str = "customer_id") -> str:
+    return f"coalesce(TRY_CAST({col} AS BIGINT) % {n} = 0, false)"
+
+
+ATTRS = ("customer_unique_id customer_city customer_state customer_region customer_segment first_order_date"
+         " last_order_date total_orders delivered_orders total_spent avg_order_value lifetime_value days_as_customer"
+         " purchase_frequency_annual").split()
+
+
+def _merge(select: str) -> str:
+    """Current: the customers with an order before SPLIT; batch: all customers but every 7th."""
+    early = ["e_orders AS (SELECT * FROM src_orders WHERE order_purchase_timestamp < " + SPLIT + ")",
+             "e_customers AS (SELECT * FROM src_customers WHERE customer_id IN (SELECT customer_id FROM e_orders))",
+             *base._customers("e_", "e_orders", "e_customers", with_rev=False)]
+    same = " AND ".join(f"c.{a} IS NOT DISTINCT FROM n.{a}" for a in ATTRS)
+    attrs = ", ".join(f"CASE WHEN n.customer_id IS NULL THEN c.{a} ELSE n.{a} END AS {a}" for a in ATTRS)
+    own = [f"n AS (SELECT * FROM dim_customers WHERE NOT {_customer(7)})",
+           f"""j AS (SELECT coalesce(c.customer_id, n.customer_id) AS customer_id, c.customer_key AS old_key, {attrs},
+  CASE WHEN n.customer_id IS NULL THEN 'missing' WHEN c.customer_id IS NULL THEN 'new' WHEN {same} THEN 'same'
+       ELSE 'changed' END AS change_class
+  FROM e_dim_customers c FULL JOIN n ON c.customer_id = n.customer_id)""",
+           """m AS (SELECT *, CASE WHEN change_class = 'new' THEN (SELECT max(customer_key) FROM e_dim_customers)
+    + row_number() OVER (PARTITION BY change_class ORDER BY customer_id) ELSE old_key END AS customer_key FROM j)"""]
+    return base.warehouse_ctes().rstrip() + ",\n" + ",\n".join([*early, *own]) + "\n" + select
+
+
+def _months(table: bool) -> str:
+    cols = "order_id, customer_id, order_status, order_purchase_timestamp"
+    if table:
+        return base.fixtures_only(
+            f"SELECT {cols}, CAST(date_trunc('month', order_purchase_timestamp) AS DATE) AS load_month FROM src_orders")
+    late = "FROM src_orders WHERE order_purchase_timestamp >= TIMESTAMP '1998-11-01' AND "
+    return base.fixtures_only(
+        f"SELECT order_id, customer_id, 'zzz' AS order_status, order_purchase_timestamp,"
+        f" 'duplicate_order_id' AS reject_reason {late} {_mod('order_id', 19)}"
+        f" UNION ALL SELECT NULL, customer_id, order_status, order_purchase_timestamp, 'null_key' {late}"
+        f" {_mod('order_id', 23)} UNION ALL SELECT order_id, customer_id, order_status, NULL,"
+        f" 'null_order_purchase_timestamp' {late} {_mod('order_id', 29)}")
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["s1_s7_csv_to_warehouse"] = warehouse_over(
@@ -198,4 +265,16 @@ def oracle_sql() -> dict[str, str]:
     q["k1_k7_cutover"] = (
         f"SELECT 1 AS version, * FROM ({warehouse_over(early)} SELECT {some} FROM fact_orders)"
         f" UNION ALL SELECT 2 AS version, * FROM ({base.warehouse_ctes()} SELECT {some} FROM fact_orders)")
+    q["q1_q6_q8_observed"] = _observed()
+    q["v1_v6_observed"] = _observed_sources()
+    q["d8_merge_classes"] = _merge("SELECT customer_id, customer_key, change_class FROM m")
+    kept = [a for a in ATTRS if a not in ("first_order_date", "last_order_date")]
+    q["d8_merge_table"] = _merge("SELECT customer_key, customer_id, " + ", ".join(
+        f"CAST({a} AS DOUBLE) AS {a}" if a in base.MONEY["dim_customers"] else a for a in kept) + " FROM m")
+    row = "customer_city, total_orders, CAST(total_spent AS DOUBLE) AS total_spent"
+    q["d8_merge_rejects"] = _merge(
+        f"SELECT customer_id, 'zz' AS customer_unique_id, {row}, 'duplicate_customer_id' AS reject_reason FROM n"
+        f" WHERE {_customer(11)} UNION ALL SELECT NULL, customer_unique_id, {row}, 'null_key' FROM n"
+        f" WHERE {_customer(13)}")
+    q["d9_months_table"], q["d9_months_rejects"] = _months(True), _months(False)
     return q

@@ -132,21 +132,24 @@ def first_rows(df: DataFrame, key, order_by) -> DataFrame:
                          for c in df.columns])
 
 
-def extra_rows(df: DataFrame, key, order_by, reason: str = "duplicate_key") -> DataFrame:
+def extra_rows(df: DataFrame, key, order_by, reason: str = "duplicate_key",
+               repeated: DataFrame | None = None) -> DataFrame:
     """K6, the rows quarantined: all that ``first_rows`` leaves out, exact copies of the
     row kept included, with a ``reject_reason`` column (``null_key`` or ``reason``).
 
     Rows are counted per key first (the key column alone is read); only the rows of keys
     that repeat are fetched, collapsed to one per distinct row and staged.  A table
-    without repeats costs one narrow count and a semi join with nothing.
+    without repeats costs one narrow count and a semi join with nothing.  ``repeated``:
+    the keys that repeat, where they are known already.
     """
     from starforge.sinks import stage
     keys = [key] if isinstance(key, str) else list(key)
     cols = df.columns
     null = _any_null(keys)
     present = df.where(~null)
-    repeated = (present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sf_rows"))
-                .where(F.col("_sf_rows") > 1).select(*keys))
+    if repeated is None:
+        repeated = (present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sf_rows"))
+                    .where(F.col("_sf_rows") > 1).select(*keys))
     rows = stage(present.join(repeated, keys, "left_semi").select(*cols)
                  .groupBy(*cols).agg(F.count(F.lit(1)).alias("_sf_n")), "repeated")
     won = F.lit(True)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starforge.functions.scalars import percent
@@ -20,18 +20,27 @@ from starforge.operators.keys import duplicate_count
 
 @dataclass(frozen=True)
 class Rule:
+    """``rows`` marks the bad rows one by one, or ``total`` counts them over the whole table
+    (distinct counts: those can't be observed while a table is written)."""
     name: str
     severity: str           # raise | error | warn | info
-    bad_rows: object        # aggregate Column, or a callable returning one
+    rows: Column | None = None
+    total: Column | None = None
+
+    def bad_rows(self, where: Column | None = None) -> Column:
+        if self.rows is None:
+            return self.total
+        bad = F.coalesce(self.rows, F.lit(False))
+        return F.count_if(bad if where is None else bad & where)
 
 
 def _null(c: str) -> Column:
-    return F.count_if(F.col(c).isNull())
+    return F.col(c).isNull()
 
 
 def _bad_or_null(c: str, pred) -> Column:
     # NULL counts as bad: pandas' (s <= 0) | s.isnull()
-    return F.count_if(F.coalesce(pred(F.col(c)), F.lit(True)))
+    return F.coalesce(pred(F.col(c)), F.lit(True))
 
 
 def rules_for(table: str) -> list[Rule]:
@@ -42,20 +51,20 @@ def rules_for(table: str) -> list[Rule]:
 def _RULES() -> dict:
     return {
         "orders": [
-            Rule("duplicate_order_id", "warn", duplicate_count("order_id")),
+            Rule("duplicate_order_id", "warn", total=duplicate_count("order_id")),
             Rule("null_order_id", "raise", _null("order_id")),
             Rule("null_customer_id", "raise", _null("customer_id")),
         ],
         "order_items": [
-            Rule("negative_price", "warn", F.count_if(F.col("price") < 0)),
-            Rule("zero_price", "warn", F.count_if(F.col("price") == 0)),
+            Rule("negative_price", "warn", F.col("price") < 0),
+            Rule("zero_price", "warn", F.col("price") == 0),
             Rule("null_order_id", "raise", _null("order_id")),
             Rule("null_product_id", "raise", _null("product_id")),
         ],
         "customers": [
-            Rule("duplicate_customer_id", "warn", duplicate_count("customer_id")),
+            Rule("duplicate_customer_id", "warn", total=duplicate_count("customer_id")),
             Rule("repeat_customer_records", "info",
-                 (F.count(F.lit(1)) - F.count_distinct("customer_unique_id")).cast("long")),
+                 total=(F.count(F.lit(1)) - F.count_distinct("customer_unique_id")).cast("long")),
             Rule("null_customer_id", "raise", _null("customer_id")),
             Rule("null_customer_unique_id", "raise", _null("customer_unique_id")),
             Rule("null_customer_state", "warn", _null("customer_state")),
@@ -64,7 +73,7 @@ def _RULES() -> dict:
                  _bad_or_null("customer_state", lambda s: F.length(s) != 2)),
         ],
         "products": [
-            Rule("duplicate_product_id", "error", duplicate_count("product_id")),
+            Rule("duplicate_product_id", "error", total=duplicate_count("product_id")),
             Rule("null_product_id", "raise", _null("product_id")),
             Rule("null_category", "warn", _null("product_category_name")),
             *[Rule(f"invalid_{c}", "warn", _bad_or_null(c, lambda s: s <= 0))
@@ -74,26 +83,73 @@ def _RULES() -> dict:
         "payments": [
             Rule("null_order_id", "raise", _null("order_id")),
             Rule("null_payment_type", "warn", _null("payment_type")),
-            Rule("negative_payment_value", "error", F.count_if(F.col("payment_value") < 0)),
-            Rule("zero_payment_value", "warn", F.count_if(F.col("payment_value") == 0)),
+            Rule("negative_payment_value", "error", F.col("payment_value") < 0),
+            Rule("zero_payment_value", "warn", F.col("payment_value") == 0),
             Rule("null_payment_value", "warn", _null("payment_value")),
-            Rule("installments_below_one", "warn", F.count_if(F.col("payment_installments") < 1)),
+            Rule("installments_below_one", "warn", F.col("payment_installments") < 1),
         ],
         "reviews": [
-            Rule("duplicate_review_id", "warn", duplicate_count("review_id")),
+            Rule("duplicate_review_id", "warn", total=duplicate_count("review_id")),
             Rule("null_review_id", "raise", _null("review_id")),
             Rule("null_order_id", "raise", _null("order_id")),
             Rule("null_review_score", "warn", _null("review_score")),
             Rule("score_out_of_range", "error",
-                 F.count_if((F.col("review_score") < 1) | (F.col("review_score") > 5))),
+                 (F.col("review_score") < 1) | (F.col("review_score") > 5)),
         ],
     }
 
 
+# Q1, Q6-Q8: what is checked while the warehouse tables are written
+def _WAREHOUSE() -> dict:
+    return {
+        "fact_orders": [
+            *[Rule(f"null_{c}", "info", _null(c)) for c in ("customer_key", "product_key", "order_date_key",
+                                                            "payment_type_key", "order_total_value")],
+            Rule("null_order_id", "raise", _null("order_id")),
+            Rule("negative_values", "error", F.col("order_total_value") < 0),
+            Rule("zero_values", "warn", F.col("order_total_value") == 0),
+            Rule("negative_delivery_days", "warn", F.col("delivery_days") < 0),
+        ],
+        "dim_customers": [Rule("null_customer_id", "raise", _null("customer_id")),
+                          Rule("null_customer_segment", "warn", _null("customer_segment"))],
+    }
+
+
+def warehouse_rules(table: str) -> list[Rule]:
+    return _WAREHOUSE().get(table, [])
+
+
+REPORT = ("table_name string, rule string, severity string, bad_rows long, total_rows long, bad_pct double")
+
+
+class Observed:
+    """Rules counted while ``df`` is written, without a scan of their own.
+
+    Write ``.df`` (instead of the DataFrame that was given), then read ``.rows()``.  Only
+    rules that mark single rows can be observed; ``where`` limits which rows count.
+    """
+
+    def __init__(self, df: DataFrame, table: str, rules: list[Rule], where: Column | None = None):
+        self.table, self.rules = table, [r for r in rules if r.rows is not None]
+        self._seen = Observation()
+        total = F.count(F.lit(1)) if where is None else F.count_if(where)
+        self.df = df.observe(self._seen, total.alias("total"),
+                             *[r.bad_rows(where).alias(f"r{i}") for i, r in enumerate(self.rules)])
+
+    def rows(self) -> list[tuple]:
+        """One row per rule, in the columns of ``REPORT``, and first the row count; waits for the write."""
+        seen = self._seen.get
+        total = seen["total"]
+        out = [(self.table, "row_count", "info", total, total, 100.0 if total else 0.0)]
+        for i, r in enumerate(self.rules):
+            bad = seen[f"r{i}"]
+            out.append((self.table, r.name, r.severity, bad, total, bad / total * 100.0 if total else 0.0))
+        return out
+
+
 def validate(df: DataFrame, table: str, rules=None) -> DataFrame:
     rules = rules_for(table) if rules is None else rules
-    aggs = [r.bad_rows().alias(f"r{i}") if callable(r.bad_rows) else r.bad_rows.alias(f"r{i}")
-            for i, r in enumerate(rules)]
+    aggs = [r.bad_rows().alias(f"r{i}") for i, r in enumerate(rules)]
     a = df.agg(F.count(F.lit(1)).alias("_sf_total"), *aggs)
     stack = ", ".join(f"'{r.name}', '{r.severity}', CAST(r{i} AS BIGINT)"
                       for i, r in enumerate(rules))
@@ -134,10 +190,20 @@ def enforce(report: DataFrame) -> DataFrame:
     """Raise if a ``raise`` rule failed; return the report unchanged."""
     failed = (report.where((F.col("severity") == "raise") & (F.col("bad_rows") > 0))
               .select("table_name", "rule", "bad_rows").collect())   # <= one row per rule
+    _stop(failed)
+    return report
+
+
+def _stop(failed) -> None:
     if failed:
-        msg = ", ".join(f"{r.table_name}.{r.rule}={r.bad_rows}" for r in failed)
+        msg = ", ".join(f"{table}.{rule}={bad}" for table, rule, bad in failed)
         raise ValidationError(f"critical validation failed: {msg}")
-    return report
+
+
+def enforce_rows(rows: list[tuple]) -> list[tuple]:
+    """``enforce`` for the rows of ``Observed``."""
+    _stop([(table, rule, bad) for table, rule, severity, bad, *_ in rows if severity == "raise" and bad])
+    return rows
 
 
 def unmapped_keys(fact_with_keys: DataFrame) -> DataFrame:

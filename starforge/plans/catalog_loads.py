@@ -7,13 +7,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.operators.validate import extract_metrics
+from starforge.operators.validate import REPORT, extract_metrics, warehouse_rules
+from starforge.plans.dims import dim_customers
 from starforge.plans.pipeline import build, write
 from starforge.rules import FIXTURE_RULES as RULES
 from starforge.schemas import table_columns
 from starforge.session import scratch_path
 from starforge.sinks import csv_writer, stage, write_csv_bom
 from starforge.sinks.loads import load_facts, load_keyed, load_numbered, loaded, replace_load
+from starforge.sinks.merge import append_unseen_months, merge_scd1
 from starforge.sinks.versions import publish, read_version
 from starforge.sources.csv import read_csv_table, read_sources, read_staged_csv
 from starforge.sources.fixtures import REVIEW_TEXT_SQL, driver_table, load_fixture_sources
@@ -270,6 +272,77 @@ def q_cutover(spark, sf):
     return _plain(out)
 
 
+# ------------------------------------------- checks observed in the writes
+def q_observed_checks(spark, sf):
+    """Q1, Q6-Q8 counted by the writes of a refresh, read back from the published report."""
+    root = scratch_path(spark, "observed")
+    w = _warehouse(spark, sf)
+    publish({n: w[n] for n in ("dim_products", "dim_customers", "fact_orders")}, root, rules=warehouse_rules)
+    return read_version(spark, root)["load_report"]
+
+
+def q_extract_checks(spark, sf):
+    """V1-V6 counted while the CSV sources are staged; malformed lines don't count."""
+    return spark.createDataFrame(_extract(spark, sf).checks, REPORT)
+
+
+# ------------------------------------------------------------------ merges
+def _customer(n: int):
+    """Every n-th customer by number; the ids are not all numbers."""
+    return F.coalesce(F.col("customer_id").try_cast("long") % n == 0, F.lit(False))
+
+
+def _merged(spark, sf):
+    """The customers known before SPLIT, merged with all customers but every 7th; every 11th
+    comes twice, every 13th once more without an id."""
+    src = load_fixture_sources(spark, sf)
+    early = before_split(src.orders)
+    some = src.customers.join(early.select("customer_id").distinct(), "customer_id", "left_semi")
+    current = stage(dim_customers(some, early, src.order_items, RULES), "current")
+    full = _warehouse(spark, sf)["dim_customers"].where(~_customer(7))
+    batch = (full.unionByName(full.where(_customer(11)).withColumn("customer_unique_id", F.lit("zz")))
+             .unionByName(full.where(_customer(13)).withColumn("customer_id", F.lit(None).cast("string"))))
+    return merge_scd1(current, batch, "customer_id", "customer_key")
+
+
+def q_merge_classes(spark, sf):
+    return _merged(spark, sf).classes
+
+
+def q_merge_table(spark, sf):
+    return _plain(_merged(spark, sf).table.drop("first_order_date", "last_order_date"))
+
+
+def q_merge_rejects(spark, sf):
+    return _plain(_merged(spark, sf).rejects.select("customer_id", "customer_unique_id", "customer_city",
+                                                    "total_orders", "total_spent", "reject_reason"))
+
+
+def _months(spark, sf):
+    """Orders before SPLIT, then those from two months before SPLIT on, some of them twice,
+    without an id or without a time."""
+    orders = load_fixture_sources(spark, sf).orders.select(
+        "order_id", "customer_id", "order_status", "order_purchase_timestamp")
+    table, bad = scratch_path(spark, "orders-by-month"), scratch_path(spark, "orders-by-month-quarantine")
+    at = "order_purchase_timestamp"
+    append_unseen_months(before_split(orders), table, "order_id", at, bad)
+    late = orders.where(F.col(at) >= F.lit("1998-11-01").cast("timestamp_ntz"))
+    batch = (late.unionByName(late.where(_mod("order_id", 19)).withColumn("order_status", F.lit("zzz")))
+             .unionByName(late.where(_mod("order_id", 23)).withColumn("order_id", F.lit(None).cast("string")))
+             .unionByName(late.where(_mod("order_id", 29)).withColumn(at, F.lit(None).cast("timestamp_ntz"))))
+    append_unseen_months(batch, table, "order_id", at, bad)
+    return table, bad
+
+
+def q_months_table(spark, sf):
+    """D9 on a table partitioned by month: all orders, each once, with the month of its folder."""
+    return spark.read.parquet(_months(spark, sf)[0])
+
+
+def q_months_rejects(spark, sf):
+    return spark.read.parquet(_months(spark, sf)[1])
+
+
 QUERIES = {
     "s1_s7_csv_to_warehouse": q_csv_to_warehouse,
     "s7_extract_ledger": q_extract_ledger,
@@ -288,6 +361,13 @@ QUERIES = {
     "k8_out_of_range": q_out_of_range,
     "k8_out_of_range_rest": q_out_of_range_rest,
     "k1_k7_cutover": q_cutover,
+    "q1_q6_q8_observed": q_observed_checks,
+    "v1_v6_observed": q_extract_checks,
+    "d8_merge_classes": q_merge_classes,
+    "d8_merge_table": q_merge_table,
+    "d8_merge_rejects": q_merge_rejects,
+    "d9_months_table": q_months_table,
+    "d9_months_rejects": q_months_rejects,
 }
 
 COVERS = {
@@ -301,4 +381,7 @@ COVERS = {
     "k2_reloaded_products": "K2 Q11 Q12", "k5_reloaded_cohorts": "K5 W2",
     "k8_out_of_range": "K8 F14", "k8_out_of_range_rest": "K8 W2",
     "k1_k7_cutover": "K1 K7 S9",
+    "q1_q6_q8_observed": "Q1 Q6 Q7 Q8", "v1_v6_observed": "V1 V2 V3 V4 V5 V6",
+    "d8_merge_classes": "D8 W2", "d8_merge_table": "D8", "d8_merge_rejects": "D8",
+    "d9_months_table": "D9", "d9_months_rejects": "D9",
 }

@@ -16,7 +16,7 @@ from starforge.plans.dims import (dim_date, dim_payment_type, run_timestamp, spl
                                   split_products)
 from starforge.plans.facts import (fact_orders, fact_quarantine, order_items_agg, payments_agg,
                                    unfit_orders)
-from starforge.operators.validate import enforce, validate
+from starforge.operators.validate import REPORT, enforce_rows, warehouse_rules
 from starforge.rules import Rules
 from starforge.sinks import stage
 from starforge.sinks.versions import publish
@@ -71,27 +71,19 @@ def write(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> d
     return paths
 
 
-def validate_sources(src: Sources) -> DataFrame:
-    """V1-V6: the rule reports of the six sources, one row per rule."""
-    out = None
-    for name, df in src.items():
-        one = validate(df, name)
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 def run_from_csv(spark: SparkSession, paths: dict[str, str], rules: Rules, root: str,
-                 keep: int = 2) -> tuple[Extract, DataFrame]:
-    """CSV files to warehouse in one run: read (S1-S7), validate (a failed ``raise`` rule stops
-    here, with nothing written), build, and publish under ``root`` as the next version (K1, K7).
+                 keep: int = 2) -> Extract:
+    """CSV files to warehouse in one run: read and check (S1-S7, V1-V6; a failed ``raise`` rule
+    stops here, with nothing written), build, and publish under ``root`` as the next version
+    (K1, K7), whose tables are checked while they are written (Q1, Q6-Q8).
 
-    The lines that could not be read and the ledger of lost values are published with the six
-    tables and the rejects.  Returns the extract and the validation report.
+    The lines that could not be read, the ledger of lost values and the source checks are
+    published with the six tables and the rejects.
     """
     extract = read_sources(spark, paths)
-    report = enforce(stage(validate_sources(extract.sources), "validation"))
+    enforce_rows(extract.checks)
     tables = build(spark, extract.sources, rules)
     tables |= {"malformed_records": extract.malformed, "extract_ledger": extract.ledger,
-               "validation_report": report}
-    publish(tables, root, keep)
-    return extract, report
+               "extract_checks": spark.createDataFrame(extract.checks, REPORT).coalesce(1)}
+    publish(tables, root, keep, rules=warehouse_rules)
+    return extract

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.operators.keys import dense_key, keep_first
+from starforge.operators.keys import extra_rows, first_rows, keep_first
 from starforge.session import scratch_path
 from starforge.sinks.files import has_data
 
@@ -136,47 +136,32 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def upsert_scd1(current: DataFrame, incoming: DataFrame, business_key: str, surrogate_key: str,
                 updated_col: str = "updated_at", created_col: str = "created_at",
                 load_ts=None) -> DataFrame:
-    """SCD type 1 merge.
+    """SCD type 1 merge, the merged table alone (``merge.merge_scd1`` also returns
+    the class of every key and the rejects).
 
     Rows whose business key exists keep their surrogate key and created_at and
     take every other attribute from ``incoming``; ``updated_at`` is refreshed.
     New business keys get keys max(existing) + 1.. in business-key order.
-    Untouched rows pass through.  Returns the merged table (write it to a new
-    location or through a staged copy: the input is still being read).
+    Untouched rows pass through.
     """
-    ts = load_ts if load_ts is not None else F.current_timestamp().cast("timestamp_ntz")
-    attrs = [c for c in incoming.columns if c not in (surrogate_key, created_col, updated_col)]
-    cur = current.select(*current.columns)
-    inc, _ = keep_first(incoming.select(*attrs), business_key, attrs)
-    keys = cur.select(business_key, surrogate_key, created_col)
-    matched = (inc.join(keys, business_key, "inner")
-               .withColumn(updated_col, ts))
-    untouched = cur.join(inc.select(business_key), business_key, "left_anti")
-    new = inc.join(cur.select(business_key), business_key, "left_anti")
-    # one scalar: the current largest key
-    max_key = cur.agg(F.coalesce(F.max(surrogate_key), F.lit(0))).first()[0]
-    new_keyed = (dense_key(new, [business_key], "_sf_rank")
-                 .withColumn(surrogate_key, F.lit(max_key) + F.col("_sf_rank"))
-                 .drop("_sf_rank")
-                 .withColumn(created_col, ts).withColumn(updated_col, ts))
-    cols = current.columns
-    return (untouched.select(*cols)
-            .unionByName(matched.select(*cols))
-            .unionByName(new_keyed.select(*cols)))
+    from starforge.sinks.merge import merge_scd1
+    return merge_scd1(current, incoming, business_key, surrogate_key, updated_col, created_col,
+                      load_ts).table
 
 
 def incremental_new_rows(existing: DataFrame, incoming: DataFrame, business_key: str) -> DataFrame:
     """Rows of ``incoming`` whose business key is not yet in ``existing``
     (left anti join), de-duplicated on the key.  The rows left out for a NULL
-    or repeated key are ``incremental_rejects``."""
-    first, _ = keep_first(incoming, business_key, incoming.columns)
+    or repeated key are ``incremental_rejects``; ``merge.append_unseen_months`` does both
+    for a large table."""
+    first = first_rows(incoming, business_key, incoming.columns)
     return first.join(existing.select(business_key), business_key, "left_anti")
 
 
 def incremental_rejects(incoming: DataFrame, business_key: str) -> DataFrame:
     """Rows of a batch that an upsert or append can't take, with their
     reject_reason (NULL key, or beyond the first row of its key)."""
-    return keep_first(incoming, business_key, incoming.columns, f"duplicate_{business_key}")[1]
+    return extra_rows(incoming, business_key, incoming.columns, f"duplicate_{business_key}")
 
 
 def table_exists(spark, path: str) -> bool:

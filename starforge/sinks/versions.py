@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starforge.operators.validate import REPORT, Observed, enforce_rows
 from starforge.schemas import TARGETS
 from starforge.sinks.files import read_table, remove_folder, subfolders
 
@@ -34,11 +35,17 @@ def _folders(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(n[1:]) for n in subfolders(spark, root) if n[:1] == "v" and n[1:].isdigit())
 
 
-def publish(tables: dict[str, DataFrame], root: str, keep: int = 2, before_cutover=None) -> int:
+REPORT_TABLE = "load_report"
+
+
+def publish(tables: dict[str, DataFrame], root: str, keep: int = 2, before_cutover=None,
+            rules=None) -> int:
     """Write ``tables`` as the next version and make it the current one; returns its number.
 
-    ``before_cutover`` (a callable that gets the version's folder) may raise to stop the
-    refresh: checks of what was written belong there.  The ``keep`` newest published
+    ``rules`` (a callable from table name to its list of Rules) are counted by the writes
+    themselves (Q1, Q6-Q8); the counts are published as ``load_report``, and a failed
+    ``raise`` rule stops the refresh before the cut-over.  ``before_cutover`` (a callable
+    that gets the version's folder) may raise to stop it too.  The ``keep`` newest published
     versions stay; older ones, and folders of refreshes that never were published, are
     removed after the cut-over.
     """
@@ -48,11 +55,20 @@ def publish(tables: dict[str, DataFrame], root: str, keep: int = 2, before_cutov
     version = last + 1
     folder = f"{root}/v{version}"
     remove_folder(spark, folder)                        # what a broken refresh left
+    report = []
     for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{folder}/{name}")
+        seen = Observed(df, name, rules(name)) if rules is not None else None
+        (df if seen is None else seen.df).write.mode("errorifexists").parquet(f"{folder}/{name}")
+        if seen is not None:
+            report += seen.rows()
+    names = sorted(tables)
+    if rules is not None:
+        spark.createDataFrame(report, REPORT).coalesce(1).write.parquet(f"{folder}/{REPORT_TABLE}")
+        names.append(REPORT_TABLE)
+        enforce_rows(report)
     if before_cutover is not None:
         before_cutover(folder)
-    row = [(version, dt.datetime.now().replace(microsecond=0), sorted(tables))]
+    row = [(version, dt.datetime.now().replace(microsecond=0), names)]
     spark.createDataFrame(row, _POINTER_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{POINTER}")
     good = {r["version"] for r in published(spark, root).select("version").collect()}      # one row a refresh
     for old in _folders(spark, root):

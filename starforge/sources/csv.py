@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starforge.functions.scalars import item_total, positive_flag, product_volume
+from starforge.operators.validate import Observed, rules_for
 from starforge.schemas import SOURCES, TARGETS
 from starforge.sources.tables import Sources
 
@@ -137,6 +138,7 @@ class Extract:
     sources: Sources
     malformed: DataFrame        # table_name, record: the lines that are in no source
     ledger: DataFrame           # see ``ledger_of``
+    checks: list[tuple]         # V1-V6, one row per rule that marks single rows (``Observed``)
 
 
 def read_sources(spark: SparkSession, paths: dict[str, str]) -> Extract:
@@ -144,16 +146,21 @@ def read_sources(spark: SparkSession, paths: dict[str, str]) -> Extract:
 
     Every file is parsed once, into a staged typed table that the build then reads.  Lines
     with a wrong number of fields are kept in ``malformed``, not in the sources; values that
-    can't be converted are NULL and counted per column in ``ledger``.
+    can't be converted are NULL and counted per column in ``ledger``.  The rules V1-V6 that
+    mark single rows are counted by the same pass.
     """
     from starforge.sinks import stage
-    tables, malformed, ledger = {}, None, None
+    tables, malformed, ledger, checks = {}, None, None, []
     for f in fields(Sources):
-        scanned = stage(scan_csv(spark, paths[f.name], f.name), f"csv-{f.name}")
+        lines = scan_csv(spark, paths[f.name], f.name)
+        seen = Observed(lines, f.name, [r for r in rules_for(f.name) if r.rows is not None],
+                        where=F.col(CORRUPT).isNull())
+        scanned = stage(seen.df, f"csv-{f.name}")
+        checks += seen.rows()
         tables[f.name] = derived_columns(scanned.where(F.col(CORRUPT).isNull()).drop(CORRUPT, NULLED), f.name)
         bad = scanned.where(F.col(CORRUPT).isNotNull()).select(F.lit(f.name).alias("table_name"),
                                                                 F.col(CORRUPT).alias("record"))
         malformed = bad if malformed is None else malformed.unionByName(bad)
         one = ledger_of(scanned, f.name)
         ledger = one if ledger is None else ledger.unionByName(one)
-    return Extract(Sources(**tables), malformed, ledger)
+    return Extract(Sources(**tables), malformed, ledger, checks)
