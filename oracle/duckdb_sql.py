@@ -731,11 +731,12 @@ def oracle_sql() -> dict[str, str]:
     q["a10_totalprice_summary"] = _numeric_summary(
         "p", "(SELECT CAST(o_totalprice AS DECIMAL(18,2)) AS p FROM orders)", money=True)
     q["a11_describe_quantity"] = (
-        "SELECT count(l_quantity) AS count,"
-        " round(sum(l_quantity) / count(l_quantity), 9) AS mean,"
-        " round(stddev_samp(l_quantity), 6) AS std, min(l_quantity) AS min,"
-        " quantile_cont(l_quantity, 0.25) AS p25, quantile_cont(l_quantity, 0.5) AS p50,"
-        " quantile_cont(l_quantity, 0.75) AS p75, max(l_quantity) AS max FROM lineitem")
+        "SELECT n AS count, CAST(s AS DOUBLE) / 100 / CAST(n AS DOUBLE) AS mean,"
+        " sqrt(CAST(n * q - s * s AS DOUBLE) / (CAST(n AS DOUBLE) * CAST(n - 1 AS DOUBLE))) / 100 AS std,"
+        " min, p25, p50, p75, max FROM (SELECT count(l_quantity) AS n, sum(c) AS s, sum(c * c) AS q,"
+        " min(l_quantity) AS min, quantile_cont(l_quantity, 0.25) AS p25, quantile_cont(l_quantity, 0.5) AS p50,"
+        " quantile_cont(l_quantity, 0.75) AS p75, max(l_quantity) AS max FROM (SELECT l_quantity,"
+        " CAST(CAST(l_quantity AS DECIMAL(12,2)) * 100 AS HUGEINT) AS c FROM lineitem))")
     q["a16_event_nulls"] = _null_counts(
         "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     q["o2_top_clv"] = with_wh(

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starforge.functions.scalars import share_pct
 
@@ -29,7 +30,8 @@ def value_counts(df: DataFrame, col: str, k: int | None = None) -> DataFrame:
     """Count per value with its share of all rows, count
     descending then value ascending; ``k`` keeps the top k."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1)).alias("_sf_total"))
+    # the total is the sum of the counts: the same aggregation, whose exchange Spark reuses
+    total = counts.agg(F.sum("count").alias("_sf_total"))
     out = (counts.withColumn("_sf_one", F.lit(1))
            .join(F.broadcast(total.withColumn("_sf_one", F.lit(1))), "_sf_one")
            .select(col, "count", share_pct(F.col("count"), F.col("_sf_total")).alias("percentage"))
@@ -52,7 +54,7 @@ def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def numeric_summary(df: DataFrame, col: str, where=None) -> DataFrame:
     """A10: sum, mean, min, max, median of a numeric column (optional filter).
-    The median comes from a distributed sort, not a one-task buffer."""
+    The median comes from narrowing histograms, not a one-task buffer."""
     from starforge.operators.quantile import exact_percentiles
     d = df if where is None else df.where(where)
     a = d.agg(F.sum(col).alias("sum"),
@@ -63,11 +65,28 @@ def numeric_summary(df: DataFrame, col: str, where=None) -> DataFrame:
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
-    """Count, mean, std, min, exact quartiles (linear interpolation), max."""
+    """Count, mean, std, min, exact quartiles (linear interpolation), max.
+
+    A DECIMAL column is summed exactly, its squares too, so mean and std have one rounding
+    each and don't depend on the order of the rows.
+    """
     from starforge.operators.quantile import exact_percentiles
     v = F.col(col).cast("double")
-    a = df.agg(F.count(v).alias("count"),
-               F.try_divide(F.sum(v), F.count(v).cast("double")).alias("mean"),
-               F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+    if isinstance(df.schema[col].dataType, T.DecimalType):
+        unit = 10 ** df.schema[col].dataType.scale
+        whole = (F.col(col) * unit).cast("decimal(18,0)")
+        a = df.agg(F.count(col).alias("count"), F.sum(whole).cast("decimal(38,0)").alias("s"),
+                   F.sum(whole * whole).cast("decimal(38,0)").alias("q"), F.stddev_samp(v).alias("near"),
+                   F.min(v).alias("min"), F.max(v).alias("max"))
+        n = F.col("count").cast("double")
+        # n * squares - sum ** 2, exact up to 38 digits; NULL beyond
+        spread = F.expr("try_subtract(try_multiply(q, cast(count as decimal(19,0))), try_multiply(s, s))")
+        std = F.sqrt(F.try_divide(spread.cast("double"), n * (n - 1))) / unit
+        a = a.select("count", F.try_divide(F.col("s").cast("double") / unit, n).alias("mean"),
+                     F.when(F.col("count") > 1, F.coalesce(std, "near")).alias("std"), "min", "max")
+    else:
+        a = df.agg(F.count(v).alias("count"),
+                   F.try_divide(F.sum(v), F.count(v).cast("double")).alias("mean"),
+                   F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
     q = exact_percentiles(df, col, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     return _one_row_pair(a, q).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")

@@ -1,82 +1,138 @@
-"""Exact quantiles without one task holding the values (A10 median, A11
-quartiles, B9 median CLV, D2 price cut-off).
-
-``percentile`` / ``median`` are exact but keep every distinct value of the
-group in one aggregation buffer; over a whole table that group is the table.
-Here:
-
-1. values are counted per distinct value (hash aggregate with map-side
-   partial aggregation, so a value held by a third of the rows collapses
-   before the shuffle);
-2. the distinct values are numbered in order by ``dense_key`` (a range sort
-   of *distinct* values, so no value can overload a sort partition);
-3. the rows before each value are a running sum of counts: per sort
-   partition totals (one number per partition) give the offsets, and a
-   window inside each sort partition gives the rest;
-4. the values at the two ranks around each requested position are picked
-   with a filter and interpolated like Spark's ``percentile``:
-   pos = p (n - 1), value = (hi - pos) v[lo] + (pos - lo) v[hi].
+"""Exact quantiles by narrowing histograms (A10 median, A11 quartiles, B9 median CLV,
+D2 price cut-off).
+
+``percentile`` / ``median`` are exact but keep every distinct value of the group in one
+aggregation buffer; over a whole table that group is the table.  Here nothing is sorted,
+staged or held whole:
+
+1. one pass counts the values and finds the smallest and largest of every column;
+2. one pass counts them per bucket: each range that holds a wanted rank is cut into
+   ``BUCKETS`` equal parts, counted with map-side partial aggregation (a task sends at most
+   that many rows per range, however many values it read), with the smallest and largest
+   value of every part;
+3. the part that holds the rank is the next range, cut again, until it holds one distinct
+   value, or few enough rows to be listed by value.
+
+Every pass reads only the columns asked for and serves all columns and ranks at once; a
+range shrinks by the number of buckets, so a handful of passes reach any DOUBLE.  The two
+values around a position are interpolated like Spark's ``percentile``:
+pos = p (n - 1), value = (hi - pos) v[lo] + (pos - lo) v[hi].
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.operators.keys import dense_key
+BUCKETS = 2048
+LISTED_ROWS = 20_000        # a range with at most so many rows is listed by value
+
+
+def _bounds(d: DataFrame, cols: list[str]) -> dict[str, tuple]:
+    """Per column (values, smallest, largest, -infinities, infinities, NaNs); the first three of finite values."""
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(c)
+        finite = (v > float("-inf")) & (v < float("inf"))           # NaN is larger than infinity
+        aggs += [F.count_if(finite).alias(f"n{i}"), F.min(F.when(finite, v)).alias(f"a{i}"),
+                 F.max(F.when(finite, v)).alias(f"z{i}"), F.count_if(v == float("-inf")).alias(f"l{i}"),
+                 F.count_if(v == float("inf")).alias(f"h{i}"), F.count_if(F.isnan(v)).alias(f"x{i}")]
+    row = d.agg(*aggs).first()
+    return {c: tuple(row[f"{k}{i}"] for k in "nazlhx") for i, c in enumerate(cols)}
+
+
+def _histogram(d: DataFrame, ranges: list[tuple[str, float, float]]) -> dict[int, list[tuple]]:
+    """Per range its parts (rows, smallest, largest) in value order; one pass."""
+    entries = []
+    for i, (c, low, high) in enumerate(ranges):
+        v = F.col(c)
+        # halves, so that the width of a range never overflows
+        part = F.least(F.floor((v / 2 - low / 2) / (high / 2 - low / 2) * BUCKETS), F.lit(BUCKETS - 1))
+        entries.append(F.when((v >= low) & (v <= high), F.struct(
+            F.lit(i).alias("i"), part.cast("int").alias("b"), v.alias("v"))))
+    parts = (d.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+             .groupBy("e.i", "e.b").agg(F.count(F.lit(1)).alias("n"), F.min("e.v").alias("a"), F.max("e.v").alias("z")))
+    out: dict[int, list[tuple]] = {}
+    for r in parts.collect():                           # BUCKETS rows a range at most
+        out.setdefault(r["i"], []).append((r["a"], r["z"], r["n"]))
+    return {i: [(n, a, z) for a, z, n in sorted(found)] for i, found in out.items()}
+
+
+def _listed(d: DataFrame, ranges: list[tuple[str, float, float]]) -> dict[int, list[tuple]]:
+    """Per range its distinct values as parts (rows, value, value) in order; one pass."""
+    entries = [F.when((F.col(c) >= low) & (F.col(c) <= high), F.struct(F.lit(i).alias("i"), F.col(c).alias("v")))
+               for i, (c, low, high) in enumerate(ranges)]
+    values = (d.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+              .groupBy("e.i", "e.v").agg(F.count(F.lit(1)).alias("n")))
+    out: dict[int, list[tuple]] = {}
+    for r in values.collect():                          # LISTED_ROWS a range at most
+        out.setdefault(r["i"], []).append((r["v"], r["n"]))
+    return {i: [(n, v, v) for v, n in sorted(found)] for i, found in out.items()}
+
+
+def values_at(df: DataFrame, wanted: dict[str, set[int]], bounds: dict[str, tuple]) -> dict[tuple[str, int], float]:
+    """(column, rank) -> the value at that rank (from 0) among the column's sorted values."""
+    out: dict[tuple[str, int], float] = {}
+    open_ranks: dict[tuple[str, float, float], list[tuple[int, int]]] = {}     # range -> (rank, rank within it)
+    rows_in: dict[tuple[str, float, float], int] = {}
+    for c, ranks in wanted.items():
+        n, low, high, before, after, _ = bounds[c]
+        for k in ranks:
+            if k < before:
+                out[c, k] = float("-inf")
+            elif k >= before + n:
+                out[c, k] = float("inf") if k < before + n + after else float("nan")
+            elif low == high:
+                out[c, k] = low
+            else:
+                open_ranks.setdefault((c, low, high), []).append((k, k - before))
+                rows_in[c, low, high] = n
+    while open_ranks:
+        # a range that can't be halved any more holds a few values, however many rows
+        many = [r for r in open_ranks if rows_in[r] > LISTED_ROWS and r[2] / 2 - r[1] / 2 > 0]
+        few = [r for r in open_ranks if r not in many]
+        parts = {many[i]: p for i, p in _histogram(df, many).items()} if many else {}
+        parts |= {few[i]: p for i, p in _listed(df, few).items()} if few else {}
+        narrowed: dict[tuple[str, float, float], list[tuple[int, int]]] = {}
+        for r, ranks in open_ranks.items():
+            for rank, inside in ranks:
+                for n, low, high in parts[r]:
+                    if inside < n:
+                        break
+                    inside -= n
+                if low == high:
+                    out[r[0], rank] = low
+                else:
+                    narrowed.setdefault((r[0], low, high), []).append((rank, inside))
+                    rows_in[r[0], low, high] = n
+        open_ranks = narrowed
+    return out
+
+
+def percentiles_of(df: DataFrame, wanted: dict[str, dict[str, float]]) -> dict[str, dict[str, float | None]]:
+    """Exact percentiles of several columns at once: column -> name -> p gives column -> name -> value.
 
-_BUCKET_ROWS = 1 << 20      # distinct values per running-sum bucket
+    NULLs are ignored; NaN is the largest value; a column without values gives None.
+    """
+    cols = list(wanted)
+    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    bounds = _bounds(d, cols)
+    sizes = {c: b[0] + b[3] + b[4] + b[5] for c, b in bounds.items()}
+    positions = {c: {name: p * (sizes[c] - 1) for name, p in ps.items()} for c, ps in wanted.items() if sizes[c]}
+    ranks = {c: {k for pos in ps.values() for k in (math.floor(pos), math.ceil(pos))} for c, ps in positions.items()}
+    found = values_at(d, ranks, bounds) if ranks else {}
+    out: dict[str, dict[str, float | None]] = {c: dict.fromkeys(ps) for c, ps in wanted.items()}
+    for c, ps in positions.items():
+        for name, pos in ps.items():
+            low, high = math.floor(pos), math.ceil(pos)
+            a, b = found[c, low], found[c, high]
+            out[c][name] = a if low == high or a == b else (high - pos) * a + (pos - low) * b
+    return out
 
 
 def exact_percentiles(df: DataFrame, col: str, ps: dict[str, float], where=None) -> DataFrame:
     """One row, one DOUBLE column per name in ``ps`` (NULL on no rows)."""
-    spark = df.sparkSession
-    d = df if where is None else df.where(where)
-    counts = (d.select(F.col(col).cast("double").alias("_sf_v"))
-              .where(F.col("_sf_v").isNotNull())
-              .groupBy("_sf_v").agg(F.count(F.lit(1)).alias("_sf_n")))
-    ranked = dense_key(counts, ["_sf_v"], "_sf_rank")             # distinct values, 1..d
-    # running count of rows before each value: bucket the ranks, total each
-    # bucket (one number per bucket), then a window inside each bucket
-    bucket = F.floor((F.col("_sf_rank") - 1) / _BUCKET_ROWS).cast("long")
-    totals = sorted((r[0], r[1]) for r in
-                    ranked.groupBy(bucket.alias("b")).agg(F.sum("_sf_n")).collect())
-    n = sum(t for _, t in totals)
-    if n == 0:
-        return spark.range(1).select(*[F.lit(None).cast("double").alias(k) for k in ps])
-    offsets, running = [], 0
-    for b, t in totals:
-        offsets.append((int(b), running))
-        running += t
-    off = spark.createDataFrame(offsets, "_sf_b long, _sf_off long")
-    w = Window.partitionBy("_sf_b").orderBy("_sf_rank").rowsBetween(Window.unboundedPreceding, -1)
-    cum = (ranked.withColumn("_sf_b", bucket)
-           .join(F.broadcast(off), "_sf_b")
-           .withColumn("_sf_before", F.col("_sf_off") + F.coalesce(F.sum("_sf_n").over(w), F.lit(0))))
-    wanted, plan = set(), {}
-    for name, p in ps.items():
-        pos = p * (n - 1)
-        lo, hi = math.floor(pos), math.ceil(pos)
-        plan[name] = (pos, lo, hi)
-        wanted.update((lo + 1, hi + 1))                          # 1-based row ranks
-    hit = None
-    for k in sorted(wanted):
-        c = (F.col("_sf_before") < k) & (F.col("_sf_before") + F.col("_sf_n") >= k)
-        hit = c if hit is None else hit | c
-    picked = cum.where(hit).select("_sf_v", "_sf_before", "_sf_n")
-
-    def at(k: int):
-        inside = (F.col("_sf_before") < k) & (F.col("_sf_before") + F.col("_sf_n") >= k)
-        return F.max(F.when(inside, F.col("_sf_v")))
-
-    exprs = []
-    for name, (pos, lo, hi) in plan.items():
-        v_lo, v_hi = at(lo + 1), at(hi + 1)
-        if lo == hi:
-            exprs.append(v_lo.alias(name))
-        else:
-            exprs.append(F.when(v_lo == v_hi, v_lo)
-                         .otherwise(F.lit(hi - pos) * v_lo + F.lit(pos - lo) * v_hi).alias(name))
-    return picked.agg(*exprs)
+    found = percentiles_of(df if where is None else df.where(where), {col: ps})[col]
+    return df.sparkSession.createDataFrame([tuple(found[k] for k in ps)], ", ".join(f"{k} double" for k in ps))

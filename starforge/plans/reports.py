@@ -158,7 +158,7 @@ def mean_of_sums(total, count) -> F.Column:
 
 
 def clv_stats(dim_customers: DataFrame) -> DataFrame:
-    """Mean / median / max lifetime value (median by a distributed sort)."""
+    """Mean / median / max lifetime value (exact median by narrowing histograms)."""
     from starforge.operators.quantile import exact_percentiles
     a = dim_customers.agg(mean(F.col("lifetime_value")).alias("avg_clv"),
                           F.max("lifetime_value").alias("max_clv"))
@@ -169,9 +169,9 @@ def clv_stats(dim_customers: DataFrame) -> DataFrame:
 def distribution(df: DataFrame, col: str) -> DataFrame:
     """Value counts with share, count descending (value breaks ties)."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    # the total is a one-row aggregate attached by a broadcast join, so a
-    # high-cardinality column never meets an unpartitioned window
-    total = df.agg(F.count(F.lit(1)).alias("_sf_total"))
+    # the total is the one-row sum of the counts (whose exchange Spark reuses) in a
+    # broadcast join, so a high-cardinality column never meets an unpartitioned window
+    total = counts.agg(F.sum("count").alias("_sf_total"))
     return (_one_row_pair(counts, total)
             .withColumn("percentage", share_pct(F.col("count"), F.col("_sf_total")))
             .drop("_sf_total")
@@ -276,7 +276,7 @@ def delivery_class(orders: DataFrame, very_late_days: int = 7) -> DataFrame:
 
 def price_outliers(order_items: DataFrame, q: float = 0.99) -> DataFrame:
     """Flag items priced above the q-quantile; rows are kept.  The
-    quantile comes from a distributed sort (one row), attached by a
+    quantile comes from narrowing histograms (one row), attached by a
     broadcast join on a constant key."""
     from starforge.operators.quantile import exact_percentiles
     cut = exact_percentiles(order_items, "price", {"_sf_cut": q})

@@ -52,11 +52,23 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle():
     from __spark_entry__ import oracle_sql, queries
-    missing = set(queries()) - set(oracle_sql())
+    from starforge.plans.catalog import QUERIES
+    missing = set(QUERIES) - set(oracle_sql())      # corpus operators may have none
     assert not missing
     assert not set(oracle_sql()) - set(queries())
 
 
+def test_corpus_queries_are_added_only_if_they_can_be_imported(monkeypatch):
+    import sys
+
+    from __spark_entry__ import oracle_sql, queries
+    from starforge.plans.catalog import QUERIES
+    monkeypatch.setitem(sys.modules, "starforge.llm.queries", None)
+    monkeypatch.setitem(sys.modules, "starforge.llm", None)
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert set(queries()) == set(QUERIES) == set(oracle_sql())
+
+
 def test_queries_match_oracle(spark):
     """Every query against its DuckDB SQL at sf0.001: row count, columns and
     values must agree exactly."""
