@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starforge.session import scratch_path
+from starforge.session import scratch_path, shuffles_dropped
 
 _POS_BITS = 33                      # monotonically_increasing_id: partition << 33 | row
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -48,9 +48,10 @@ def dense_key(df: DataFrame, order_by, key: str = "key", first: bool = True,
     # requested key over several range partitions (a repeated key cannot
     # pile up in one sort task); rows equal in every column stay together
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    (df.orderBy(*order_cols, spread)
-       .withColumn("_sf_pos", F.monotonically_increasing_id())
-       .write.mode("overwrite").parquet(path))
+    with shuffles_dropped(spark):
+        (df.orderBy(*order_cols, spread)
+           .withColumn("_sf_pos", F.monotonically_increasing_id())
+           .write.mode("overwrite").parquet(path))
     staged = spark.read.parquet(path)
     part = F.shiftright(F.col("_sf_pos"), _POS_BITS)
     counts = sorted((r[0], r[1]) for r in

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -21,27 +22,24 @@ BASE_CONF = {
 }
 
 
-def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int) -> dict:
-    """Settings for a cluster run sized to the input.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    * initial shuffle partitions: about one per 256 MB of input, at least
-      2 x total cores; AQE coalesces small ones and splits skewed joins;
-    * 256 MB advisory partition size, 128 MB scan splits;
-    * the broadcast threshold stays at the Spark default: only tables that
-      are proven small are broadcast explicitly (rule lists, per-partition
-      offsets, one-row aggregates), everything else is a shuffle join unless
-      AQE sees a small side at run time.
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Drop the shuffle files of each job at its end instead of when the driver collects garbage.
+
+    For jobs that write a table: what follows reads the table.  The setting is put back.
     """
-    cores = max(1, executors * cores_per_executor)
-    partitions = max(2 * cores, int(input_bytes // (256 << 20)) + 1)
-    return {
-        **BASE_CONF,
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-        "spark.sql.files.maxPartitionBytes": "128m",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
-    }
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,

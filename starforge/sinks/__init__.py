@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starforge.operators.keys import extra_rows, first_rows, keep_first
-from starforge.session import scratch_path
+from starforge.session import scratch_path, shuffles_dropped
 from starforge.sinks.files import has_data
 
 BOM = "﻿"
@@ -173,5 +173,6 @@ def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back (cuts the
     lineage; survives executor loss, unlike a local checkpoint)."""
     path = scratch_path(df.sparkSession, purpose)
-    df.write.mode("overwrite").parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
