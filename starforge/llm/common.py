@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starforge.session import scratch_path
+from starforge.session import scratch_path, shuffles_dropped
 
 # A table is sent to every executor only when it was counted and has at most
 # this many narrow rows (two long columns, about 16 MB); larger tables are
@@ -20,11 +20,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
-    Cuts lineage with a table that survives the loss of executors.
+    Cuts lineage with a table that survives the loss of executors; the shuffle files that
+    it was made from are dropped when it is written.
     """
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
