@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle import duckdb_sql as base
+from starforge.schemas import TARGETS
 from starforge.sources.fixtures import REVIEW_TEXT_SQL
 
 SPLIT = "TIMESTAMP '1999-01-01'"
@@ -276,5 +277,15 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT customer_id, 'zz' AS customer_unique_id, {row}, 'duplicate_customer_id' AS reject_reason FROM n"
         f" WHERE {_customer(11)} UNION ALL SELECT NULL, customer_unique_id, {row}, 'null_key' FROM n"
         f" WHERE {_customer(13)}")
+    keys = ("order_key", "customer_key", "product_key", "payment_type_key", "order_date_key")
+    q["a7_distinct_keys"] = base.with_wh(
+        "SELECT " + ", ".join(f"count(DISTINCT {k}) AS distinct_{k}" for k in keys) + " FROM fact_orders")
+    counts = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST({len(s.fields)} AS BIGINT)"
+                                f" AS column_count FROM {t}" for t, s in TARGETS.items())
+    total = "CAST(sum(row_count) AS BIGINT), CAST(sum(column_count) AS BIGINT) FROM c"
+    q["a15_table_totals"] = (
+        base.warehouse_ctes().rstrip() + f", c AS ({counts}) SELECT * FROM c UNION ALL SELECT 'all tables', {total}"
+        f" UNION ALL SELECT 'all dimensions', {total} WHERE table_name LIKE 'dim%'"
+        f" UNION ALL SELECT 'all facts', {total} WHERE table_name LIKE 'fact%'")
     q["d9_months_table"], q["d9_months_rejects"] = _months(True), _months(False)
     return q

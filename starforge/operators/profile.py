@@ -21,9 +21,35 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 
 
 def distinct_count(df: DataFrame, cols) -> DataFrame:
-    """Exact distinct count per column (NULLs ignored)."""
+    """Exact distinct count per column (NULLs ignored).
+
+    Every column is an aggregation of its own, which reads that column alone: several
+    distinct counts in one aggregation would copy each row once per column (Expand).
+    """
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    out = None
+    for c in cols:
+        one = df.agg(F.count_distinct(c).alias(f"distinct_{c}"))
+        out = one if out is None else _one_row_pair(out, one)
+    return out
+
+
+def distinct_keys(df: DataFrame, cols) -> DataFrame:
+    """A7 over surrogate keys (dense positive integers): exact distinct counts of all columns in
+    one pass, by bitmaps.
+
+    A bucket is a bitmap of 32,768 consecutive keys (4 KB).  What is shuffled is one bitmap
+    per task, column and bucket, however often a key occurs; bitmaps of a bucket are or-ed.
+    NULLs are ignored.
+    """
     cols = [cols] if isinstance(cols, str) else list(cols)
-    return df.agg(*[F.count_distinct(c).alias(f"distinct_{c}") for c in cols])
+    entries = [F.when(F.col(c).isNotNull(), F.struct(
+        F.lit(i).alias("i"), F.bitmap_bucket_number(F.col(c).cast("long")).alias("bucket"),
+        F.bitmap_bit_position(F.col(c).cast("long")).alias("bit"))) for i, c in enumerate(cols)]
+    maps = (df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+            .groupBy("e.i", "e.bucket").agg(F.bitmap_count(F.bitmap_construct_agg("e.bit")).alias("n")))
+    return maps.agg(*[F.coalesce(F.sum(F.when(F.col("i") == i, F.col("n"))), F.lit(0)).cast("long")
+                      .alias(f"distinct_{c}") for i, c in enumerate(cols)])
 
 
 def value_counts(df: DataFrame, col: str, k: int | None = None) -> DataFrame:

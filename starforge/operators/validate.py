@@ -148,9 +148,15 @@ class Observed:
 
 
 def validate(df: DataFrame, table: str, rules=None) -> DataFrame:
+    """The report of a table's rules: one aggregation for all that mark single rows, and one more
+    for each distinct count after the first (together they would copy every row per column)."""
+    from starforge.operators.profile import _one_row_pair
     rules = rules_for(table) if rules is None else rules
-    aggs = [r.bad_rows().alias(f"r{i}") for i, r in enumerate(rules)]
-    a = df.agg(F.count(F.lit(1)).alias("_sf_total"), *aggs)
+    whole = [i for i, r in enumerate(rules) if r.rows is None]
+    a = df.agg(F.count(F.lit(1)).alias("_sf_total"),
+               *[r.bad_rows().alias(f"r{i}") for i, r in enumerate(rules) if i not in whole[1:]])
+    for i in whole[1:]:
+        a = _one_row_pair(a, df.agg(rules[i].bad_rows().alias(f"r{i}")))
     stack = ", ".join(f"'{r.name}', '{r.severity}', CAST(r{i} AS BIGINT)"
                       for i, r in enumerate(rules))
     long = a.selectExpr("_sf_total", f"stack({len(rules)}, {stack}) as (rule, severity, bad_rows)")

@@ -20,7 +20,7 @@ from starforge.operators.keys import keep_first
 from starforge.operators.validate import unmapped_keys, validate
 from starforge.plans import catalog_loads, cohort, facts, reports
 from starforge.plans.dims import customer_metrics, dim_customers
-from starforge.plans.pipeline import build, write
+from starforge.plans.pipeline import build, fetch, write
 from starforge.rules import FIXTURE_RULES
 from starforge.schemas import MAX_LENGTHS, TARGETS, UNIQUE_KEYS
 from starforge.session import ensure_checkpoint_dir, scratch_path
@@ -134,12 +134,11 @@ def q_bom_export(spark, sf):
 
 
 def q_adhoc_sql(spark, sf):
-    """Ad-hoc SQL with named parameters over the warehouse views."""
-    w = warehouse(spark, sf)
-    return spark.sql(
-        "SELECT order_status, COUNT(*) AS orders, CAST(SUM(order_total_value) AS DOUBLE) AS revenue"
-        " FROM {fact} WHERE order_total_value >= :min_value GROUP BY order_status",
-        args={"min_value": 100000}, fact=w["fact_orders"])
+    """Ad-hoc SQL with named parameters over the warehouse tables."""
+    return fetch(warehouse(spark, sf),
+                 "SELECT order_status, COUNT(*) AS orders, CAST(SUM(order_total_value) AS DOUBLE) AS revenue"
+                 " FROM {fact_orders} WHERE order_total_value >= :min_value GROUP BY order_status",
+                 {"min_value": 100000})
 
 
 # ---------------------------------------------------------------- reports

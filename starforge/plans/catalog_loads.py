@@ -7,13 +7,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starforge.operators.profile import distinct_keys
 from starforge.operators.validate import REPORT, extract_metrics, warehouse_rules
 from starforge.plans.dims import dim_customers
-from starforge.plans.pipeline import build, write
+from starforge.plans.pipeline import TABLE_ORDER, build, write
 from starforge.rules import FIXTURE_RULES as RULES
 from starforge.schemas import table_columns
 from starforge.session import scratch_path
-from starforge.sinks import csv_writer, stage, write_csv_bom
+from starforge.sinks import csv_writer, stage, table_totals, write_csv_bom
 from starforge.sinks.loads import load_facts, load_keyed, load_numbered, loaded, replace_load
 from starforge.sinks.merge import append_unseen_months, merge_scd1
 from starforge.sinks.versions import publish, read_version
@@ -343,6 +344,18 @@ def q_months_rejects(spark, sf):
     return spark.read.parquet(_months(spark, sf)[1])
 
 
+def q_distinct_keys(spark, sf):
+    """A7 over the surrogate keys of the fact, by bitmaps."""
+    return distinct_keys(_warehouse(spark, sf)["fact_orders"],
+                         ["order_key", "customer_key", "product_key", "payment_type_key", "order_date_key"])
+
+
+def q_table_totals(spark, sf):
+    """Rows and columns of every published table, and the totals of dimensions, facts and all."""
+    w = _warehouse(spark, sf)
+    return table_totals({n: w[n] for n in TABLE_ORDER})
+
+
 QUERIES = {
     "s1_s7_csv_to_warehouse": q_csv_to_warehouse,
     "s7_extract_ledger": q_extract_ledger,
@@ -368,6 +381,8 @@ QUERIES = {
     "d8_merge_rejects": q_merge_rejects,
     "d9_months_table": q_months_table,
     "d9_months_rejects": q_months_rejects,
+    "a7_distinct_keys": q_distinct_keys,
+    "a15_table_totals": q_table_totals,
 }
 
 COVERS = {
@@ -384,4 +399,5 @@ COVERS = {
     "q1_q6_q8_observed": "Q1 Q6 Q7 Q8", "v1_v6_observed": "V1 V2 V3 V4 V5 V6",
     "d8_merge_classes": "D8 W2", "d8_merge_table": "D8", "d8_merge_rejects": "D8",
     "d9_months_table": "D9", "d9_months_rejects": "D9",
+    "a7_distinct_keys": "A7", "a15_table_totals": "A15 K9",
 }

@@ -87,3 +87,11 @@ def run_from_csv(spark: SparkSession, paths: dict[str, str], rules: Rules, root:
                "extract_checks": spark.createDataFrame(extract.checks, REPORT).coalesce(1)}
     publish(tables, root, keep, rules=warehouse_rules)
     return extract
+
+
+def fetch(tables: dict[str, DataFrame], query: str, params: dict | None = None) -> DataFrame:
+    """Ad-hoc SQL over the warehouse tables, which the text names in braces (``{fact_orders}``),
+    with named parameters (``:name``).  No view is registered, so sessions don't clash."""
+    spark = next(iter(tables.values())).sparkSession
+    used = {n: df for n, df in tables.items() if "{" + n + "}" in query}
+    return spark.sql(query, args=params or {}, **used)

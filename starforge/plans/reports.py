@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starforge.operators.profile import _one_row_pair
 from starforge.functions.scalars import percent, share_pct
 
 
@@ -209,13 +210,6 @@ def kpi_sales(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
     return _one_row_pair(f, c)
 
 
-def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Attach the single row of ``b`` (an aggregate) to every row of ``a``:
-    an equi-join on a constant key with ``b`` broadcast (one row)."""
-    return a.withColumn("_sf_one", F.lit(1)).join(F.broadcast(b.withColumn("_sf_one", F.lit(1))),
-                                                  "_sf_one").drop("_sf_one")
-
-
 def kpi_delivery(fact: DataFrame) -> DataFrame:
     """D10 page 2: completion, late and on-time rates, mean delivery days."""
     done = F.col("is_completed_order")
@@ -237,10 +231,12 @@ def kpi_customers_products(fact: DataFrame, dim_customers: DataFrame,
     items per order."""
     c = dim_customers.agg(mean("lifetime_value").alias("avg_clv"),
                           F.count_if(F.col("customer_segment") == "New").alias("new_customers"))
-    i = order_items.agg(F.count_distinct("product_id").alias("unique_products"),
-                        F.count(F.lit(1)).alias("items_sold"),
-                        F.count_distinct("order_id").alias("orders_with_items"))
-    j = _one_row_pair(c, i)
+    # items per order first: orders and items are counted from one row per order
+    per_order = order_items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_sf_n"))
+    i = per_order.agg(F.coalesce(F.sum("_sf_n"), F.lit(0)).alias("items_sold"),
+                      F.count("order_id").alias("orders_with_items"))
+    p = order_items.agg(F.count_distinct("product_id").alias("unique_products"))
+    j = _one_row_pair(_one_row_pair(c, i), p)
     return j.select("avg_clv", "new_customers", "unique_products", "items_sold",
                     F.try_divide(F.col("items_sold").cast("double"),
                                  F.col("orders_with_items").cast("double")).alias("items_per_order"))

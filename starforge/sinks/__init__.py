@@ -133,6 +133,16 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def table_totals(tables: dict[str, DataFrame]) -> DataFrame:
+    """``row_counts`` with the grand totals of the dimensions, the facts and all tables."""
+    one = row_counts(tables)
+    kind = (F.when(F.col("table_name").startswith("dim_"), "all dimensions")
+            .when(F.col("table_name").startswith("fact_"), "all facts"))
+    both = one.withColumn("k", F.explode(F.array_compact(F.array(F.lit("all tables"), kind))))
+    return one.unionByName(both.groupBy(F.col("k").alias("table_name")).agg(
+        F.sum("row_count").alias("row_count"), F.sum("column_count").alias("column_count")))
+
+
 def upsert_scd1(current: DataFrame, incoming: DataFrame, business_key: str, surrogate_key: str,
                 updated_col: str = "updated_at", created_col: str = "created_at",
                 load_ts=None) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from starforge.operators.keys import keep_first
 from starforge.sinks import table_exists
+from starforge.sinks.merge import append_unseen_months
 
 
 def append_unseen(batch: DataFrame, table_path: str, business_key: str, fmt: str = "parquet",
@@ -38,10 +39,14 @@ def append_unseen(batch: DataFrame, table_path: str, business_key: str, fmt: str
 def incremental_append(spark: SparkSession, landing_dir: str, schema: StructType,
                        table_path: str, business_key: str, checkpoint_dir: str,
                        source_format: str = "parquet", options: dict | None = None,
-                       max_files_per_trigger: int | None = None):
+                       max_files_per_trigger: int | None = None, at: str | None = None):
     """Start the stream and return the StreamingQuery (call
     ``awaitTermination()``; with availableNow it stops when caught up).
 
+    ``at`` (a time column that belongs to the key) keeps the table partitioned by its month,
+    and every batch compares its keys with those of its own months only
+    (``sinks.merge.append_unseen_months``); without it, with all keys of the table.
+
     ``checkpoint_dir`` must be on shared storage (e.g. under
     spark.checkpoint.dir) so that the progress survives a lost driver.
     """
@@ -51,8 +56,14 @@ def incremental_append(spark: SparkSession, landing_dir: str, schema: StructType
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing_dir)
+
+    def load(batch: DataFrame, _epoch: int) -> None:
+        if at is None:
+            append_unseen(batch, table_path, business_key)
+        else:
+            append_unseen_months(batch, table_path, business_key, at, f"{table_path.rstrip('/')}_quarantine")
     return (stream.writeStream
-            .foreachBatch(lambda df, _epoch: append_unseen(df, table_path, business_key))
+            .foreachBatch(load)
             .option("checkpointLocation", checkpoint_dir)
             .trigger(availableNow=True)
             .start())

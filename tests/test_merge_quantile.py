@@ -95,3 +95,14 @@ def test_percentiles_of_several_columns(spark):
     assert (found["a"], found["b"], found["c"], found["d"]) == (float("-inf"), 1.0, 2.0, float("inf"))
     assert np.isnan(found["e"])
     assert percentiles_of(odd.where("x is null"), {"x": {"m": 0.5}}) == {"x": {"m": None}}
+
+
+def test_distinct_keys_by_bitmaps(spark):
+    from starforge.operators.profile import distinct_count, distinct_keys
+    df = spark.range(0, 200_000, 1, 4).select(
+        (F.col("id") % 70_001 + 1).alias("a"), F.when(F.col("id") % 3 > 0, F.lit(5)).cast("int").alias("b"),
+        F.lit(None).cast("long").alias("c"))
+    for f in (distinct_keys, distinct_count):
+        got = f(df, ["a", "b", "c"])
+        assert tuple(got.first()) == (70_001, 1, 0)
+        assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
