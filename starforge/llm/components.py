@@ -66,18 +66,23 @@ def reach(sets: DataFrame) -> DataFrame:
                  .select("node", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("most")), "reach")
 
 
-def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                      elements: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
+def bucket_components(members: DataFrame, bodies: Callable[[DataFrame], DataFrame],
+                      alike: Callable[[DataFrame], DataFrame], elements: Callable[[DataFrame], DataFrame],
+                      threshold: float) -> DataFrame:
     """(node, component) over all verified links between members of a bucket.
 
     ``members``: (key long, node long), one row per bucket and node; it is read several
-    times, so it should come from a written table.  ``verify`` takes distinct pairs (a, b)
-    and returns those that are links, which have a Jaccard similarity of ``threshold`` or
-    more.  ``elements`` takes nodes (node) and returns their sets as ``reach`` reads them.
+    times, so it should come from a written table.  ``bodies`` takes nodes (node) and returns
+    (node, size int, body), the size of a node's set and whatever ``alike`` compares; it is
+    called once, for all members of buckets with several, and its result is staged.
+    ``alike`` takes pairs (a, b, body_a, body_b) and returns those that are links (a, b),
+    which have a Jaccard similarity of ``threshold`` or more.  ``elements`` turns rows of
+    ``bodies`` into sets as ``reach`` reads them.
 
     Rounds: in every bucket one member, another one each round and in each bucket, is the
     centre, and the members of other components are verified against it, which is linear in
     the bucket.  Pairs inside one component are never built: they can't change the result.
+    Pairs whose sizes alone exclude the threshold are dropped before a body is joined.
     After the first round the members of buckets that still hold several components are
     counted by ``reach``: two sets that share at most m elements have at most the similarity
     m / (sizes - m).  Members that no partner can be similar enough to leave, pairs under
@@ -90,9 +95,20 @@ def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFram
     """
     shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     several = stage(members.join(checked_small(stage(shared, "buckets")), "key"), "buckets")
+    store = stage(bodies(checked_small(stage(several.select("node").distinct(), "buckets"))), "bodies")
     several = several.select("key", "node", F.col("node").alias("comp"), F.lit(1).alias("size"), F.lit(1).alias("most"))
     links = found = bounds = None
 
+    def verify(pairs: DataFrame) -> DataFrame:
+        sizes = store.select("node", "size")
+        near = stage(pairs.join(sizes.toDF("a", "m"), "a").join(sizes.toDF("b", "n"), "b")
+                     .where(F.least("m", "n") + 1e-9 >= threshold * F.greatest("m", "n")).select("a", "b"), "pairs")
+        used = stage(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "pairs")
+        mine = store.join(checked_small(used), "node", "left_semi")
+        return alike(near.join(mine.select(F.col("node").alias("a"), F.col("body").alias("body_a")), "a")
+                     .join(mine.select(F.col("node").alias("b"), F.col("body").alias("body_b")), "b")
+                     .select("a", "b", "body_a", "body_b"))
+
     def grow(pairs: DataFrame) -> int:
         nonlocal links, found
         ordered = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -129,7 +145,8 @@ def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFram
             placed = placed.join(several.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").select("key"), "key")
         several, left = unsettled(placed)
         if left["rows"] and bounds is None:
-            bounds = reach(elements(stage(several.select("node").distinct(), "buckets")))
+            rest = checked_small(stage(several.select("node").distinct(), "buckets"))
+            bounds = reach(elements(store.join(rest, "node", "left_semi")))
             several, left = unsettled(several.select("key", "node", "comp").join(bounds, "node")
                                       .where(f"most + 1e-9 >= {threshold} * size")
                                       .select("key", "node", "comp", "size", "most"))

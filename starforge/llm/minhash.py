@@ -79,7 +79,12 @@ def edited(text: str, after: str) -> str:
 
 
 _COLUMNS = """doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary,
-              near_edited double, near_next double, edge int, part int, text string"""
+              near_edited double, near_next double, set_key binary, edge int, part int, text string"""
+
+
+def set_key(shingles_of: np.ndarray) -> bytes:
+    """128 bits that name a set of shingles."""
+    return hashlib.sha256(np.unique(shingles_of).tobytes()).digest()[:16]
 
 
 def _rows(part: int, docs: list[tuple], after: list[tuple], edge: int = 0):
@@ -88,7 +93,8 @@ def _rows(part: int, docs: list[tuple], after: list[tuple], edge: int = 0):
 
     texts, nexts = [t for _, t in docs], [t for _, t in after]
     new = [edited(t, n) for t, n in zip(texts, nexts)]
-    own = signatures([shingles(t) for t in texts + nexts[-1:]])
+    sets = [shingles(t) for t in texts + nexts[-1:]]
+    own = signatures(sets)
     other = signatures([shingles(t) for t in new])
     following = np.concatenate([own[1:len(texts)], own[-1:]])
     mine = own[:len(texts)]
@@ -98,6 +104,7 @@ def _rows(part: int, docs: list[tuple], after: list[tuple], edge: int = 0):
          pa.array([hashlib.sha256(t.encode("utf-8")).hexdigest() for t in new]),
          pa.array([r.tobytes() for r in mine], pa.binary()), pa.array([r.tobytes() for r in other], pa.binary()),
          pa.array(likeness(mine, other)), pa.array(likeness(mine, following)),
+         pa.array([set_key(x) for x in sets[:n]], pa.binary()),
          pa.array([edge] * n, pa.int32()), pa.array([part] * n, pa.int32()), pa.array([None] * n, pa.string())],
         names=[c.split()[0] for c in _COLUMNS.split(",")])
 
@@ -106,9 +113,9 @@ def _edge(part: int, kind: int, doc: tuple):
     """A row that hands a partition's first (1) or last (2) document on, to be matched afterwards."""
     import pyarrow as pa
 
-    values = [[doc[0]], [0], [""], [b""], [b""], [0.0], [0.0], [kind], [part], [doc[1]]]
+    values = [[doc[0]], [0], [""], [b""], [b""], [0.0], [0.0], [b""], [kind], [part], [doc[1]]]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(),
-             pa.int32(), pa.int32(), pa.string()]
+             pa.binary(), pa.int32(), pa.int32(), pa.string()]
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds)],
                                       names=[c.split()[0] for c in _COLUMNS.split(",")])
 
@@ -119,7 +126,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
     Documents are range-partitioned and sorted by descending doc_id (nulls last, rows that
     repeat a doc_id by their text).  The last document of a partition is followed by the
     first of the next partition that has any, and the last of all by the first of all: these
-    pairs, one per partition, are joined afterwards.
+    pairs, one per partition, are joined afterwards.  The result is read from written tables.
     """
     def run(batches):
         from pyspark import TaskContext
@@ -160,69 +167,76 @@ def with_edits(docs: DataFrame) -> DataFrame:
             for row in zip(part, keys, texts, after):
                 yield _rows(row[0], [(row[1], row[2])], [(None, row[3])])
 
-    return (first.where("edge = 0").union(pairs.mapInArrow(finish, _COLUMNS))
-            .drop("edge", "part", "text"))
+    last = stage(pairs.mapInArrow(finish, _COLUMNS), "minhash")
+    return first.where("edge = 0").union(last).drop("edge", "part", "text")
 
 
 def classes(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, class_id) of documents with a near-duplicate; class_id is the smallest doc_id of its component.
+    """(set_key, class_id) of the sets of documents with a near-duplicate; class_id is the smallest
+    doc_id of the component.
 
-    ``signed``: (doc_id, fingerprint binary), a written table.  Documents of one fingerprint
-    are compared once, through their smallest doc_id.
+    ``signed``: (doc_id, fingerprint, set_key), from written tables.  Documents with one set of
+    shingles are one node, so nothing is merged that was not compared; a node's number is
+    given when the nodes are written.
     """
-    same = signed.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-    firsts = stage(same, "minhash")
     width = 4 * ROWS
-    keys = [F.xxhash64(F.lit(b), F.substring("fingerprint", b * width + 1, width)) for b in range(BANDS)]
-    members = (firsts.where("first is not null and fingerprint is not null")
-               .select(F.explode(F.array(*keys)).alias("key"), F.col("first").alias("node")))
+    keys = [F.xxhash64(F.lit(b), F.substring("fp", b * width + 1, width)) for b in range(BANDS)]
+    nodes = (signed.groupBy("set_key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"),
+                                           F.first("fingerprint").alias("fp"))
+             .select(F.monotonically_increasing_id().alias("node"), "set_key", "first", "n", F.array(*keys).alias("keys")))
+    nodes = stage(nodes, "minhash")
+    members = nodes.select(F.explode("keys").alias("key"), "node")
 
     def sets(batches):
         import pyarrow as pa
 
         for batch in batches:
-            found = [np.unique(shingles(t or "")).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())],
-                                             names=["doc_id", "s"])
-
-    def short_sets(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            found = [np.unique(shingles(t or "")) for t in batch.column(1).to_pylist()]
+            found = [np.unique(shingles(t or "")) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in found], pa.int32()),
-                 pa.array([(s >> np.uint64(32)).astype(np.uint32).view(np.int32) for s in found], pa.list_(pa.int32()))],
-                names=["node", "size", "elements"])
-
-    def elements(ids: DataFrame) -> DataFrame:
-        return (docs.select("doc_id", "text")
-                .join(checked_small(ids.withColumnRenamed("node", "doc_id")), "doc_id", "left_semi")
-                .mapInArrow(short_sets, "node long, size int, elements array<int>").dropDuplicates(["node"]))
-
-    def alike(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(common >= threshold * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)],
-                                             names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "minhash")
-        found = stage(docs.select("doc_id", "text").join(checked_small(ids), "doc_id", "left_semi")
-                      .mapInArrow(sets, "doc_id long, s binary").dropDuplicates(["doc_id"]), "minhash")
-        return (pairs.join(found.toDF("a", "sa"), "a").join(found.toDF("b", "sb"), "b")
-                .select("a", "b", "sa", "sb").mapInArrow(alike, "a long, b long"))
-
-    found = bucket_components(members, verify, elements, threshold).withColumnRenamed("node", "first")
-    named = firsts.join(found, "first", "left").where("n > 1 or component is not null").select(
-        "fingerprint", F.coalesce("component", "first").alias("class_id"))
-    return signed.join(named, "fingerprint").select("doc_id", "class_id")
+                [pa.array([set_key(x) for x in found], pa.binary()), pa.array([len(x) for x in found], pa.int32()),
+                 pa.array([x.tobytes() for x in found], pa.binary())], names=["set_key", "size", "body"])
+
+    def bodies(ids: DataFrame) -> DataFrame:
+        wanted = stage(nodes.select("node", "set_key", "first").join(ids, "node", "left_semi"), "minhash")
+        # the rows of the smallest doc_id of each set; an id that is repeated brings other sets too
+        named = docs.select("doc_id", "text").join(
+            checked_small(stage(wanted.select(F.col("first").alias("doc_id")).distinct(), "minhash")), "doc_id", "left_semi")
+        texts = named.select("text").union(docs.where("doc_id is null").select("text"))
+        found = texts.mapInArrow(sets, "set_key binary, size int, body binary")
+        return (found.join(wanted.select("node", "set_key"), "set_key").select("node", "size", "body")
+                .dropDuplicates(["node"]))
+
+    def elements(found: DataFrame) -> DataFrame:
+        def short(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                own = [(np.frombuffer(x, np.uint64) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                       for x in batch.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.list_(pa.int32()))],
+                                                 names=["node", "size", "elements"])
+        return found.select("node", "size", "body").mapInArrow(short, "node long, size int, elements array<int>")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        def compare(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                keep = []
+                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(common >= threshold * (len(x) + len(y) - common))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)],
+                                                 names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        return pairs.mapInArrow(compare, "a long, b long")
+
+    found = stage(bucket_components(members, bodies, alike, elements, threshold), "minhash")
+    named = nodes.select("node", "set_key", "first", "n").join(found, "node", "left").where("n > 1 or component is not null")
+    smallest = (named.groupBy(F.coalesce("component", "node").alias("component"))
+                .agg(F.min("first").alias("class_id")))
+    return (named.withColumn("component", F.coalesce("component", "node")).join(smallest, "component")
+            .select("set_key", "class_id"))
 
 
 def fingerprints(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -230,13 +244,13 @@ def fingerprints(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     Null texts count as empty.  Equal texts have equal fingerprints; documents without a
     near-duplicate are a class of their own.  Rows that repeat a doc_id are each returned
-    and are followed by each other.  An empty table gives an empty table; other columns are
-    ignored.
+    with the class of their own text, and are followed by each other.  A null doc_id is a
+    document like any other, but names no class.  An empty table gives an empty table;
+    other columns are ignored.
     """
-    signed = stage(with_edits(docs), "minhash")
-    found = stage(classes(docs, signed.select("doc_id", "fingerprint"), threshold)
-                  .where("doc_id is not null").groupBy("doc_id").agg(F.min("class_id").alias("class_id")), "minhash")
-    return (signed.join(found, "doc_id", "left")
+    signed = with_edits(docs)
+    found = stage(classes(docs, signed.select("doc_id", "fingerprint", "set_key"), threshold), "minhash")
+    return (signed.join(checked_small(found), "set_key", "left")
             .select("doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
                     F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next",
                     F.coalesce("class_id", "doc_id").alias("class_id")))

@@ -32,14 +32,13 @@ def texts(spark):
 
 def encoded(name, rows, end):
     coder = Tokenizer.from_file(vocabulary(name))
-    coder.encode_special_tokens = True
     return [np.array(coder.encode(t or "", add_special_tokens=False).ids + [end], "<u4") for t in rows]
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_pieces_encode_like_the_whole_text(name, texts):
     rows = list(texts.values())[:200] + [t for _, t in ODD if t] + [
-        "a\x1cb !\x1c! c", "\tx  y", "ΑΣ ΑΣ. İ ǅ ß ẞ", "we'll I'M 's\n\n's", " \n", "x y z "]
+        "a <|endoftext|> b", "x<|ENDOFTEXT|>y", "<|startoftext|>\n z", "a\x1cb !\x1c! c", "\tx  y", "ΑΣ ΑΣ. İ ǅ ß ẞ", "we'll I'M 's\n\n's", " \n", "x y z "]
     coder = encoder(vocabulary(name))
     want = [x[:-1].tobytes() for x in encoded(name, rows, 0)]
     assert [coder.ids(t) for t in rows] == want
@@ -195,22 +194,43 @@ def test_minhash_of_odd_rows(spark, odd):
     assert one[0].near_next == 1.0
 
 
-def line_set(line):
-    return {m[1] for m in re.finditer(r"(?s)(?=(.{1,8}))[^ \t]{1,24}[ \t]*", line)}
+def dense_set(line):
+    """The 8 characters from every place of a line; a shorter line is one shingle."""
+    return {line[i:i + 8] for i in range(max(1, len(line) - 7))}
 
 
 def test_lines_match_brute_force(spark, texts):
-    keep = sorted(texts)[:120]
+    """Every link is one of dense shingles, at least 99 in 100 pairs at 0.8 are in one class, and
+    the first line of each class stays."""
+    keep = sorted(texts)[:400]
     docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.col("doc_id").isin(keep))
     lines = {(k, i): line for k in keep for i, line in enumerate((texts[k] or "").split("\n")) if line.strip(" \t\r")}
-    first, sets = {}, {}
+    first = {}
     for place in sorted(lines):
         first.setdefault(lines[place], place)
-    for line, place in first.items():
-        sets[place] = line_set(line)
-    want = components(sets, lambda a, b: jaccard(sets[a], sets[b]) >= 0.8)
+    sets = {line: dense_set(line) for line in first}
+    by_size = sorted(first, key=lambda line: len(sets[line]))
+    linked = []
+    for i, a in enumerate(by_size):
+        for b in by_size[i + 1:]:
+            if len(sets[a]) < 0.8 * len(sets[b]):
+                break
+            if jaccard(sets[a], sets[b]) >= 0.8:
+                linked.append((a, b))
     got = {(r.doc_id, r.line_no): ((r.class_doc, r.class_line), r.kept) for r in linededup.line_classes(docs).collect()}
-    assert got == {p: (want[first[line]], want[first[line]] == p) for p, line in lines.items()}
+    assert got.keys() == lines.keys()
+    found = [got[first[a]][0] == got[first[b]][0] for a, b in linked]
+    assert len(linked) >= 40 and np.mean(found) >= 0.99, (len(linked), np.mean(found))
+    # classes hold no line that is not reached over links, and equal lines are in one class
+    want = components([first[line] for line in first], lambda x, y: False)
+    for a, b in linked:
+        x, y = want[first[a]], want[first[b]]
+        for k in [k for k, v in want.items() if v == max(x, y)]:
+            want[k] = min(x, y)
+    for place, line in lines.items():
+        (head, kept) = got[place]
+        assert want[first[lines[head]]] == want[first[line]] and kept == (head == place) and head <= place
+        assert got[first[line]][0] == head
     left = {r.doc_id: r.text for r in linededup.keep_first_lines(docs).collect()}
     for k in keep:
         mine = [line for i, line in enumerate((texts[k] or "").split("\n"))
@@ -241,10 +261,6 @@ def test_lines_of_odd_rows(spark, odd):
     assert linededup.line_classes(odd.limit(0)).count() == 0 and linededup.keep_first_lines(odd.limit(0)).count() == 0
 
 
-def dense_set(line):
-    return {line[i:i + 8] for i in range(max(1, len(line) - 7))}
-
-
 def test_lines_are_compared_at_every_character(spark, texts):
     unlike = ["user_id=123456", "user_id=987654", "2024-01-15T10:00:00", "2024-01-99T23:59:59",
               "Andththwhes.", "Andththwhwh.", "中文字符没有空格的一行文字甲乙丙丁", "中文字符没有空格的另外几个词语戊己"]
