@@ -10,19 +10,28 @@ of ``m`` bytes may differ by ``k = rate * m`` edits.
 * Verification: the regions that meet the bound are aligned with the item by a banded edit
   distance whose ends in the text are free; those within ``k`` edits are kept.
 
-``q`` is chosen per item so that the bound is positive.  Every byte of every text is looked
-up; the index of the items is sent to the tasks, after its size was checked.
+``q`` is the largest of at most 8 for which the item's bound is positive.  Every byte of every
+text is looked up; the index of the items is sent to the tasks, after its size was checked,
+and built once per worker.
+
+Repetitive texts and items would share q-grams everywhere.  A q-gram that an item holds more
+than ``OFTEN`` times is not paired with its places; such an item, or one with more than
+``BANDS_ALIGNED`` bands over the bound in one text, is aligned once over the whole stretch in
+which it shares anything, in time linear in the text (``nearest``).
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RATE = 0.1
 Q = 8                       # longest q-gram; shorter ones only for items too short for it
-LEAST_ITEM = 24             # items of fewer bytes are found as exact text only
+OFTEN = 8                   # times that an item may hold a q-gram whose places are looked up
+BANDS_ALIGNED = 64          # bands of one item in one text that are aligned one by one
 INDEX_BYTES = 16 << 20      # benchmark text that goes to every task; larger ones go in slices
 FILTER_BITS = 22
 BEFORE = b"\xff"            # stands before the start of a text; in no UTF-8 text
@@ -34,14 +43,18 @@ def normal(text: str | None) -> bytes:
     return " ".join((text or "").lower().split()).encode("utf-8")
 
 
-def budget(m: int, rate: float = RATE, q: int = Q) -> tuple[int, int]:
+def budget(m: int, rate: float = RATE) -> tuple[int, int]:
     """(edits allowed, q-grams that must be shared) of an item of ``m`` bytes."""
-    k = int(rate * m) if m >= LEAST_ITEM else 0
-    while k and m - q + 1 - k * q < 1:
-        k -= 1
+    k = int(rate * m)
+    q = gram_size(m, k)
     return k, max(1, m - q + 1 - k * q)
 
 
+def gram_size(m: int, k: int) -> int:
+    """The largest q up to ``Q`` with m - q + 1 - k q >= 1."""
+    return max(1, min(Q, m // (k + 1)))
+
+
 def qgrams(raw: bytes, q: int = Q) -> np.ndarray:
     """The ``q``-grams of all places as 64-bit numbers (q at most 8)."""
     n = len(raw) - q + 1
@@ -80,26 +93,56 @@ def aligned(item: bytes, text: bytes, k: int) -> tuple[int, int]:
     return int(row[best]), len(a) + best
 
 
-class Index:
-    """The q-grams of the items, sorted, with a bit table in front."""
+def nearest(item: bytes, text: bytes) -> tuple[int, int]:
+    """(edits, end): least edit distance of ``item`` to any substring of ``text``, and its first end.
 
-    def __init__(self, items: list[tuple[int, bytes]], rate: float = RATE):
-        self.items = [(key, raw) for key, raw in items if raw]
-        self.bounds = [budget(len(raw), rate) for _, raw in self.items]
-        self.least = np.array([least for _, least in self.bounds], np.int64)
-        self.steps = np.array([k + 1 for k, _ in self.bounds], np.int64)
+    The column of the edit matrix is kept as two bit vectors of the differences between
+    neighbouring rows, as long as the item; one step per byte of the text.
+    """
+    m = len(item)
+    full, last = (1 << m) - 1, 1 << (m - 1)
+    at = [0] * 256
+    for i, c in enumerate(item):
+        at[c] |= 1 << i
+    up, down, edits = full, 0, m
+    best, end = m, 0
+    for j, c in enumerate(text, 1):
+        match = at[c]
+        v = match | down
+        h = (((match & up) + up) ^ up) | match
+        more, less = (down | ~(h | up)) & full, up & h
+        if more & last:
+            edits += 1
+        elif less & last:
+            edits -= 1
+        more, less = (more << 1) & full, (less << 1) & full
+        up, down = (less | ~(v | more)) & full, more & v
+        if edits < best:
+            best, end = edits, j
+            if not best:
+                break
+    return best, end
+
+
+class _Grams:
+    """The q-grams of the items of one q, sorted, with a bit table in front; each once per item if it is
+    held more than ``OFTEN`` times (place -1)."""
+
+    def __init__(self, q: int, items: list[tuple[int, bytes]]):
+        self.q = q
         grams, owners, places = [], [], []
-        self.short = [i for i, (_, raw) in enumerate(self.items) if len(raw) < Q]
-        for i, (_, raw) in enumerate(self.items):
-            g = qgrams(raw)
-            grams.append(g)
-            owners.append(np.full(len(g), i, np.int64))
-            places.append(np.arange(len(g), dtype=np.int64))
-        grams = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
+        for i, raw in items:
+            g = qgrams(raw, q)
+            kinds, at, times = np.unique(g, return_inverse=True, return_counts=True)
+            rare = np.flatnonzero(times[at] <= OFTEN)
+            common = kinds[times > OFTEN]
+            grams += [g[rare], common]
+            owners.append(np.full(len(rare) + len(common), i, np.int32))
+            places.append(np.concatenate([rare, np.full(len(common), -1)]).astype(np.int32))
+        grams = np.concatenate(grams)
         order = np.argsort(grams, kind="stable")
         self.grams = grams[order]
-        self.owners = np.concatenate(owners)[order] if owners else np.zeros(0, np.int64)
-        self.places = np.concatenate(places)[order] if places else np.zeros(0, np.int64)
+        self.owners, self.places = np.concatenate(owners)[order], np.concatenate(places)[order]
         self.table = np.zeros(1 << FILTER_BITS, bool)
         self.table[self._slot(self.grams)] = True
 
@@ -108,15 +151,31 @@ class Index:
         return ((grams * _MULTIPLIER) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
     def shared(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, place in the item, place in the text) of every shared q-gram."""
-        g = qgrams(raw)
+        """(item, place in the item or -1, place in the text) of every shared q-gram."""
+        g = qgrams(raw, self.q)
         at = np.flatnonzero(self.table[self._slot(g)])
         lo = np.searchsorted(self.grams, g[at], "left")
         n = np.searchsorted(self.grams, g[at], "right") - lo
         at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
         rows = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) \
             else np.zeros(0, np.int64)
-        return self.owners[rows], self.places[rows], np.repeat(at, n)
+        return self.owners[rows].astype(np.int64), self.places[rows].astype(np.int64), np.repeat(at, n)
+
+
+class Index:
+    """The items and their q-grams."""
+
+    def __init__(self, items: list[tuple[int, bytes]], rate: float = RATE):
+        self.items = [(key, raw) for key, raw in items if raw]
+        self.bounds = [budget(len(raw), rate) for _, raw in self.items]
+        self.least = np.array([least for _, least in self.bounds], np.int64)
+        self.steps = np.array([k + 1 for k, _ in self.bounds], np.int64)
+        self.short = [i for i, (k, _) in enumerate(self.bounds) if not k]       # found as exact text
+        by_q: dict[int, list[tuple[int, bytes]]] = {}
+        for i, (_, raw) in enumerate(self.items):
+            if self.bounds[i][0]:
+                by_q.setdefault(gram_size(len(raw), self.bounds[i][0]), []).append((i, raw))
+        self.grams = [_Grams(q, some) for q, some in sorted(by_q.items())]
 
     def find(self, raw: bytes) -> list[tuple[int, int, int, int]]:
         """(item id, edits, begin, end) of the best region of each item that a normal text holds."""
@@ -125,23 +184,40 @@ class Index:
             at = raw.find(self.items[i][1])
             if at >= 0:
                 out.append((self.items[i][0], 0, at, at + len(self.items[i][1])))
-        owner, place, at = self.shared(raw)
+        for grams in self.grams:
+            out += self._near(raw, *grams.shared(raw))
+        return out
+
+    def _near(self, raw: bytes, owner: np.ndarray, place: np.ndarray, at: np.ndarray) -> list[tuple]:
         if not len(owner):
-            return out
+            return []
+        best: dict[int, tuple] = {}
+        for i in np.unique(owner[place < 0]).tolist():          # items with q-grams that repeat
+            mine = owner == i
+            self._stretches(raw, i, at[mine], best)
+            owner, place, at = owner[~mine], place[~mine], at[~mine]
         # the bands of 2 k + 1 diagonals, or a little more, in which enough q-grams are shared: a
         # band is two neighbouring slices of k + 1
         wide = np.int64(1) << 32
         slices = owner * wide + np.floor_divide(at - place, self.steps[owner]) + (wide >> 1)
+        order = np.argsort(slices, kind="stable")
+        slices, owner, place, at = slices[order], owner[order], place[order], at[order]
         cells, counts = np.unique(np.concatenate([slices, slices - 1]), return_counts=True)
         enough = counts >= self.least[cells // wide]
-        best: dict[int, tuple] = {}
-        for cell in cells[enough][np.argsort(-counts[enough], kind="stable")].tolist():
+        cells = cells[enough][np.argsort(-counts[enough], kind="stable")]
+        many = np.bincount(cells // wide, minlength=len(self.items)) > BANDS_ALIGNED if len(cells) else []
+        for i in np.flatnonzero(many).tolist():
+            lo, hi = np.searchsorted(owner, [i, i + 1])         # slices are sorted by item first
+            self._stretches(raw, i, at[lo:hi], best)
+            cells = cells[cells // wide != i]
+        for cell in cells.tolist():
             i, b = divmod(cell, int(wide))
             key, item = self.items[i]
             if i in best and best[i][1] == 0:
                 continue
             # a q-gram of the item counts once, however often the band repeats it
-            if len(np.unique(place[(slices == cell) | (slices == cell + 1)])) < self.least[i]:
+            lo, hi = np.searchsorted(slices, [cell, cell + 2])
+            if len(np.unique(place[lo:hi])) < self.least[i]:
                 continue
             k = self.bounds[i][0]
             first = (b - int(wide >> 1)) * (k + 1) - k
@@ -155,7 +231,35 @@ class Index:
             edits, end = aligned(item, region[k:], k)
             if edits <= k and (i not in best or edits < best[i][1]):
                 best[i] = (key, edits, max(0, first + k), max(0, first + k + end))
-        return out + list(best.values())
+        return list(best.values())
+
+    def _stretches(self, raw: bytes, i: int, at: np.ndarray, best: dict[int, tuple]) -> None:
+        """Align item ``i`` over every stretch of the text in which it shares q-grams at ``at``."""
+        key, item = self.items[i]
+        k = self.bounds[i][0]
+        reach = len(item) + k
+        at = np.unique(at)
+        cuts = np.flatnonzero(np.diff(at) > 2 * reach) + 1
+        for some in np.split(at, cuts):
+            begin, stop = max(0, int(some[0]) - reach), int(some[-1]) + reach + 1
+            exact = raw.find(item, begin, stop)
+            if exact >= 0:
+                best[i] = (key, 0, exact, exact + len(item))
+                return
+            edits, end = nearest(item, raw[begin:stop])
+            if edits <= k and (i not in best or edits < best[i][1]):
+                best[i] = (key, edits, max(0, begin + end - len(item) - k), begin + end)
+
+
+_built: dict[str, Index] = {}
+
+
+def worker_index(token: str, items: list[tuple[int, bytes]], rate: float) -> Index:
+    """The index of a slice of items, built once per Python worker; the last one is kept."""
+    if token not in _built:
+        _built.clear()
+        _built[token] = Index(items, rate)
+    return _built[token]
 
 
 def _slices(benchmark: DataFrame, bound: int) -> int:
@@ -182,8 +286,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, bound: int
         items = [(r["item_id"], normal(r["text"])) for r in mine.select("item_id", "text").collect()]
         sent = spark.sparkContext.broadcast(items)
 
-        def run(batches, sent=sent):
-            index = Index(sent.value, rate)
+        def run(batches, sent=sent, token=uuid.uuid4().hex):
+            index = worker_index(token, sent.value, rate)
             for batch in batches:
                 out = [(key, *hit) for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
                        for hit in index.find(normal(text))]
