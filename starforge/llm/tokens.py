@@ -4,7 +4,9 @@ Both kinds of tokenizer file used here split a text into words before they merge
 no word reaches over a cut between a character that isn't white space and a following space
 or line feed.  A text is therefore encoded piece by piece, and each distinct piece only once
 per worker: the ids are those of the whole text.  New pieces of plain Latin characters go
-straight to the library's BPE model, word by word; all others through its whole encoder.
+straight to the library's BPE model, word by word; all others through its whole encoder.  A
+text that holds the string of one of the file's special tokens, in upper or lower case, is
+encoded whole: the library gives such a string the id of its token.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True         # their strings in a text are ordinary text
+        self.special = sorted({t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.model = self.tokenizer.model
         self.small = self.tokenizer.get_vocab_size() <= 1 << 16       # ids fit 16 bits
         with open(path, encoding="utf-8") as f:
@@ -66,13 +68,18 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         if PLAIN.fullmatch(piece):
             return b"".join(map(self._word, self.words(piece if self.spaced else piece.lower())))
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return self._whole(piece)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
+        low = text.lower()
+        if any(s in low for s in self.special):
+            return self._whole(text)
         if self.spaced:
-            if OTHER_SPACE.search(text):        # tabs and the like: cuts aren't safe, encode it whole
-                return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            if OTHER_SPACE.search(text):        # tabs and the like: cuts aren't safe
+                return self._whole(text)
             pieces = PIECE.findall(text)
         else:
             pieces = text.replace("\n", " ").split(" ")
