@@ -25,8 +25,8 @@ EPOCHS = 40
 WORD = re.compile(r"[^\W\d_]+")
 LEXICON = 4                # times that the sample holds a word of the lexicon
 WORDS_KEPT = 400_000       # words whose emissions a worker remembers
-CHAIN = 256                # words of a chain: longer lines are cut, each cut a new chain
-TOGETHER = 1024            # chains that run side by side
+TOGETHER = 1024            # chains that run side by side, at most
+CELLS = 1 << 18            # places (chains times words of the longest) that they have together
 UNKNOWN = "und"
 
 
@@ -58,12 +58,29 @@ def word_features(word: str) -> list[int]:
             xxhash.xxh64_intdigest(f"w {word}") & ((1 << BITS) - 1)]
 
 
+def has_letter(word: str) -> bool:
+    """Numerals such as fractions and superscripts belong to words, but are no letters."""
+    return word.isalpha() or any(map(str.isalpha, word))
+
+
+def places(text: str) -> list[list[tuple[int, int]]]:
+    """(begin, end) of the words of each line that has any; a line is a chain, however long."""
+    out, at = [], 0
+    for line in text.split("\n"):
+        found = [(at + m.start(), at + m.end()) for m in WORD.finditer(line) if has_letter(m[0])]
+        if found:
+            out.append(found)
+        at += len(line) + 1
+    return out
+
+
 def chains(text: str) -> list[list[str]]:
-    """The lower-cased words of each line, in chains of at most ``CHAIN``."""
+    """The lower-cased words of each line that has any."""
     out = []
-    for line in text.lower().split("\n"):
-        words = WORD.findall(line)
-        out += [words[i:i + CHAIN] for i in range(0, len(words), CHAIN)]
+    for line in text.split("\n"):
+        words = [w.lower() for w in WORD.findall(line) if has_letter(w)]
+        if words:
+            out.append(words)
     return out
 
 
@@ -83,8 +100,11 @@ def posteriors(emissions: np.ndarray, lengths: np.ndarray, moves: np.ndarray, be
     total = float(top.sum())
     expected = np.zeros((labels, labels))
     order = np.argsort(-lengths, kind="stable")
-    for at in range(0, len(order), TOGETHER):
-        some = order[at:at + TOGETHER]
+    at = 0
+    while at < len(order):
+        # long chains run with few others: what is kept of them is their length times their number
+        some = order[at:at + min(TOGETHER, max(1, CELLS // max(1, int(lengths[order[at]]))))]
+        at += len(some)
         n = lengths[some]                                      # descending
         longest = int(n[0])
         alive = np.searchsorted(-n, -np.arange(longest), "left")   # chains longer than t
@@ -155,6 +175,24 @@ class Fitted:
                 for i, b in enumerate(best.tolist())]
 
 
+    def runs(self, text: str) -> list[tuple[int, int, str, float]]:
+        """(begin, end, language, mean posterior) of each run of words of a line with one label."""
+        lines = places(text)
+        if not lines or not self.labels:
+            return []
+        at = self.emission_rows([text[a:b].lower() for line in lines for a, b in line])
+        p, _ = posteriors(self.rows[at], np.array([len(line) for line in lines], np.int64), self.moves, self.begin)
+        best, out, i = p.argmax(axis=1), [], 0
+        for line in lines:
+            own = best[i:i + len(line)]
+            cuts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(line)]
+            for x, y in zip(cuts, cuts[1:]):
+                label = int(own[x])
+                out.append((line[x][0], line[y - 1][1], self.labels[label], float(p[i + x:i + y, label].mean())))
+            i += len(line)
+        return out
+
+
 def fit(texts: list[str], langs: list[str], epochs: int = EPOCHS, rate: float = 0.5) -> Fitted:
     """Full-batch AdaGrad on the conditional log-likelihood of the words' languages."""
     labels = sorted(set(langs))
@@ -242,6 +280,31 @@ def identify(docs: DataFrame, model: Fitted) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def language_runs(docs: DataFrame, model: Fitted) -> DataFrame:
+    """One row per document: (doc_id, runs), the words labelled one by one by forward-backward.
+
+    runs: array of (begin, end, language, posterior), places in code points of the text, in
+    order: neighbouring words of a line with one label are one run, posterior is their mean.
+    Null texts and texts without a letter have no runs; repeated rows are each labelled; an
+    empty table gives an empty table; other columns are ignored.
+    """
+    import pyarrow as pa
+
+    sent = docs.sparkSession.sparkContext.broadcast((model.labels, model.weights, model.moves, model.begin))
+    run_type = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("language", pa.string()),
+                                   ("posterior", pa.float64())]))
+
+    def run(batches):
+        own = Fitted(*sent.value)
+        for batch in batches:
+            found = [[dict(zip(("begin", "end", "language", "posterior"), r)) for r in own.runs(t or "")]
+                     for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, run_type)], names=["doc_id", "runs"])
+
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, runs array<struct<begin: long, end: long, language: string, posterior: double>>")
+
+
 def keep_identified(docs: DataFrame, learn, least: float = 0.5, sample: int = SAMPLE) -> DataFrame:
     """The documents whose language is known with a score of ``least`` or more, all columns kept.
 
