@@ -20,6 +20,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starforge.llm.common import stage
+
 SAMPLE = 3000
 BITS = 20
 EPOCHS = 120
@@ -58,13 +60,12 @@ class Fitted:
             found = self.known[word] = float(sum(self.weights[f] for f in word_features(word)))
         return found
 
-    def sentence(self, lower: str, begin: int, end: int) -> float:
-        return self.bias + sum(map(self.word, set(WORD.findall(lower, begin, end))))
+    def sentence(self, text: str, begin: int, end: int) -> float:
+        return self.bias + sum(map(self.word, {w.lower() for w in WORD.findall(text, begin, end)}))
 
     def sentence_scores(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
         spans = sentences(text)
-        lower = text.lower() if len(text.lower()) == len(text) else text
-        z = np.array([self.sentence(lower, a, b) for a, b in spans])
+        z = np.array([self.sentence(text, a, b) for a, b in spans])
         return spans, 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     def score(self, text: str) -> float:
@@ -79,12 +80,12 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, rate: float =
     features, owner, bag = [], [], []
     count = 0
     for b, text in enumerate(texts):
-        lower = (text or "").lower()
+        text = text or ""
         mine: list[int] = []
         places: list[int] = []
-        for m in SENTENCE.finditer(lower) if lower.strip() else ():
-            for word in WORD.findall(lower, *m.span()):
-                for f in word_features(word):
+        for m in SENTENCE.finditer(text) if text.strip() else ():
+            for word in WORD.findall(text, *m.span()):
+                for f in word_features(word.lower()):
                     mine.append(vocabulary.setdefault(f, len(vocabulary)))
                     places.append(count)
             bag.append(b)
@@ -136,19 +137,24 @@ def train(docs: DataFrame, labels: DataFrame, learn, sample: int = SAMPLE) -> Fi
     sizes = {int(r["toxic"]): r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = {k: min(1.0, 0.9 * sample / 2 / n) for k, n in sizes.items()}
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
-    want = F.coalesce(*[F.when(F.col("toxic") == k, place < v) for k, v in share.items()], F.lit(False)) \
-        if share else F.lit(False)
-    chosen = known.where(want).join(docs.select("doc_id", "text").dropDuplicates(["doc_id"]), "doc_id") \
-        if share else None
-    rows = sorted(chosen.limit(sample).collect(), key=lambda r: r["doc_id"]) if share else []
+    want = F.coalesce(*[F.when(F.col("toxic") == k, place < v) for k, v in share.items()], F.lit(False))
+    if not share:
+        return fit([], [])
+    # ``sample`` rows at most are sent; of an id with several texts one is learned, the same in every run
+    ids = stage(known.where(want).limit(sample), "sample")
+    chosen = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+              .groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
+    rows = sorted(chosen.collect(), key=lambda r: r["doc_id"])
     return fit([r["text"] for r in rows], [int(r["toxic"]) for r in rows])
 
 
 def score(docs: DataFrame, model: Fitted, decision: float = DECISION) -> DataFrame:
-    """One row per document: (doc_id, score, predicted, sentence_begin, sentence_end, sentence_score).
+    """One row per document: (doc_id, score, predicted, sentence_begin, sentence_end, sentence_score, offending).
 
-    score: noisy-or of all sentences; predicted: 1 if it is ``decision`` or more; the last
-    three columns locate the sentence with the highest score (code points).  Null and empty
+    score: noisy-or of all sentences; predicted: 1 if it is ``decision`` or more; the next
+    three columns locate the sentence with the highest score (code points); offending: an
+    array of (begin, end, score) of every sentence whose own score is ``decision`` or more,
+    in order.  Null and empty
     texts are one empty sentence.  Repeated rows are each scored; other columns are ignored.
     """
     import pyarrow as pa
@@ -163,13 +169,16 @@ def score(docs: DataFrame, model: Fitted, decision: float = DECISION) -> DataFra
                 spans, p = own.sentence_scores(text or "")
                 whole = float(1 - np.exp(np.log1p(-np.minimum(p, 1 - 1e-12)).sum()))
                 best = int(p.argmax())
-                out.append((min(max(whole, 0.0), 1.0), int(whole >= decision), *spans[best], float(p[best])))
-            columns = list(zip(*out)) or [[]] * 5
-            kinds = (pa.float64(), pa.int32(), pa.int64(), pa.int64(), pa.float64())
+                bad = [{"begin": spans[i][0], "end": spans[i][1], "score": float(p[i])}
+                       for i in np.flatnonzero(p >= decision).tolist()]
+                out.append((min(max(whole, 0.0), 1.0), int(whole >= decision), *spans[best], float(p[best]), bad))
+            columns = list(zip(*out)) or [[]] * 6
+            kinds = (pa.float64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(),
+                     pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0)] + [pa.array(c, t) for c, t in zip(columns, kinds)],
-                names=["doc_id", "score", "predicted", "sentence_begin", "sentence_end", "sentence_score"])
+                names=["doc_id", "score", "predicted", "sentence_begin", "sentence_end", "sentence_score", "offending"])
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, score double, predicted int, sentence_begin long, sentence_end long, "
-             "sentence_score double")
+             "sentence_score double, offending array<struct<begin: long, end: long, score: double>>")
