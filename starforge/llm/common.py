@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge.session import scratch_path, shuffles_dropped
+from starforge.sinks.files import remove_folder
 
 # A table is sent to every executor only when it was counted and has at most
 # this many narrow rows (two long columns, about 16 MB); larger tables are
@@ -27,7 +28,19 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(spark, purpose)
     with shuffles_dropped(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_path = path
+    return staged
+
+
+def discard(*staged: DataFrame | None) -> None:
+    """Remove the folders of staged tables that nothing will read any more.
+
+    Only for tables whose every reader has been written to a staged table itself.
+    """
+    for df in staged:
+        if df is not None:
+            remove_folder(df.sparkSession, df.staged_path)
 
 
 def checked_small(staged: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import checked_small, stage
+from starforge.llm.common import checked_small, discard, stage
 
 
 STAR_ROUNDS = 6
@@ -43,7 +43,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         small = (large.join(low, "u").where("v <> m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).distinct())
-        edges = stage(small, "cc")
+        old, edges = edges, stage(small, "cc")
+        discard(old)
         after = _state(edges)
         if after == before:
             break
@@ -105,16 +106,20 @@ def bucket_components(members: DataFrame, bodies: Callable[[DataFrame], DataFram
                      .where(F.least("m", "n") + 1e-9 >= threshold * F.greatest("m", "n")).select("a", "b"), "pairs")
         used = stage(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "pairs")
         mine = store.join(checked_small(used), "node", "left_semi")
-        return alike(near.join(mine.select(F.col("node").alias("a"), F.col("body").alias("body_a")), "a")
-                     .join(mine.select(F.col("node").alias("b"), F.col("body").alias("body_b")), "b")
-                     .select("a", "b", "body_a", "body_b"))
+        more = stage(alike(near.join(mine.select(F.col("node").alias("a"), F.col("body").alias("body_a")), "a")
+                           .join(mine.select(F.col("node").alias("b"), F.col("body").alias("body_b")), "b")
+                           .select("a", "b", "body_a", "body_b")), "links")
+        discard(near, used)
+        return more
 
     def grow(pairs: DataFrame) -> int:
         nonlocal links, found
         ordered = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        more = stage(verify(stage(ordered, "pairs")), "links")
+        ordered = stage(ordered, "pairs")
+        more = verify(ordered)
         links = more if links is None else links.union(more)
-        found = stage(connected_components(links), "found")
+        old, found = found, stage(connected_components(links), "found")
+        discard(ordered, old)
         return more.count()
 
     def possible(x: str, y: str):
@@ -126,8 +131,10 @@ def bucket_components(members: DataFrame, bodies: Callable[[DataFrame], DataFram
         state = stage(sizes.groupBy("key").agg(F.sum("c").alias("n"), F.max(F.struct("c", "comp")).alias("top"))
                       .where("n > top.c")
                       .select("key", "n", F.col("top.c").alias("c"), F.col("top.comp").alias("largest")), "buckets")
-        return (stage(placed.join(checked_small(state.select("key", "largest")), "key"), "buckets"),
-                state.agg(F.sum(F.expr("(n - c) * n")).alias("pairs"), F.sum("n").alias("rows")).first())
+        rows = stage(placed.join(checked_small(state.select("key", "largest")), "key"), "buckets")
+        sums = state.agg(F.sum(F.expr("(n - c) * n")).alias("pairs"), F.sum("n").alias("rows")).first()
+        discard(state)
+        return rows, sums
 
     for step in range(STAR_ROUNDS):
         salt = F.xxhash64("key", F.lit(step))
@@ -143,7 +150,9 @@ def bucket_components(members: DataFrame, bodies: Callable[[DataFrame], DataFram
                   .select("key", "node", F.coalesce("component", "node").alias("comp"), "size", "most"))
         if bounds is None:                  # a bucket of two was settled by the first round
             placed = placed.join(several.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").select("key"), "key")
+        old = several if step else None         # the first one is a projection of a staged table
         several, left = unsettled(placed)
+        discard(old)
         if left["rows"] and bounds is None:
             rest = checked_small(stage(several.select("node").distinct(), "buckets"))
             bounds = reach(elements(store.join(rest, "node", "left_semi")))
