@@ -124,18 +124,34 @@ def with_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every whole text and of its edit with the next document by descending doc_id.
 
     Documents are range-partitioned and sorted by descending doc_id (nulls last, rows that
-    repeat a doc_id by their text).  The last document of a partition is followed by the
+    repeat a doc_id by a hash of their text, so that they need not be in one task); their
+    texts are compressed on the way.  The last document of a partition is followed by the
     first of the next partition that has any, and the last of all by the first of all: these
     pairs, one per partition, are joined afterwards.  The result is read from written tables.
     """
+    def squeeze(batches):
+        import pyarrow as pa
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                some = batch.slice(at, 1000)
+                packed = [press(t.encode("utf-8")) if t else b"" for t in some.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(packed, pa.binary())],
+                                                 names=["doc_id", "tie", "packed"])
+
     def run(batches):
+        import zstandard
         from pyspark import TaskContext
 
+        opened = zstandard.ZstdDecompressor().decompress
         part, held, seen = TaskContext.get().partitionId(), None, False
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(keys), 200):
-                rows = [(k, t or "") for k, t in zip(keys[at:at + 200], texts[at:at + 200])]
+            for at in range(0, len(batch), 200):
+                some = batch.slice(at, 200)
+                rows = [(k, opened(z).decode("utf-8") if z else "")
+                        for k, z in zip(some.column(0).to_pylist(), some.column(2).to_pylist())]
                 if not seen:
                     yield _edge(part, 1, rows[0])
                     seen = True
@@ -146,10 +162,10 @@ def with_edits(docs: DataFrame) -> DataFrame:
         if held is not None:
             yield _edge(part, 2, held)
 
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
-    spread = (docs.select("doc_id", "text")
-              .repartitionByRange(shuffle_partitions(docs.sparkSession), F.col("doc_id").desc_nulls_last())
-              .sortWithinPartitions(*order))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("tie")]
+    spread = (docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
+              .mapInArrow(squeeze, "doc_id long, tie long, packed binary")
+              .repartitionByRange(shuffle_partitions(docs.sparkSession), *order).sortWithinPartitions(*order))
     first = stage(spread.mapInArrow(run, _COLUMNS), "minhash")
     ends = first.where("edge > 0")
     parts = sorted(r["part"] for r in ends.where("edge = 1").select("part").collect())     # one per partition
