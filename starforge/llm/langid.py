@@ -26,7 +26,8 @@ WORD = re.compile(r"[^\W\d_]+")
 LEXICON = 4                # times that the sample holds a word of the lexicon
 WORDS_KEPT = 400_000       # words whose emissions a worker remembers
 TOGETHER = 1024            # chains that run side by side, at most
-CELLS = 1 << 18            # places (chains times words of the longest) that they have together
+TEXTS = 1 << 22            # characters of the texts that are labelled together
+CELLS = 1 << 20            # places (chains times words of the longest) that they have together
 UNKNOWN = "und"
 
 
@@ -77,8 +78,10 @@ def places(text: str) -> list[list[tuple[int, int]]]:
 def chains(text: str) -> list[list[str]]:
     """The lower-cased words of each line that has any."""
     out = []
-    for line in text.split("\n"):
-        words = [w.lower() for w in WORD.findall(line) if has_letter(w)]
+    for line in text.lower().split("\n"):
+        words = WORD.findall(line)
+        if words and not "".join(words).isalpha():
+            words = [w for w in words if has_letter(w)]
         if words:
             out.append(words)
     return out
@@ -270,9 +273,14 @@ def identify(docs: DataFrame, model: Fitted) -> DataFrame:
         own = Fitted(*sent.value)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            out = []
-            for i in range(0, len(texts), 256):
-                out += own.predict([t or "" for t in texts[i:i + 256]])
+            out, some, size = [], [], 0
+            for text in texts:
+                some.append(text or "")
+                size += len(some[-1])
+                if size >= TEXTS:
+                    out += own.predict(some)
+                    some, size = [], 0
+            out += own.predict(some)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array([x for x, _ in out], pa.string()),
                  pa.array([x for _, x in out], pa.float64())], names=["doc_id", "lang_pred", "score"])
