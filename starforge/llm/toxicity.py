@@ -60,12 +60,16 @@ class Fitted:
             found = self.known[word] = float(sum(self.weights[f] for f in word_features(word)))
         return found
 
-    def sentence(self, text: str, begin: int, end: int) -> float:
-        return self.bias + sum(map(self.word, {w.lower() for w in WORD.findall(text, begin, end)}))
+    def sentence(self, words) -> float:
+        return self.bias + sum(map(self.word, set(words)))
 
     def sentence_scores(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
         spans = sentences(text)
-        z = np.array([self.sentence(text, a, b) for a, b in spans])
+        lower = text.lower()
+        if len(lower) == len(text):         # places are the same: lower-cased at once
+            z = np.array([self.sentence(WORD.findall(lower, a, b)) for a, b in spans])
+        else:
+            z = np.array([self.sentence(w.lower() for w in WORD.findall(text, a, b)) for a, b in spans])
         return spans, 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     def score(self, text: str) -> float:
