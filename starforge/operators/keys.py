@@ -115,10 +115,20 @@ def _any_null(keys) -> Column:
 
 
 def _best(df: DataFrame, keys, order_by) -> DataFrame:
-    """keys, _sf_best: the smallest row of each key by (order_by, whole row)."""
-    tie = F.struct(*_cols(order_by)).alias("t")
-    row = F.struct(*[F.col(c) for c in df.columns if c != "_sf_n"]).alias("r")
-    return df.groupBy(*keys).agg(F.min(F.struct(tie, row)).alias("_sf_best"))
+    """keys, _sf_best: the smallest row of each key by (order_by, whole row), without the keys.
+
+    Every column is in the struct once: those of ``order_by``, then the rest in their order.
+    """
+    rank, held = [], {*keys, "_sf_n"}
+    for i, c in enumerate(order_by):
+        if not isinstance(c, str):
+            rank.append(c.alias(f"_sf_by{i}"))
+        elif c not in held:
+            rank.append(F.col(c))
+            held.add(c)
+    rest = [F.col(c) for c in df.columns if c not in held]
+    # a table may have no column but its keys
+    return df.groupBy(*keys).agg(F.min(F.struct(*rank, *rest, F.lit(0).alias("_sf_end"))).alias("_sf_best"))
 
 
 def first_rows(df: DataFrame, key, order_by) -> DataFrame:
@@ -129,7 +139,7 @@ def first_rows(df: DataFrame, key, order_by) -> DataFrame:
     best = _best(df.where(~_any_null(keys)), keys, order_by)
     # the grouping columns themselves stay, so the result remains known as
     # hash-partitioned by the key for a following join
-    return best.select(*[F.col(c) if c in keys else F.col(f"_sf_best.r.{c}").alias(c)
+    return best.select(*[F.col(c) if c in keys else F.col(f"_sf_best.{c}").alias(c)
                          for c in df.columns])
 
 
@@ -140,28 +150,45 @@ def extra_rows(df: DataFrame, key, order_by, reason: str = "duplicate_key",
 
     Rows are counted per key first (the key column alone is read); only the rows of keys
     that repeat are fetched, collapsed to one per distinct row and staged.  A table
-    without repeats costs one narrow count and a semi join with nothing.  ``repeated``:
-    the keys that repeat, where they are known already.
+    without repeats costs one narrow count: few keys that repeat are sent to its rows, which
+    are not shuffled for them.  ``repeated``: the keys that repeat, where they are known already.
     """
-    from starforge.sinks import stage
     keys = [key] if isinstance(key, str) else list(key)
-    cols = df.columns
     null = _any_null(keys)
     present = df.where(~null)
     if repeated is None:
         repeated = (present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sf_rows"))
                     .where(F.col("_sf_rows") > 1).select(*keys))
-    rows = stage(present.join(repeated, keys, "left_semi").select(*cols)
-                 .groupBy(*cols).agg(F.count(F.lit(1)).alias("_sf_n")), "repeated")
+    dupes = beyond_first(present.join(few_keys(repeated), keys, "left_semi").select(*df.columns), key, order_by,
+                         reason)
+    return dupes.unionByName(df.where(null).withColumn("reject_reason", F.lit("null_key")))
+
+
+KEYS_SENT = 250_000
+
+
+def few_keys(keys: DataFrame) -> DataFrame:
+    """The narrow table ``keys``, staged and counted; a broadcast only if it has few rows."""
+    from starforge.sinks import stage
+    staged = stage(keys, "keys")
+    return F.broadcast(staged) if staged.count() <= KEYS_SENT else staged
+
+
+def beyond_first(df: DataFrame, key, order_by, reason: str) -> DataFrame:
+    """All that ``first_rows`` leaves out of rows whose keys are not NULL, with a ``reject_reason``:
+    the rows are collapsed to one per distinct row and staged, so pass only those of keys that repeat."""
+    from starforge.sinks import stage
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = df.columns
+    rows = stage(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_sf_n")), "repeated")
     won = F.lit(True)
     for c in cols:
-        won = won & F.col(c).eqNullSafe(F.col(f"_sf_best.r.{c}"))
+        if c not in keys:
+            won = won & F.col(c).eqNullSafe(F.col(f"_sf_best.{c}"))
     rest = (rows.join(_best(rows, keys, order_by), keys)
             .select(*cols, (F.col("_sf_n") - won.cast("int")).alias("_sf_left"))
             .where(F.col("_sf_left") > 0))
-    dupes = (_expand_copies(rest, "_sf_left").select(*cols)
-             .withColumn("reject_reason", F.lit(reason)))
-    return dupes.unionByName(df.where(null).withColumn("reject_reason", F.lit("null_key")))
+    return _expand_copies(rest, "_sf_left").select(*cols).withColumn("reject_reason", F.lit(reason))
 
 
 def keep_first(df: DataFrame, key, order_by, reason: str = "duplicate_key"):

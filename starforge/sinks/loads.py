@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starforge.operators.keys import extra_rows, first_rows, number_ids
+from starforge.operators.keys import beyond_first, dense_key, first_rows
 from starforge.schemas import TARGETS, UNFIT, UNIQUE_KEYS, flag_unfit, is_unfit
 from starforge.sinks.files import has_data, read_table, remove_folder
 
@@ -89,6 +89,10 @@ def load_facts(fact: DataFrame, path: str, quarantine_path: str, load_id: int,
     column; ``unfit`` lists column and value); beyond the first row of an id
     (``duplicate_<id>``); ids of an earlier load (``loaded_<id>``).  Every input row is in one
     of both tables.
+
+    The ids are counted, looked up in the earlier loads and numbered alone (one narrow column);
+    the wide rows are then joined with them once, and staged.  Only rows of ids that repeat in
+    the batch are grouped.
     """
     from starforge.sinks import stage
     spark, schema = fact.sparkSession, TARGETS[table]
@@ -99,19 +103,28 @@ def load_facts(fact: DataFrame, path: str, quarantine_path: str, load_id: int,
     cols = [c for c in batch.columns if c != UNFIT]
     fits = F.col(id_col).isNull() | ~is_unfit()
     good = batch.where(fits).select(*cols)
-    first = first_rows(good, id_col, [c for c in cols if c != id_col])
-    again = first.join(earlier.select(id_col), id_col, "left_semi")
-    fresh = good.select(id_col).join(earlier.select(id_col), id_col, "left_anti")
+    others = [c for c in cols if c != id_col]
+    known = earlier.select(id_col).distinct().withColumn("_sf_known", F.lit(True))
+    ids = stage(good.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("_sf_rows"))
+                .join(known, id_col, "left"), "ids")
     after = earlier.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
-    numbered = number_ids(fresh, id_col, key, after)
+    fresh = dense_key(ids.where("_sf_known is null").select(id_col, "_sf_rows"), [id_col], key, first=False, after=after)
+    before = ids.where("_sf_known").select(id_col, "_sf_rows", F.lit(None).cast("long").alias(key))
+    tagged = stage(good.join(fresh.unionByName(before), id_col, "left").select(*cols, key, "_sf_rows"), "tagged")
+    several = tagged.where("_sf_rows > 1")
+    first = (tagged.where("_sf_rows = 1").select(*cols, key)
+             .unionByName(first_rows(several.select(*cols, key), id_col, others)))
 
     no_values = F.lit(None).cast(batch.schema[UNFIT].dataType).alias("unfit")
-    bad = (extra_rows(good, id_col, [c for c in cols if c != id_col], f"duplicate_{id_col}")
-           .unionByName(again.select(*cols).withColumn(REJECT_REASON, F.lit(f"loaded_{id_col}")))
+    bad = (beyond_first(several.select(*cols), id_col, others, f"duplicate_{id_col}")
+           .unionByName(tagged.where(F.col(id_col).isNull()).select(*cols)
+                        .withColumn(REJECT_REASON, F.lit("null_key")))
+           .unionByName(first.where(F.col(key).isNull()).select(*cols)
+                        .withColumn(REJECT_REASON, F.lit(f"loaded_{id_col}")))
            .select("*", no_values)
            .unionByName(batch.where(~fits).select(*cols, F.col(UNFIT)[0]["reject_reason"].alias(REJECT_REASON),
                                                   F.col(UNFIT).alias("unfit"))))
-    rows = _complete(first.join(numbered, id_col), schema)
+    rows = _complete(first.where(F.col(key).isNotNull()), schema)
     kept = T.StructType([f for f in schema.fields if f.name != key])
     return (replace_load(rows, path, load_id),
             replace_load(_complete(bad, kept, extra=(REJECT_REASON, "unfit")), quarantine_path, load_id))
