@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from starforge.functions.dates import date_key, whole_days_between
 from starforge.functions.scalars import MONEY, is_completed, item_total, positive_flag
-from starforge.operators.keys import extra_rows, first_by, number_ids
+from starforge.operators.keys import extra_rows, number_ids
 from starforge.operators.lookup import key_lookup
 from starforge.rules import NO_PAYMENT_TYPE, Rules
 from starforge.schemas import TARGETS, conform, flag_unfit, unfit_rows
@@ -41,8 +41,11 @@ def _zero(x) -> F.Column:
 
 def order_items_agg(order_items: DataFrame, primary: str = "first") -> DataFrame:
     """A1: items -> order.  primary='first' (W3, lowest item tuple) or
-    'most_expensive' (D6, highest price, ties by item tuple)."""
-    rank = [F.col(x) for x in ITEM_ORDER]            # holds both ids that are picked
+    'most_expensive' (D6, highest price, ties by item tuple).
+
+    The tuple is carried only as far as the two ids that are picked: rows that are equal up to
+    there give the same ids."""
+    rank = [F.col(x) for x in ITEM_ORDER[:3]]
     if primary == "most_expensive":
         rank = [(-F.coalesce(F.col("price"), F.lit(0))).alias("_sf_price"), *rank]
     agg = order_items.groupBy("order_id").agg(
@@ -59,12 +62,10 @@ def order_items_agg(order_items: DataFrame, primary: str = "first") -> DataFrame
 def payments_agg(payments: DataFrame, primary: str = "first") -> DataFrame:
     """A2: payments -> order.  primary='first' (lowest sequence tuple) or
     'largest' (D5, highest value, ties by sequence tuple)."""
+    rank = [F.col(c) for c in PAYMENT_ORDER[:2]]     # as far as the type that is picked
     if primary == "largest":
-        ptype = F.min_by(F.col("payment_type"),
-                         F.struct(-F.coalesce(F.col("payment_value"), F.lit(0)),
-                                  *[F.col(c) for c in PAYMENT_ORDER]))
-    else:
-        ptype = first_by("payment_type", PAYMENT_ORDER)
+        rank = [(-F.coalesce(F.col("payment_value"), F.lit(0))).alias("_sf_value"), *rank]
+    ptype = F.min(F.struct(*rank))["payment_type"]
     return payments.groupBy("order_id").agg(
         _zero(F.sum("payment_value")).alias("payment_value"),
         ptype.alias("payment_type"),
@@ -75,7 +76,7 @@ def reviews_agg(reviews: DataFrame) -> DataFrame:
     """J5 reduced to the order grain: the first review's score (the row K6
     keeps) and the number of review rows the plain left join would fan out."""
     return reviews.groupBy("order_id").agg(
-        first_by("review_score", REVIEW_ORDER).alias("review_score"),
+        F.min(F.struct(*REVIEW_ORDER))["review_score"].alias("review_score"),
         F.count(F.lit(1)).alias("review_rows"))
 
 
@@ -88,7 +89,7 @@ def unique_orders(orders: DataFrame) -> DataFrame:
     cols = [c for c in ORDER_COLUMNS + ("customer_key",) if c in orders.columns]
     best = (orders.where(F.col("order_id").isNotNull())
             .groupBy("order_id")
-            .agg(F.min(F.struct(*[F.col(c) for c in cols])).alias("_sf_o")))
+            .agg(F.min(F.struct(*[F.col(c) for c in cols if c != "order_id"])).alias("_sf_o")))
     # keep the grouping column itself (not the struct's copy), so the output
     # stays known as hash-partitioned by order_id and the joins that follow
     # do not shuffle the orders again
