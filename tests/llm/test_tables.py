@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from starforge.llm import linededup, minhash, packing, planes, sharding
 from starforge.llm.queries import QUERIES, vocabulary
+from starforge.llm import tokens
 from starforge.llm.tokens import encoder
 
 SF = "/root/testdata/sf0.01"
@@ -44,6 +45,19 @@ def test_pieces_encode_like_the_whole_text(name, texts):
     assert [coder.ids(t) for t in rows] == want
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_plain_texts_are_cut_into_words_at_once(name, monkeypatch):
+    rows = ["", " ", "The  cat's hat,\n\n it'LL 'tis ", "x²½1 ªµ×÷ ſƻ ǀȀ'É\n 12345!?", "a <|end b|> c <d",
+            "\n" + " ".join(f"w{i}x, é{i}." for i in range(300))]
+    monkeypatch.setattr(tokens, "CACHE", 100)
+    coder = tokens.Encoder(vocabulary(name))
+    assert [coder.ids(t) for t in rows] == [x[:-1].tobytes() for x in encoded(name, rows, 0)]
+    assert not coder.known
+    mixed = " ".join(f"w{i} ж{i}" for i in range(300))
+    assert coder.ids(mixed) == encoded(name, [mixed], 0)[0][:-1].tobytes()
+    assert len(coder.known) + len(coder.known_words) <= tokens.CACHE
+
+
 def test_ring_sharding_of_the_whole_table(spark, texts):
     got = QUERIES["op4_ring_sharding"](spark, SF).collect()
     assert sorted(r.doc_id for r in got) == sorted(texts)
