@@ -9,9 +9,9 @@ Every task writes its documents in blocks of about ``BLOCK`` ids, and a block's
 counted before anything is shuffled, so a frequent n-gram is one entry per block.  The count table is
 partitioned by a hash of the n-gram: a block's entries of one part are one row, as arrays
 (sorted differences, compressed), because single rows would take several times the space of
-the texts.  Each part is summed over the blocks and joined to the blocks' own entries: the
-totals of the n-grams that other blocks hold too return to each block; for all others the
-block's own count is the total.  There the documents' scores are summed up.  Both the length
+the texts.  Each part is summed over the blocks and returns to each block what the other blocks
+add to its entries, in the order in which it sent them and without the n-grams, which the
+block has itself.  There the documents' scores are summed up.  Both the length
 of a block and the n-grams of a part are bounded whatever the size of the corpus (a document
 is never divided, so a longer one is a block of its own).
 """
@@ -39,10 +39,6 @@ def grams(ids: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _counts(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int64), return_counts=True)
-
-
 def _part(keys: np.ndarray, parts: int) -> np.ndarray:
     """Part of the count table that holds an n-gram."""
     mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -77,35 +73,56 @@ def unpack_keys(raw: bytes) -> np.ndarray:
     return np.cumsum(unpack(raw))
 
 
-def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """values of the wanted keys (sorted), 0 where there is none."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], 0)
+def _by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of sorted n-grams by part, the parts that have any, and where each begins in that order."""
+    part = _part(keys, parts)
+    if parts <= 1 << 16:
+        part = part.astype(np.uint16)                      # a stable sort of these is linear
+    order = np.argsort(part, kind="stable")
+    begins = np.flatnonzero(np.diff(part[order].astype(np.int64), prepend=-1))
+    return order, part[order][begins].astype(np.int64), begins
+
+
+def _ends_in_texts(sizes: np.ndarray, n: int) -> np.ndarray:
+    """The places of a block, document after document, at which an n-gram of one document ends."""
+    starts = np.cumsum(sizes) - sizes
+    return np.flatnonzero(np.arange(int(sizes.sum())) - np.repeat(starts, sizes) >= n - 1)
 
 
-def log_scores(ids: np.ndarray, totals: dict[int, tuple[np.ndarray, np.ndarray]], n_tokens: int,
-               order: int = ORDER, backoff: float = BACKOFF) -> float:
-    """Sum of the natural logarithms of a document's token scores.
+def block_grams(ids: np.ndarray, sizes: np.ndarray, n: int) -> np.ndarray:
+    """The n-grams of a block's documents by place of their end, none over the end of a document."""
+    return grams(ids, n)[_ends_in_texts(sizes, n) - (n - 1)]
 
-    ``totals[n]``: sorted n-grams and their counts in the whole corpus, with this document.
+
+def log_scores(ids: np.ndarray, sizes: np.ndarray, totals, n_tokens: int,
+               order: int = ORDER, backoff: float = BACKOFF) -> np.ndarray:
+    """The sum of the natural logarithms of the token scores of each of a block's documents.
+
+    ``totals(n, kinds, own)``: the counts in the whole corpus, with this block, of its sorted
+    distinct n-grams ``kinds``, which it holds ``own`` times.
     """
-    others = {}
-    for n in range(1, order + 1):
-        g = grams(ids, n)
-        kinds, inverse, own = np.unique(g, return_inverse=True, return_counts=True)
-        others[n] = np.maximum(_look(*totals[n], kinds) - own, 0)[inverse]
-    rest = max(n_tokens - len(ids), 1)
-    score = np.log(np.maximum(others[1], 0.5) / rest) + np.log(backoff) * np.minimum(np.arange(len(ids)), order - 1)
-    for n in range(2, order + 1):                      # longer n-grams replace what shorter ones gave
-        top, below = others[n], others[n - 1][:len(others[n])]
-        seen = (top > 0) & (below > 0)
-        places = np.arange(n - 1, len(ids))
-        given_up = np.minimum(places, order - 1) - (n - 1)
-        value = np.log(np.where(seen, top, 1) / np.where(seen, below, 1)) + np.log(backoff) * given_up
-        score[n - 1:] = np.where(seen, value, score[n - 1:])
-    return float(score.sum())
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)     # place in the document
+    score, below = np.zeros(len(ids)), None
+    rest = np.maximum(n_tokens - sizes, 1)[doc]
+    for n in range(1, order + 1):                      # longer n-grams replace what shorter ones gave
+        ends = _ends_in_texts(sizes, n)
+        kinds, which, counts = np.unique(grams(ids, n)[ends - (n - 1)], return_inverse=True, return_counts=True)
+        # occurrences in the document itself: pairs of document and n-gram, sorted
+        _, pair, own = np.unique(doc[ends] * np.int64(max(1, len(kinds))) + which, return_inverse=True,
+                                 return_counts=True)
+        others = np.zeros(len(ids), np.int64)
+        others[ends] = np.maximum(totals(n, kinds, counts)[which] - own[pair], 0)
+        given_up = np.log(backoff) * (np.minimum(at, order - 1) - (n - 1))
+        if n == 1:
+            score = np.log(np.maximum(others, 0.5) / rest) + given_up
+        else:
+            over, under = others[ends], below[ends - 1]
+            seen = (over > 0) & (under > 0)
+            value = np.log(np.where(seen, over, 1) / np.where(seen, under, 1)) + given_up[ends]
+            score[ends] = np.where(seen, value, score[ends])
+        below = others
+    return np.bincount(doc, score, minlength=len(sizes))
 
 
 def scores(docs: DataFrame, tokenizer: str, order: int = ORDER, backoff: float = BACKOFF,
@@ -123,16 +140,13 @@ def scores(docs: DataFrame, tokenizer: str, order: int = ORDER, backoff: float =
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(shuffle_partitions(spark), -(-size // PART))
 
-    def entries(block: int, ids: list[np.ndarray]):
+    def entries(block: int, ids: np.ndarray, sizes: np.ndarray):
         """The block's rows of the count table, one per part and length of n-gram."""
         for n in range(1, order + 1):
-            keys, c = _counts([grams(x, n) for x in ids])
-            part = _part(keys, parts)
-            order_of = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.diff(part[order_of], prepend=-1))
-            for at in np.split(order_of, cuts[1:]) if len(keys) else []:
-                yield {"block": block, "part": int(part[at[0]]), "n": n,
-                       "grams": pack_keys(keys[at]), "counts": pack(c[at])}
+            keys, c = np.unique(block_grams(ids, sizes, n), return_counts=True)
+            order_of, held, begins = _by_part(keys, parts)
+            for part, at in zip(held.tolist(), np.split(order_of, begins[1:])):
+                yield {"block": block, "part": part, "n": n, "grams": pack_keys(keys[at]), "counts": pack(c[at])}
 
     def write(block: int, keys: list, ids: list[np.ndarray]):
         return pa.RecordBatch.from_arrays(
@@ -159,13 +173,10 @@ def scores(docs: DataFrame, tokenizer: str, order: int = ORDER, backoff: float =
         if keys:
             yield write(block, keys, ids)
 
-    def texts(sizes, raw: bytes) -> list[np.ndarray]:
-        return np.split(unpack(raw), np.cumsum(sizes)[:-1])
-
     def count(batches):
         for batch in batches:
             for block, sizes, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for some in entries(block, texts(sizes, raw)):
+                for some in entries(block, unpack(raw), np.array(sizes, np.int64)):
                     yield pa.RecordBatch.from_pylist([some], schema=pa.schema(
                         [("block", pa.int64()), ("part", pa.int64()), ("n", pa.int32()),
                          ("grams", pa.binary()), ("counts", pa.binary())]))
@@ -175,44 +186,41 @@ def scores(docs: DataFrame, tokenizer: str, order: int = ORDER, backoff: float =
     n_tokens = coded.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
 
     def total(group):
-        """The totals of the n-grams of one part that several blocks hold, a row per block."""
+        """What other blocks add to the entries of one part, a row per block that anything is added to."""
         import pandas as pd
 
         keys = [unpack_keys(x) for x in group["grams"]]
-        every = np.concatenate(keys)
-        kinds, at, held = np.unique(every, return_inverse=True, return_counts=True)
-        sums = np.bincount(at, np.concatenate([unpack(x) for x in group["counts"]])).astype(np.int64)
-        out, begin = [], 0
-        for block, own in zip(group["block"], keys):
-            mine = at[begin:begin + len(own)]
-            begin += len(own)
-            several = mine[held[mine] > 1]
-            if len(several):
-                out.append((block, group["n"].iloc[0], pack_keys(kinds[several]), pack(sums[several])))
-        return pd.DataFrame(out, columns=["block", "n", "grams", "totals"])
+        own = np.concatenate([unpack(x) for x in group["counts"]])
+        kinds, at = np.unique(np.concatenate(keys), return_inverse=True)
+        added = np.bincount(at, own, minlength=len(kinds)).astype(np.int64)[at] - own
+        out = []
+        for block, more in zip(group["block"], np.split(added, np.cumsum([len(x) for x in keys])[:-1])):
+            if more.any():
+                out.append((block, group["n"].iloc[0], group["part"].iloc[0], pack(more)))
+        return pd.DataFrame(out, columns=["block", "n", "part", "added"])
 
     shared = (coded.select("block", "sizes", "ids")
               .mapInArrow(count, "block long, part long, n int, grams binary, counts binary")
-              .groupBy("part", "n").applyInPandas(total, "block long, n int, grams binary, totals binary"))
+              .groupBy("part", "n").applyInPandas(total, "block long, n int, part long, added binary"))
 
-    def score(group, totals):
+    def score(group, added):
         import pandas as pd
 
         if not len(group):
             return pd.DataFrame(columns=["doc_id", "n_tokens", "log_score", "per_token"])
-        keys_of, raw = group["doc_ids"].iloc[0], group["ids"].iloc[0]
-        ids = texts(group["sizes"].iloc[0], raw)
-        known = {}
-        for n in range(1, order + 1):
-            keys, own = _counts([grams(x, n) for x in ids])
-            mine = totals[totals["n"] == n]
-            for g, t in zip(mine["grams"], mine["totals"]):
-                own[np.searchsorted(keys, unpack_keys(g))] = unpack(t)
-            known[n] = (keys, own)
-        logs = [log_scores(x, known, int(n_tokens), order, backoff) if len(x) else 0.0 for x in ids]
-        sizes = [len(x) for x in ids]
-        return pd.DataFrame({"doc_id": pd.array([None if k is None else int(k) for k in keys_of], "Int64"), "n_tokens": sizes, "log_score": logs,
-                             "per_token": [s / max(n, 1) for s, n in zip(logs, sizes)]})
+        keys_of, sizes = group["doc_ids"].iloc[0], np.array(group["sizes"].iloc[0], np.int64)
+
+        def totals(n: int, kinds: np.ndarray, own: np.ndarray) -> np.ndarray:
+            order_of, held, begins = _by_part(kinds, parts)
+            slices = dict(zip(held.tolist(), np.split(order_of, begins[1:])))
+            every, mine = own.astype(np.int64), added[added["n"] == n]
+            for part, more in zip(mine["part"], mine["added"]):
+                every[slices[part]] += unpack(more)
+            return every
+
+        logs = log_scores(unpack(group["ids"].iloc[0]), sizes, totals, int(n_tokens), order, backoff)
+        return pd.DataFrame({"doc_id": pd.array([None if k is None else int(k) for k in keys_of], "Int64"),
+                             "n_tokens": sizes, "log_score": logs, "per_token": logs / np.maximum(sizes, 1)})
 
     return (coded.groupBy("block").cogroup(shared.groupBy("block"))
             .applyInPandas(score, "doc_id long, n_tokens long, log_score double, per_token double"))

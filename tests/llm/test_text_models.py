@@ -198,6 +198,16 @@ def test_backoff_matches_counting_by_hand(spark):
     assert found == [(0, 0), (0, 2), (2 ** 60 + 1, 0)]
 
 
+def test_backoff_orders_entries_by_part():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 60, 5000))
+    for parts in (1, 7, 1 << 17):
+        order, held, begins = backoff._by_part(keys, parts)
+        cut = np.split(order, begins[1:])
+        assert sum(map(len, cut)) == len(keys) and len(cut) == len(held) == len(set(held.tolist()))
+        for part, at in zip(held, cut):
+            assert (backoff._part(keys[at], parts) == part).all() and (np.diff(at) > 0).all()
+
+
 def test_fold_of_an_id(spark):
     import zlib
     got = {r.id: r.m for r in spark.range(50).select("id", crc32_remainder("id", 3).alias("m")).collect()}
