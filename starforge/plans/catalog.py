@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from starforge.operators import profile, quality
 from starforge.operators.keys import keep_first
 from starforge.operators.validate import unmapped_keys, validate
-from starforge.plans import catalog_loads, cohort, facts, reports
+from starforge.plans import catalog_loads, cohort, dims, facts, reports
 from starforge.plans.dims import customer_metrics, dim_customers
 from starforge.plans.pipeline import build, fetch, write
 from starforge.rules import FIXTURE_RULES
@@ -26,7 +26,7 @@ from starforge.schemas import MAX_LENGTHS, TARGETS, UNIQUE_KEYS
 from starforge.session import ensure_checkpoint_dir, scratch_path
 from starforge.sinks import csv_writer
 from starforge.sources.csv import read_csv_table
-from starforge.sources.fixtures import Sources, driver_table, load_fixture_sources
+from starforge.sources.fixtures import Sources, driver_table, fixture_view, load_fixture_sources
 
 RULES = FIXTURE_RULES
 RETENTION_SINCE = "1999-01-01"   # B3 cut-off inside the fixture calendar (1995-2001)
@@ -66,6 +66,21 @@ def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         return _built[key]
 
 
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dim_products as ``warehouse`` builds it, read from what was written, without the tables that it does not need."""
+    ensure_checkpoint_dir(spark)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    with _lock:
+        if key in _built:
+            return _built[key]["dim_products"]
+        if (key, "dim_products") not in _built:
+            source = fixture_view(spark, sf_dir, "src_products")
+            table = dims.dim_products(source, RULES)
+            out = write({"dim_products": table}, scratch_path(spark, "products"))["dim_products"]
+            _built[key, "dim_products"] = spark.read.schema(table.schema).parquet(out)
+        return _built[key, "dim_products"]
+
+
 def _t(name):
     return lambda spark, sf: for_oracle(warehouse(spark, sf)[name])
 

@@ -35,6 +35,11 @@ def _warehouse(spark, sf):
     return warehouse(spark, sf)
 
 
+def _products(spark, sf):
+    from starforge.plans.catalog import products
+    return products(spark, sf)
+
+
 def before_split(df: DataFrame) -> DataFrame:
     return df.where(F.col("order_purchase_timestamp") < F.lit(SPLIT).cast("timestamp_ntz"))
 
@@ -193,7 +198,7 @@ def q_load_quarantine(spark, sf):
 
 def q_reloaded_products(spark, sf):
     """K2: a dimension in two loads that keep its keys, the second one run twice."""
-    dim = _warehouse(spark, sf)["dim_products"]
+    dim = _products(spark, sf)
     path = scratch_path(spark, "dim_products")
     load_keyed(dim.where("product_key % 2 = 0"), path, 1, "dim_products")
     for _ in range(2):

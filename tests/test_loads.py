@@ -152,3 +152,14 @@ def test_one_large_order_does_not_end_the_build(spark):
     assert [(r.customer_key, r.customer_id) for r in dim.collect()] == [(1, "c2")]
     assert [(r.business_key, r.column_name, r.reject_reason) for r in bad.collect()] == [
         ("c1", "lifetime_value", "out_of_range")]
+
+
+def test_reloaded_products_read_no_other_table(spark, tmp_dir):
+    from starforge.plans.catalog import QUERIES, products
+    part = spark.createDataFrame([(i, "COPPER", i % 50) for i in range(1, 41)], "p_partkey long, p_type string, p_size int")
+    part.write.parquet(f"{tmp_dir}/part.parquet")
+    got = QUERIES["k2_reloaded_products"](spark, tmp_dir).collect()
+    assert sorted(r.product_key for r in got) == list(range(1, 41))
+    want = [r.product_id for r in products(spark, tmp_dir).orderBy("product_key").collect()]
+    assert [r.product_id for r in sorted(got, key=lambda r: r.product_key)] == want
+    assert want == sorted(want)
