@@ -26,7 +26,7 @@ WORD = re.compile(r"[^\W\d_]+")
 LEXICON = 4                # times that the sample holds a word of the lexicon
 WORDS_KEPT = 400_000       # words whose emissions a worker remembers
 TOGETHER = 1024            # chains that run side by side, at most
-TEXTS = 1 << 22            # characters of the texts that are labelled together
+TEXTS = 1 << 20            # characters of the texts that are labelled together
 CELLS = 1 << 20            # places (chains times words of the longest) that they have together
 UNKNOWN = "und"
 
