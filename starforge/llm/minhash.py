@@ -219,7 +219,7 @@ def classes(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD) ->
             checked_small(stage(wanted.select(F.col("first").alias("doc_id")).distinct(), "minhash")), "doc_id", "left_semi")
         texts = named.select("text").union(docs.where("doc_id is null").select("text"))
         found = texts.mapInArrow(sets, "set_key binary, size int, body binary")
-        return (found.join(wanted.select("node", "set_key"), "set_key").select("node", "size", "body")
+        return (found.join(checked_small(wanted.select("node", "set_key")), "set_key").select("node", "size", "body")
                 .dropDuplicates(["node"]))
 
     def elements(found: DataFrame) -> DataFrame:

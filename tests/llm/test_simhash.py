@@ -84,3 +84,21 @@ def test_components_of_a_long_chain_and_a_star(spark):
     got = {r.node: r.component for r in connected_components(df).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 300)}
     assert connected_components(df.limit(0)).count() == 0
+
+
+def test_members_of_many_buckets_are_compared_with_one_centre(spark):
+    """Copies that share all buckets cost one pair each, not one for every bucket."""
+    from starforge.llm.components import bucket_components
+    members = spark.range(60).select(F.explode(F.sequence(F.lit(1).cast("long"), F.lit(24).cast("long"))).alias("key"),
+                                     F.col("id").alias("node"))
+    compared = []
+
+    def alike(pairs):
+        compared.append(pairs.count())
+        return pairs.select("a", "b")
+
+    found = bucket_components(
+        members, lambda ids: ids.select("node", F.lit(3).alias("size"), F.array(F.lit(1), F.lit(2), F.lit(3)).alias("body")),
+        alike, lambda sets: sets.withColumnRenamed("body", "elements"), 0.8)
+    assert sorted(map(tuple, found.collect())) == [(i, 0) for i in range(60)]
+    assert sum(compared) == 59
