@@ -94,6 +94,14 @@ def block_grams(ids: np.ndarray, sizes: np.ndarray, n: int) -> np.ndarray:
     return grams(ids, n)[_ends_in_texts(sizes, n) - (n - 1)]
 
 
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Stable order of longs from 0; with room for their places they are sorted as values, which is faster."""
+    room = len(keys).bit_length()
+    if len(keys) and int(keys.max()).bit_length() + room < 64:
+        return np.sort(keys << room | np.arange(len(keys))) & ((1 << room) - 1)
+    return np.argsort(keys, kind="stable")
+
+
 def log_scores(ids: np.ndarray, sizes: np.ndarray, totals, n_tokens: int,
                order: int = ORDER, backoff: float = BACKOFF) -> np.ndarray:
     """The sum of the natural logarithms of the token scores of each of a block's documents.
@@ -101,26 +109,41 @@ def log_scores(ids: np.ndarray, sizes: np.ndarray, totals, n_tokens: int,
     ``totals(n, kinds, own)``: the counts in the whole corpus, with this block, of its sorted
     distinct n-grams ``kinds``, which it holds ``own`` times.
     """
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    at = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)     # place in the document
-    score, below = np.zeros(len(ids)), None
-    rest = np.maximum(n_tokens - sizes, 1)[doc]
+    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    lost = np.arange(len(ids), dtype=np.int32) - np.repeat((np.cumsum(sizes) - sizes).astype(np.int32), sizes)
+    np.minimum(lost, order - 1, out=lost)              # orders that a token of this place could lose
+    score = below = rank = None
     for n in range(1, order + 1):                      # longer n-grams replace what shorter ones gave
         ends = _ends_in_texts(sizes, n)
-        kinds, which, counts = np.unique(grams(ids, n)[ends - (n - 1)], return_inverse=True, return_counts=True)
-        # occurrences in the document itself: pairs of document and n-gram, sorted
-        _, pair, own = np.unique(doc[ends] * np.int64(max(1, len(kinds))) + which, return_inverse=True,
-                                 return_counts=True)
-        others = np.zeros(len(ids), np.int64)
-        others[ends] = np.maximum(totals(n, kinds, counts)[which] - own[pair], 0)
-        given_up = np.log(backoff) * (np.minimum(at, order - 1) - (n - 1))
+        # an n-gram is the rank of what stands before its last id, and that id: the same order in fewer bits
+        found = ids[ends].astype(np.int64)
+        if n > 1:
+            found |= rank[ends - 1].astype(np.int64) << ID_BITS
+        by = _order(found)                             # equal n-grams stay in the order of their documents
+        found, ends = found[by], ends[by]
+        new = np.diff(found, prepend=-1) != 0
+        del by, found
+        begins = np.flatnonzero(new)
+        kinds = grams(ids, n)[ends[begins] - (n - 1)]
+        rank = np.zeros(len(ids), np.int32)
+        rank[ends] = np.cumsum(new, dtype=np.int32) - 1
+        counts = np.diff(begins, append=len(ends))
+        owners = np.flatnonzero(new | (np.diff(doc[ends], prepend=-1) != 0))
+        own = np.diff(owners, append=len(ends))        # occurrences in the document itself
+        over = np.repeat(totals(n, kinds, counts), counts) - np.repeat(own, own)
+        np.maximum(over, 0, out=over)
+        del new, kinds, begins, counts, owners, own
+        others = np.zeros(len(ids), np.int32 if len(over) == 0 or over.max() < 1 << 31 else np.int64)
+        others[ends] = over
         if n == 1:
-            score = np.log(np.maximum(others, 0.5) / rest) + given_up
+            score = np.maximum(others, 0.5)
+            score /= np.maximum(n_tokens - sizes, 1)[doc]
+            score = np.log(score, out=score) + np.log(backoff) * lost
         else:
-            over, under = others[ends], below[ends - 1]
-            seen = (over > 0) & (under > 0)
-            value = np.log(np.where(seen, over, 1) / np.where(seen, under, 1)) + given_up[ends]
-            score[ends] = np.where(seen, value, score[ends])
+            under = below[ends - 1]
+            seen = np.flatnonzero((over > 0) & (under > 0))
+            at = ends[seen]
+            score[at] = np.log(over[seen] / under[seen]) + np.log(backoff) * (lost[at] - (n - 1))
         below = others
     return np.bincount(doc, score, minlength=len(sizes))
 

@@ -208,6 +208,13 @@ def test_backoff_orders_entries_by_part():
             assert (backoff._part(keys[at], parts) == part).all() and (np.diff(at) > 0).all()
 
 
+def test_backoff_order_is_stable_with_and_without_room():
+    for top in (1, 50, 1 << 61):
+        keys = np.random.default_rng(2).integers(0, top, 3000)
+        assert (backoff._order(keys) == np.argsort(keys, kind="stable")).all()
+    assert len(backoff._order(np.zeros(0, np.int64))) == 0
+
+
 def test_fold_of_an_id(spark):
     import zlib
     got = {r.id: r.m for r in spark.range(50).select("id", crc32_remainder("id", 3).alias("m")).collect()}
