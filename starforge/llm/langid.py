@@ -26,8 +26,9 @@ WORD = re.compile(r"[^\W\d_]+")
 LEXICON = 4                # times that the sample holds a word of the lexicon
 WORDS_KEPT = 400_000       # words whose emissions a worker remembers
 TOGETHER = 1024            # chains that run side by side, at most
-TEXTS = 1 << 20            # characters of the texts that are labelled together
-CELLS = 1 << 20            # places (chains times words of the longest) that they have together
+TEXTS = 1 << 18            # characters of the texts that are labelled together
+ROWS = 500                 # rows of a batch that are read at once
+CELLS = 1 << 17            # places (chains times words of the longest) that they have together
 UNKNOWN = "und"
 
 
@@ -258,6 +259,19 @@ def train(docs: DataFrame, learn, sample: int = SAMPLE) -> Fitted:
     return fit([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
+def labelled(model: Fitted, texts) -> list[tuple[str, float]]:
+    """``model.predict`` over an Arrow column, about ``TEXTS`` characters at a time."""
+    out, some, size = [], [], 0
+    for at in range(0, len(texts), ROWS):
+        for text in texts.slice(at, ROWS).to_pylist():
+            some.append(text or "")
+            size += len(some[-1])
+            if size >= TEXTS:
+                out += model.predict(some)
+                some, size = [], 0
+    return out + model.predict(some)
+
+
 def identify(docs: DataFrame, model: Fitted) -> DataFrame:
     """One row per document: (doc_id, lang_pred, score).
 
@@ -272,17 +286,9 @@ def identify(docs: DataFrame, model: Fitted) -> DataFrame:
     def run(batches):
         own = Fitted(*sent.value)
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            out, some, size = [], [], 0
-            for text in texts:
-                some.append(text or "")
-                size += len(some[-1])
-                if size >= TEXTS:
-                    out += own.predict(some)
-                    some, size = [], 0
-            out += own.predict(some)
+            out = labelled(own, batch.column(1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array([x for x, _ in out], pa.string()),
+                [batch.column(0), pa.array([x for x, _ in out], pa.string()),
                  pa.array([x for _, x in out], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
