@@ -325,11 +325,12 @@ def keep_identified(docs: DataFrame, learn, least: float = 0.5, sample: int = SA
     Rejected: null texts, texts without letters, and texts of which no language covers the
     share ``least``.  The label column is used to learn only, from rows that meet ``learn``.
     """
-    from starforge.llm.common import stage
+    from starforge.llm.common import small_batches, stage
 
     model = train(docs, learn, sample)
     if not model.labels:
         return docs
-    found = stage(identify(docs, model).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least))
-                  .select("doc_id").distinct(), "langid")
+    with small_batches(docs.sparkSession):
+        found = stage(identify(docs, model).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least))
+                      .select("doc_id").distinct(), "langid")
     return docs.join(found.where("doc_id is not null"), "doc_id", "left_anti")
