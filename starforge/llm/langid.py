@@ -14,6 +14,7 @@ them; the bound is a parameter.  Prediction reads every whole text and needs no
 from __future__ import annotations
 
 import re
+from itertools import chain as linked
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -46,7 +47,19 @@ class _Slots(dict):
         return slot
 
 
-_heads, _tails, _grams = _Slots("a"), _Slots("z"), _Slots("g")
+class _Ends(dict):
+    """The slots of the 1, 2 and 3 letters at one end of a word, by those three."""
+
+    def __init__(self, kind: str, cut):
+        super().__init__()
+        self.slots, self.cut = _Slots(kind), cut
+
+    def __missing__(self, end: str) -> list[int]:
+        slots = self[end] = [self.slots[group] for group in {self.cut(end, n) for n in (1, 2, 3)}]
+        return slots
+
+
+_heads, _tails, _grams = _Ends("a", lambda x, n: x[:n]), _Ends("z", lambda x, n: x[-n:]), _Slots("g")
 
 
 def word_features(word: str) -> list[int]:
@@ -55,8 +68,7 @@ def word_features(word: str) -> list[int]:
 
     n = len(word)
     groups = {word[i:i + 2] for i in range(n - 1)} | {word[i:i + 3] for i in range(n - 2)}
-    return [*map(_heads.__getitem__, {word[:1], word[:2], word[:3]}),
-            *map(_tails.__getitem__, {word[-1:], word[-2:], word[-3:]}), *map(_grams.__getitem__, groups),
+    return [*_heads[word[:3]], *_tails[word[-3:]], *map(_grams.__getitem__, groups),
             xxhash.xxh64_intdigest(f"w {word}") & ((1 << BITS) - 1)]
 
 
@@ -98,9 +110,11 @@ def posteriors(emissions: np.ndarray, lengths: np.ndarray, moves: np.ndarray, be
     labels = emissions.shape[1]
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     result = np.empty_like(emissions)
-    top = emissions.max(axis=1, keepdims=True)
-    scores = np.exp(emissions - top)
-    step, first = np.exp(moves), np.exp(begin)
+    scores = np.ascontiguousarray(emissions.T)
+    top = scores.max(axis=0)
+    scores = np.exp(scores - top)
+    step, first = np.exp(moves), np.exp(begin)[:, None]
+    back = np.ascontiguousarray(step.T)
     total = float(top.sum())
     expected = np.zeros((labels, labels))
     order = np.argsort(-lengths, kind="stable")
@@ -112,26 +126,36 @@ def posteriors(emissions: np.ndarray, lengths: np.ndarray, moves: np.ndarray, be
         n = lengths[some]                                      # descending
         longest = int(n[0])
         alive = np.searchsorted(-n, -np.arange(longest), "left")   # chains longer than t
-        alpha = np.empty((longest, len(some), labels))
-        norm = np.ones((longest, len(some)))
-        for t in range(longest):
-            m = alive[t]
-            s = scores[starts[some[:m]] + t]
-            a = first * s if t == 0 else (alpha[t - 1, :m] @ step) * s
-            z = a.sum(axis=1)
-            alpha[t, :m] = a / z[:, None]
-            norm[t, :m] = z
+        # the words of all chains at one place are neighbours: step t is a slice
+        ends = np.cumsum(alive)
+        cuts = list(zip((ends - alive).tolist(), ends.tolist(), alive.tolist()))
+        place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        words = np.empty(len(place), np.int64)
+        words[(ends - alive)[place] + np.repeat(np.arange(len(some)), n)] = np.repeat(starts[some], n) + place
+        own = scores[:, words]
+        alpha, norm = np.empty_like(own), np.empty(len(words))
+        before = 0
+        for x, y, m in cuts:
+            a = (back @ alpha[:, before:before + m] if x else first) * own[:, x:y]
+            z = a.sum(axis=0)
+            np.divide(a, z, out=alpha[:, x:y])
+            norm[x:y] = z
+            before = x
         total += float(np.log(norm).sum())
-        beta = np.ones((len(some), labels))
+        own /= norm
+        beta = np.ones((labels, len(some)))
         for t in range(longest - 1, -1, -1):
-            m = alive[t]
-            result[starts[some[:m]] + t] = alpha[t, :m] * beta[:m]
+            x, y, m = cuts[t]
             if t:
-                right = scores[starts[some[:m]] + t] * beta[:m] / norm[t, :m, None]
+                right = own[:, x:y] * beta[:, :m]
+                before = cuts[t - 1][0]
                 if counts:
-                    expected += step * (alpha[t - 1, :m].T @ right)
-                beta[:m] = right @ step.T
-    result /= result.sum(axis=1, keepdims=True)
+                    expected += step * (alpha[:, before:before + m] @ right.T)
+            alpha[:, x:y] *= beta[:, :m]
+            if t:
+                beta[:, :m] = step @ right
+        alpha /= alpha.sum(axis=0)
+        result[words] = alpha.T
     return (result, total, expected) if counts else (result, total)
 
 
@@ -149,12 +173,16 @@ class Fitted:
         if len(new) + len(self.known) > WORDS_KEPT:
             self.known.clear()
             new = set(words)
-        for word in new:
-            i = len(self.known)
-            if i >= len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.rows[i] = self.weights[word_features(word)].sum(axis=0)
-            self.known[word] = i
+        new, at = list(new), len(self.known)
+        while at + len(new) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        for i in range(0, len(new), TOGETHER):
+            lists = [word_features(word) for word in new[i:i + TOGETHER]]
+            ends = np.cumsum([len(x) for x in lists])
+            features = np.fromiter(linked.from_iterable(lists), np.int64, ends[-1])
+            self.rows[at + i:at + i + len(lists)] = np.add.reduceat(
+                self.weights[features], np.concatenate([[0], ends[:-1]]), axis=0)
+        self.known.update(zip(new, range(at, at + len(new))))
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
