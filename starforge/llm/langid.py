@@ -178,10 +178,11 @@ class Fitted:
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         for i in range(0, len(new), TOGETHER):
             lists = [word_features(word) for word in new[i:i + TOGETHER]]
-            ends = np.cumsum([len(x) for x in lists])
-            features = np.fromiter(linked.from_iterable(lists), np.int64, ends[-1])
-            self.rows[at + i:at + i + len(lists)] = np.add.reduceat(
-                self.weights[features], np.concatenate([[0], ends[:-1]]), axis=0)
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            for size in np.unique(sizes).tolist():     # lists of one length, so that each is summed in its order
+                of = np.flatnonzero(sizes == size)
+                features = np.fromiter(linked.from_iterable(lists[j] for j in of), np.int64, size * len(of))
+                self.rows[at + i + of] = self.weights[features.reshape(-1, size)].sum(axis=1)
         self.known.update(zip(new, range(at, at + len(new))))
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
