@@ -94,7 +94,8 @@ def link_fingerprints(fps, distance: int = 2, crowded: int = 64):
     shared = stage(rows.groupBy("slot", "part").agg(F.count("*").alias("n")).where("n > 1"), "simhash")
     members = stage(rows.join(checked_small(shared), ["slot", "part"]), "simhash")
     few = members.where(F.col("n") <= crowded)
-    near = (few.alias("x").join(few.alias("y"), (F.col("x.slot") == F.col("y.slot"))
+    # the files of repeated fingerprints are so small that Spark would send millions of rows to all executors
+    near = (few.alias("x").join(few.alias("y").hint("merge"), (F.col("x.slot") == F.col("y.slot"))
                                 & (F.col("x.part") == F.col("y.part")) & (F.col("x.fp") < F.col("y.fp"))
                                 & (F.expr("bit_count(x.fp ^ y.fp)") <= distance))
             .select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct())
@@ -125,7 +126,7 @@ def near_duplicates(docs, distance: int = 2, shingle: int = 3):
     """
     marked = stage(fingerprints(docs, shingle), "simhash")
     fps = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash")
-    roots = connected_components(link_fingerprints(fps.select("fp"), distance))
+    roots = connected_components(stage(link_fingerprints(fps.select("fp"), distance), "simhash"))
     placed = stage(fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
                    .select("fp", "first", F.coalesce("component", "fp").alias("root")), "simhash")
     lowest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
